@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def is_ntz(df: DataFrame, column: str) -> bool:
@@ -43,7 +43,7 @@ def epoch_seconds(ts: Column) -> Column:
 def epoch_micros(ts: Column, ntz: bool) -> Column:
     """Microseconds since the epoch; for NTZ the wall clock is read as UTC."""
     if ntz:
-        return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, ts)
+        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast(T.TimestampNTZType()), ts)
     return F.unix_micros(ts)
 
 
