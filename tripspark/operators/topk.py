@@ -77,7 +77,9 @@ def top_k_join(
     width = row_width(f.schema)
     spark = facts.sparkSession
 
-    m = max(int(initial_candidates or 0), 8 * int(k), 64)
+    # Each scan task ships its local top-m to one merging task, so m starts
+    # small (that merge holds m × input-splits rows) and grows only on demand.
+    m = max(int(initial_candidates or 0), 4 * int(k), 16)
     while m <= max_candidates and m * width <= budget:
         rows = f.orderBy(*fact_order).limit(m).collect()  # bounded: m rows
         exhausted = len(rows) < m
