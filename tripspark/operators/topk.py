@@ -51,7 +51,7 @@ def top_k_join(
     max_candidates: int = 1 << 16,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """Exact ``(facts ⋈ dims).orderBy(score desc nulls last, key, dim_cols).limit(k)``
+    """Exact ``(facts ⋈ dims).orderBy(score desc nulls last, key, dim_cols, fact_cols).limit(k)``
     without shuffling either table.
 
     1. Take the top ``m`` facts by ``(score desc nulls last, key)`` — a map-side
@@ -72,7 +72,10 @@ def top_k_join(
     f = facts.select(*fact_cols)
     d = dims.select(key, *dim_cols)
     fact_order = [F.col(score).desc_nulls_last(), F.col(key).asc_nulls_last()]
-    final_order = fact_order + [F.col(c).asc_nulls_last() for c in dim_cols]
+    # Remaining fact columns close the order, so even full ties on
+    # (score, key, dim_cols) come out in one deterministic order.
+    rest = [c for c in fact_cols if c not in (key, score)]
+    final_order = fact_order + [F.col(c).asc_nulls_last() for c in dim_cols + rest]
     budget = broadcast_budget(facts, max_bytes)
     width = row_width(f.schema)
     spark = facts.sparkSession
