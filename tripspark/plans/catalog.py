@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tripspark.functions.time import hour_label
 from tripspark.operators import aggregates, filters, joins, metrics
-from tripspark.plans import explain, trip_queries
+from tripspark.plans import explain, line_queries, trip_queries
 from tripspark.schemas import TRIP_SCHEMA, TRIP_SCHEMA_NTZ, VENDOR_SCHEMA
 from tripspark.session import scratch_path
 from tripspark.sinks import (
@@ -219,6 +219,25 @@ def text_line_parse(spark: SparkSession, d: str) -> DataFrame:
     return parsed.select(*TRIP_COLUMNS, extract_start_hour(F.col("value")).alias("HourOfDay"))
 
 
+def _text_copy(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df``'s rows as comma-separated lines and read them back as text."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    path = write_result(df.select(F.concat_ws(",", *fields).alias("value")), scratch_path(spark, label), "text")
+    return read_text_lines(spark, path)
+
+
+def rdd_text_avg_duration_by_hour(spark: SparkSession, d: str) -> DataFrame:
+    """Q1 from raw trip lines: hour text and whole-second timestamps read by position."""
+    return line_queries.avg_duration_by_hour_from_lines(_text_copy(spark, trips(spark, d), "trips-text"))
+
+
+def rdd_text_max_cost_by_vendor(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 from raw lines: trip ids joined as text, vendors ordered as text."""
+    return line_queries.max_cost_by_vendor_from_lines(
+        _text_copy(spark, trips(spark, d), "trips-text"), _text_copy(spark, vendors(spark, d), "vendors-text")
+    )
+
+
 def text_sink(spark: SparkSession, d: str) -> DataFrame:
     q1 = trip_queries.avg_trip_duration_per_hour(trips(spark, d))
     path = write_pair_lines(q1, "HourOfDay", "AverageTripDuration", scratch_path(spark, "q1-text"),
@@ -242,6 +261,7 @@ def ship_lag_by_month(spark: SparkSession, d: str) -> DataFrame:
         key_alias="OrderMonth",
         value_alias="AverageShipLagDays",
         label=hour_label,
+        max_buckets=13,  # months 1-12 plus NULL
     )
 
 
@@ -269,6 +289,8 @@ QUERIES: dict[str, Query] = {
     "rdd_avg_duration_by_hour": rdd_avg_duration_by_hour,
     "rdd_max_cost_by_vendor": rdd_max_cost_by_vendor,
     "rdd_top_k_fastest": rdd_top_k_fastest,
+    "rdd_text_avg_duration_by_hour": rdd_text_avg_duration_by_hour,
+    "rdd_text_max_cost_by_vendor": rdd_text_max_cost_by_vendor,
     "join_limited_dimension": join_limited_dimension,
     "join_strategy_broadcast": join_strategy_broadcast,
     "join_strategy_sort_merge": join_strategy_sort_merge,

@@ -161,6 +161,8 @@ FROM m""",
     "rdd_avg_duration_by_hour": _q1(False),
     "rdd_max_cost_by_vendor": _q2("CAST(v.vendor AS VARCHAR)"),
     "rdd_top_k_fastest": RDD_TOP_K,
+    "rdd_text_avg_duration_by_hour": _q1(False),
+    "rdd_text_max_cost_by_vendor": _q2("CAST(v.vendor AS VARCHAR)"),
     "join_limited_dimension": SUPPLIER_JOIN,
     "join_strategy_broadcast": SUPPLIER_JOIN,
     "join_strategy_sort_merge": SUPPLIER_JOIN,
