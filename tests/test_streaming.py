@@ -1,0 +1,24 @@
+from tripspark.plans import trip_queries as Q
+from tripspark.streaming import run_hourly_average
+
+from helpers import trip, trips_df
+
+
+def test_streaming_hourly_average_matches_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    first = trips_df(spark, [trip(1, "2015-03-10 05:00:00", "2015-03-10 05:10:00"),
+                             trip(2, "2015-03-10 06:00:00", "2015-03-10 05:00:00")])
+    second = trips_df(spark, [trip(3, "2015-03-10 05:30:00", "2015-03-10 05:50:00"),
+                              trip(4, "2015-03-10 07:00:00", "2015-03-10 07:00:30")])
+    files = str(src / "files")
+    first.write.mode("append").parquet(files)
+    ckpt, out = str(tmp_path / "ckpt"), str(tmp_path / "out")
+    run_hourly_average(spark, files, out, checkpoint_location=ckpt)
+    got1 = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got1 == [("05", 0.6)]
+    # new files arrive: the restarted query resumes from its checkpoint
+    second.write.mode("append").parquet(files)
+    run_hourly_average(spark, files, out, checkpoint_location=ckpt)
+    got2 = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    batch = sorted(tuple(r) for r in Q.avg_trip_duration_per_hour(first.unionByName(second)).collect())
+    assert got2 == batch == [("05", 0.9), ("07", 0.03)]

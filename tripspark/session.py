@@ -8,7 +8,6 @@ do we set one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,7 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in tests / bare local sessions: no cluster folder named.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/NFS) that every "
+                "executor can reach; a machine-local folder would not survive a lost executor"
+            )
+        # Only reached in tests / bare local sessions: one JVM, one machine.
         configured = tempfile.mkdtemp(prefix="tripspark-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -34,11 +38,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     base = shared_dir(spark)
     return f"{base}/tripspark-scratch/{label}-{uuid.uuid4().hex}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be handed to local tools."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

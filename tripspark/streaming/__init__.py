@@ -1,0 +1,12 @@
+"""The batch operators applied to a stream of trip files.
+
+The application itself is batch-only. Because every operator here is a
+``DataFrame -> DataFrame`` function, the row-local ones (filters, metrics) and
+the hour aggregate also run on a streaming DataFrame: new trip files are picked
+up incrementally and the per-hour state is kept by Structured Streaming in the
+checkpoint folder (shared storage), so a restarted query resumes.
+"""
+
+from tripspark.streaming.trips import hourly_average, read_trip_stream, run_hourly_average
+
+__all__ = ["hourly_average", "read_trip_stream", "run_hourly_average"]

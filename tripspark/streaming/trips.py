@@ -1,0 +1,74 @@
+"""File-stream source of trips and the streaming Q1 (average duration per hour)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tripspark.operators import aggregates
+from tripspark.schemas import TRIP_SCHEMA_NTZ, TRIPS, TripRoles
+from tripspark.session import scratch_path
+from tripspark.sources.csv import REFERENCE_TIMESTAMP_FORMAT
+
+
+def read_trip_stream(
+    spark: SparkSession,
+    path: str,
+    *,
+    fmt: str = "parquet",
+    schema: T.StructType = TRIP_SCHEMA_NTZ,
+    max_files_per_trigger: int | None = None,
+    timestamp_format: str = REFERENCE_TIMESTAMP_FORMAT,
+) -> DataFrame:
+    """Streaming DataFrame over the trip files that appear in ``path``
+    (Parquet or header-less CSV; the schema is fixed, never inferred)."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("sep", ",").option("timestampFormat", timestamp_format).option(
+            "timestampNTZFormat", timestamp_format
+        )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
+    return reader.load(path)
+
+
+def hourly_average(stream: DataFrame, roles: TripRoles = TRIPS, *, require_positive: bool = True,
+                   scale: float = 1000.0) -> DataFrame:
+    """Q1 over a stream: running per-hour sum and count of whole-second
+    durations (a partial aggregate per micro-batch merged into state)."""
+    return aggregates.avg_duration_by_hour(
+        stream, roles, require_positive=require_positive, scale=scale, order=False
+    )
+
+
+def run_hourly_average(
+    spark: SparkSession,
+    source_path: str,
+    output_path: str,
+    *,
+    checkpoint_location: str | None = None,
+    fmt: str = "parquet",
+    wait: bool = True,
+) -> StreamingQuery:
+    """Process the trip files available in ``source_path`` (``availableNow``
+    trigger) and write the complete per-hour result to ``output_path`` as
+    Parquet after every micro-batch. The state and progress live in
+    ``checkpoint_location`` (by default a fresh folder below the shared
+    checkpoint folder), so a re-run continues with files not seen before."""
+    checkpoint_location = checkpoint_location or scratch_path(spark, "stream-q1-checkpoint")
+    result = hourly_average(read_trip_stream(spark, source_path, fmt=fmt))
+
+    def write_batch(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(output_path)
+
+    query = (
+        result.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint_location)
+        .foreachBatch(write_batch)
+        .trigger(availableNow=True)
+        .start()
+    )
+    if wait:
+        query.awaitTermination()
+    return query
