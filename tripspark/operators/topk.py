@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.operators.joins import broadcast_budget, row_width
+from tripspark.session import shared_dir
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -61,8 +62,10 @@ def top_k_join(
        row before the boundary is among them, and rows equal to the boundary
        are dropped, so duplicates cannot be half-included.
     3. Broadcast-join them to ``dims`` (the dimension is streamed, not
-       shuffled). If that yields at least ``k`` rows, every other joined row
-       sorts after them, so the top ``k`` of this small join is the answer.
+       shuffled) and take the top ``k`` of that join in the same job, stored
+       with a reliable checkpoint (lineage cut, files in the shared folder).
+       If it has ``k`` rows, every other joined row sorts after them, so it
+       is the answer.
     4. Otherwise grow ``m`` ×8 and repeat; if all facts were taken the
        candidate join *is* the full join. Past ``max_candidates`` (or the
        broadcast byte budget) the plain shuffled join + top-k is used.
@@ -79,6 +82,7 @@ def top_k_join(
     budget = broadcast_budget(facts, max_bytes)
     width = row_width(f.schema)
     spark = facts.sparkSession
+    shared_dir(spark)  # reliable checkpoints need the shared folder configured
 
     # Each scan task ships its local top-m to one merging task, so m starts
     # small (that merge holds m × input-splits rows) and grows only on demand.
@@ -90,7 +94,10 @@ def top_k_join(
         if not exhausted:
             cand = cand.where(_strictly_before(score, key, rows[-1]))
         joined = F.broadcast(cand).join(d, key, "inner")
-        if exhausted or joined.limit(int(k)).count() >= k:
-            return joined.orderBy(*final_order).limit(int(k))
+        # One job computes the top k of the small join and stores those k rows
+        # in the shared checkpoint folder; the count then reads k rows.
+        top = joined.orderBy(*final_order).limit(int(k)).checkpoint(eager=True)
+        if exhausted or top.count() >= k:
+            return top
         m *= 8
     return f.join(d, key, "inner").orderBy(*final_order).limit(int(k))
