@@ -12,6 +12,7 @@ once per application, so queries scan them like any stored fact table.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,7 @@ def vendors_from_events(events: DataFrame) -> DataFrame:
 
 # (application id, events path, file signature) -> (trips path, vendors path)
 _MATERIALIZED: dict[tuple, tuple[str, str]] = {}
+_LOCK = threading.Lock()
 
 
 def _signature(path: str):
@@ -88,13 +90,14 @@ def materialize(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     key = (spark.sparkContext.applicationId, os.path.abspath(events_path), _signature(events_path))
-    if key not in _MATERIALIZED:
-        base = scratch_path(spark, "derived-trips")
-        events = read_table(spark, sf_dir, "events")
-        trips_from_events(events).write.mode("overwrite").parquet(f"{base}/trips")
-        vendors_from_events(events.select("event_id")).write.mode("overwrite").parquet(f"{base}/vendors")
-        _MATERIALIZED[key] = (f"{base}/trips", f"{base}/vendors")
-    return _MATERIALIZED[key]
+    with _LOCK:
+        if key not in _MATERIALIZED:
+            base = scratch_path(spark, "derived-trips")
+            events = read_table(spark, sf_dir, "events")
+            trips_from_events(events).write.mode("overwrite").parquet(f"{base}/trips")
+            vendors_from_events(events.select("event_id")).write.mode("overwrite").parquet(f"{base}/vendors")
+            _MATERIALIZED[key] = (f"{base}/trips", f"{base}/vendors")
+        return _MATERIALIZED[key]
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
