@@ -54,3 +54,32 @@ def test_partial_aggregation_in_plan(spark):
     # partial + final hash aggregate around one hash exchange
     assert plan.count("HashAggregate") >= 2 and "Arguments: hashpartitioning(" in plan
     assert "ReadSchema: struct<startDate:timestamp_ntz,endDate:timestamp_ntz>" in plan
+
+
+def test_hot_dimension_key_is_routed_around_the_shuffle(spark):
+    from tripspark.operators import joins
+
+    # trip 7 holds a third of all vendor rows, with many distinct vendors
+    t = trips_df(spark, [trip(i, "2015-03-10 05:00:00", "2015-03-10 05:10:00", cost=float(i % 50))
+                         for i in range(1, 2001)])
+    v = vendors_df(spark, [(7, 100 + (j % 40)) for j in range(1000)] + [(i, 1 + i % 3) for i in range(1, 2001)])
+    hot = joins.heavy_hitter_keys(v, "id", 0.01, min_rows=100, fraction=1.0)
+    assert hot == [7]
+    assert joins.heavy_hitter_keys(v, "id", 0.01, min_rows=100, fraction=0.5) == [7]   # sampled
+    assert joins.heavy_hitter_keys(v, "id", 0.01, fraction=1.0) == []   # below the absolute floor
+    fast = aggregates.max_cost_by_vendor(t, v, hot_key_min_rows=100, hot_key_sample=1.0).collect()
+    plain = aggregates.max_cost_by_vendor(t, v, hot_key_support=None, preaggregate=False).collect()
+    assert fast == plain and len(fast) == 43
+    plan = explain_text(aggregates.max_cost_by_vendor(t, v, hot_key_min_rows=100, hot_key_sample=1.0))
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+
+
+def test_hot_key_join_is_exact(spark):
+    from tripspark.operators import joins
+
+    u = spark.createDataFrame([(i, float(i)) for i in range(50)], "k long, v double")
+    o = spark.createDataFrame([(3, "a")] * 200 + [(i, "b") for i in range(60)], "k long, a string")
+    for hot in ([], [3], [3, 4, 999]):
+        got = sorted(map(tuple, joins.join_unique_with_hot_keys(u, o, "k", hot).select("k", "v", "a").collect()))
+        want = sorted(map(tuple, u.join(o, "k").select("k", "v", "a").collect()))
+        assert got == want

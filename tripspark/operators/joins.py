@@ -104,3 +104,78 @@ def join_with_strategy(
     elif strategy == "shuffle_hash":
         dims = dims.hint("shuffle_hash")
     return facts.join(dims, on, how)
+
+
+# --- hot keys -------------------------------------------------------------------
+
+DEFAULT_HOT_SUPPORT = 0.001
+# A key is only worth routing when its rows could unbalance a task.
+DEFAULT_HOT_MIN_ROWS = 100_000
+# Share of rows sampled to find hot keys.
+DEFAULT_HOT_SAMPLE = 0.001
+
+
+def heavy_hitter_keys(
+    df: DataFrame,
+    key: str,
+    support: float = DEFAULT_HOT_SUPPORT,
+    min_rows: int = DEFAULT_HOT_MIN_ROWS,
+    *,
+    fraction: float = DEFAULT_HOT_SAMPLE,
+    seed: int = 7,
+) -> list:
+    """Keys estimated to hold at least ``support`` of ``df``'s rows and at
+    least ``min_rows`` rows. One job over a Bernoulli sample of the key column:
+
+    * ``rollup(key)`` counts each sampled key and, in the same aggregation,
+      the sample total (partial aggregation before a shuffle of sampled keys
+      only, ~``fraction`` of the rows);
+    * only rows that can qualify, largest first, at most ``1 / support + 1``
+      of them, reach the driver — a proven bound.
+    A key with ``min_rows`` rows is expected ``min_rows × fraction`` times in
+    the sample (100 with the defaults), so keys big enough to unbalance a
+    task are found reliably. Callers only route keys with the list, so
+    results never depend on it.
+    """
+    if not 0.0 < support < 1.0:
+        raise ValueError("support must be in (0, 1)")
+    if not 0.0 < fraction <= 1.0:
+        raise ValueError("fraction must be in (0, 1]")
+    max_keys = int(1.0 / support)
+    min_sampled = max(1.0, min_rows * fraction)
+    keys = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
+    sampled = keys.sample(fraction=fraction, seed=seed) if fraction < 1.0 else keys
+    stats = sampled.rollup("_key").agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_total"))
+    rows = (
+        stats.where((F.col("_total") == 1) | (F.col("_n") >= F.lit(min_sampled)))
+        .orderBy(F.col("_n").desc())
+        .limit(max_keys + 1)
+        .collect()
+    )
+    total = next((r["_n"] for r in rows if r["_total"] == 1), 0)
+    floor = max(min_sampled, support * total)
+    return [r["_key"] for r in rows if r["_total"] == 0 and r["_n"] >= floor]
+
+
+def join_unique_with_hot_keys(
+    unique_side: DataFrame,
+    other: DataFrame,
+    key: str,
+    hot_keys: list,
+    *,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """Inner join of a side with one row per ``key`` (e.g. a pre-aggregated
+    fact table) to ``other``, where ``other`` may hold very hot keys.
+
+    Rows of the hot keys skip the shuffle: their (at most ``len(hot_keys)``)
+    partners on the unique side are broadcast and the hot rows of ``other``
+    stream past them in place, so no single reducer receives a hot key. All
+    other keys use the regular shuffled join. The union is the exact join.
+    """
+    if not hot_keys or not fits_broadcast(unique_side, len(hot_keys), max_bytes):
+        return unique_side.join(other, key, "inner")
+    is_hot = F.col(key).isin(hot_keys)
+    hot = other.where(is_hot).join(F.broadcast(unique_side.where(is_hot)), key, "inner")
+    cold = unique_side.where(~is_hot).join(other.where(~is_hot), key, "inner")
+    return cold.unionByName(hot)
