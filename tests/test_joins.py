@@ -64,3 +64,37 @@ def test_limited_dimension_is_deterministic(spark):
     keys = [r.s_suppkey for r in joins.limited_dimension(sup, "s_suppkey", 3).collect()]
     assert keys == sorted(r.s_suppkey for r in sup.select("s_suppkey").collect())[:3]
     assert F is not None
+
+
+def test_plain_join_hot_key_is_split_by_adaptive_execution(spark):
+    """Joins whose inputs are plain shuffles (lineitem ⋈ orders, the sort-merge
+    strategy, the top-k fallback) rely on adaptive skew-join splitting."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        # key 0 holds a third of the fact rows
+        facts = spark.range(0, 30000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("k"),
+                                             F.col("id").alias("v"))
+        dims = spark.range(0, 30000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("a"))
+        j = facts.join(dims, "k")
+        assert j.count() == 30000 - 10000 + 10000
+        rows = j.collect()
+        assert len(rows) == 30000
+        final = explain.explain_text(j)
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
