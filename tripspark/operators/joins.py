@@ -71,13 +71,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int | None
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def limited_dimension(dim: DataFrame, key: str, n: int) -> DataFrame:
-    """The first ``n`` rows of ``dim`` by ``key`` — a deterministic ``limit(n)``.
+def limited_dimension(dim: DataFrame, key, n: int) -> DataFrame:
+    """The first ``n`` rows of ``dim`` by ``key`` (a column name or a list of
+    them, for a total order when keys repeat) — a deterministic ``limit(n)``.
 
     Plans as a per-partition top-n followed by one small merge, so it never
     sorts the whole dimension and its result has a proven bound of ``n`` rows.
     """
-    return dim.orderBy(F.col(key).asc_nulls_last()).limit(int(n))
+    keys = [key] if isinstance(key, str) else list(key)
+    return dim.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(int(n))
 
 
 def join_with_strategy(

@@ -41,6 +41,8 @@ from tripspark.sources.text import parse_lines
 TRIP_CUTOFF = "2024-01-10 00:00:00"   # Q3 date cut for the derived trips (events span January 2024)
 LOOKUP_ORDER_KEY = 4242                # point lookup on orders
 LIMITED_SUPPLIERS = 10                 # size of the truncated dimension
+LOOKUP_TRIP_ID = 4242                  # point lookup on the trips table
+LIMITED_VENDORS = 100                  # the join program's truncated vendor table
 PREVIEW_ROWS = 20                      # rows of a console-style preview
 ROUND_DIGITS = 6                       # trig results are compared after rounding
 
@@ -75,6 +77,10 @@ def point_lookup(spark: SparkSession, d: str) -> DataFrame:
     return filters.point_lookup(read_table(spark, d, "orders"), "o_orderkey", LOOKUP_ORDER_KEY)
 
 
+def trip_point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return trip_queries.lookup_trip(trips(spark, d), LOOKUP_TRIP_ID)
+
+
 def avg_duration_by_hour(spark: SparkSession, d: str) -> DataFrame:
     return trip_queries.avg_trip_duration_per_hour(trips(spark, d))
 
@@ -150,6 +156,14 @@ def _supplier_join(spark: SparkSession, d: str, strategy: str) -> DataFrame:
     )
 
 
+def trip_vendor_limited_join(spark: SparkSession, d: str) -> DataFrame:
+    """All trips ⋈ the first 100 vendor rows (by id, vendor), joined on ``id``
+    so the key appears once; the truncated side has a proven bound."""
+    limited = joins.limited_dimension(vendors(spark, d), ["id", "vendor"], LIMITED_VENDORS)
+    return joins.join_with_strategy(trips(spark, d), limited, "id", strategy="broadcast",
+                                    dim_max_rows=LIMITED_VENDORS)
+
+
 def join_limited_dimension(spark: SparkSession, d: str) -> DataFrame:
     return _supplier_join(spark, d, "auto")
 
@@ -281,6 +295,7 @@ def max_price_by_brand(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "point_lookup": point_lookup,
+    "trip_point_lookup": trip_point_lookup,
     "avg_duration_by_hour": avg_duration_by_hour,
     "max_cost_by_vendor": max_cost_by_vendor,
     "valid_coordinates": valid_coordinates,
@@ -292,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "rdd_top_k_fastest": rdd_top_k_fastest,
     "rdd_text_avg_duration_by_hour": rdd_text_avg_duration_by_hour,
     "rdd_text_max_cost_by_vendor": rdd_text_max_cost_by_vendor,
+    "trip_vendor_limited_join": trip_vendor_limited_join,
     "join_limited_dimension": join_limited_dimension,
     "join_strategy_broadcast": join_strategy_broadcast,
     "join_strategy_sort_merge": join_strategy_sort_merge,

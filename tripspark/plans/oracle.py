@@ -9,7 +9,14 @@ the JVM differ in the last ulp).
 
 from __future__ import annotations
 
-from tripspark.plans.catalog import LIMITED_SUPPLIERS, LOOKUP_ORDER_KEY, PREVIEW_ROWS, TRIP_CUTOFF
+from tripspark.plans.catalog import (
+    LIMITED_SUPPLIERS,
+    LIMITED_VENDORS,
+    LOOKUP_ORDER_KEY,
+    LOOKUP_TRIP_ID,
+    PREVIEW_ROWS,
+    TRIP_CUTOFF,
+)
 
 R = 6
 
@@ -146,6 +153,7 @@ TRIP_COLUMNS = "id, startDate, endDate, startLon, startLat, endLon, endLat, cost
 
 SQL: dict[str, str] = {
     "point_lookup": f"SELECT * FROM orders WHERE o_orderkey = {LOOKUP_ORDER_KEY}",
+    "trip_point_lookup": _with(TRIPS_CTE) + f"SELECT * FROM trips WHERE id = {LOOKUP_TRIP_ID}",
     "avg_duration_by_hour": _q1(True),
     "max_cost_by_vendor": _q2("v.vendor"),
     "valid_coordinates": _with(TRIPS_CTE) + f"SELECT * FROM trips WHERE {VALID} AND {MOVED}",
@@ -163,6 +171,9 @@ FROM m""",
     "rdd_top_k_fastest": RDD_TOP_K,
     "rdd_text_avg_duration_by_hour": _q1(False),
     "rdd_text_max_cost_by_vendor": _q2("CAST(v.vendor AS VARCHAR)"),
+    "trip_vendor_limited_join": _with(TRIPS_CTE, VENDORS_CTE)
+    + "SELECT t.id, t.startDate, t.endDate, t.startLon, t.startLat, t.endLon, t.endLat, t.cost, v.vendor "
+    f"FROM trips t JOIN (SELECT * FROM vendors ORDER BY id, vendor LIMIT {LIMITED_VENDORS}) v ON t.id = v.id",
     "join_limited_dimension": SUPPLIER_JOIN,
     "join_strategy_broadcast": SUPPLIER_JOIN,
     "join_strategy_sort_merge": SUPPLIER_JOIN,
