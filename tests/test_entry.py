@@ -1,6 +1,5 @@
 """Driver contract and DuckDB differential checks for every registered query."""
 
-import datetime as dt
 import math
 
 import duckdb
@@ -65,4 +64,3 @@ def test_derived_trip_scan_is_pruned_and_pushed(spark):
     assert "PushedFilters: [IsNotNull(startLon)" in plan
     q2 = explain_text(E.queries()["max_cost_by_vendor"](spark, SF_SMALL))
     assert "ReadSchema: struct<id:bigint,cost:double>" in q2
-    assert dt is not None

@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from tripspark.operators import filters
 
 from helpers import trip, trips_df
@@ -62,4 +60,3 @@ def test_coordinate_filters_pushed_to_scan(spark, tmp_path):
 
     plan = explain_text(back)
     assert "GreaterThanOrEqual(startLon,-180.0)" in plan and "Not(EqualNullSafe(startLon,0.0))" in plan
-    assert F is not None

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.operators import aggregates
-from tripspark.sources.text import extract_cost, extract_start_hour, extract_trip_id, extract_vendor_id, line_field
+from tripspark.sources.text import extract_start_hour, extract_trip_id, extract_vendor_id, line_field
 
 # Fixed value: the timestamp pattern applied to the first 19 characters.
 LINE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -75,10 +75,3 @@ def max_cost_by_vendor_from_lines(
         key_alias="VendorId", value_alias="MaxTripCost",
     )
 
-
-__all__ = [
-    "avg_duration_by_hour_from_lines",
-    "extract_cost",
-    "max_cost_by_vendor_from_lines",
-    "parse_prefix_timestamp",
-]
