@@ -17,17 +17,27 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripspark.operators import joins
 from tripspark.plans import explain, line_queries, trip_queries
 from tripspark.schemas import TRIP_SCHEMA, VENDOR_SCHEMA
 from tripspark.sinks import csv_to_parquet, write_pair_lines, write_result
-from tripspark.sources import REFERENCE_TIMESTAMP_FORMAT, parse_trip_lines, read_text_lines, read_trips_csv, read_vendors_csv
+from tripspark.sources import (
+    REFERENCE_TIMESTAMP_FORMAT,
+    parse_trip_lines,
+    parse_vendor_lines,
+    read_text_lines,
+    read_trips_csv,
+    read_vendors_csv,
+)
 
 # Result names.
 RESULT_NAMES = ("Q1", "Q2", "Q3")
 
+# The text program reads vendor ids as 64-bit numbers.
+_VENDOR_LONG_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("vendor", T.LongType())])
+
 
 @dataclass
 class ProgramRun:
@@ -104,10 +114,8 @@ def run_text_program(
     q1 = line_queries.avg_duration_by_hour_from_lines(trip_lines)
     q2 = line_queries.max_cost_by_vendor_from_lines(trip_lines, vendor_lines)
     typed_trips = parse_trip_lines(trip_lines, strict=True)
-    typed_vendors = vendor_lines.select(
-        F.split("value", ",").getItem(0).cast("long").alias("id"),
-        F.split("value", ",").getItem(1).cast("long").alias("vendor"),
-    )
+    # record parsing fails on a malformed token whatever the session's ANSI mode
+    typed_vendors = parse_vendor_lines(vendor_lines, schema=_VENDOR_LONG_SCHEMA, strict=True)
     q3 = trip_queries.fastest_trips(typed_trips, typed_vendors, variant="rdd", k=k, cutoff=cutoff)
     pairs = {
         "Q1": (q1, "HourOfDay", "AverageTripDuration"),
