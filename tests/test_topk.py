@@ -71,3 +71,21 @@ def test_top_k_plans_take_ordered(spark):
     df = spark.range(100).withColumn("s", F.col("id") * 2)
     plan = explain_text(topk.top_k(df, [F.col("s").desc()], 5))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_fallback_does_not_emit_all_pairs_of_a_hot_key(spark):
+    # trip 5 is duplicated 2000 times and has 2000 vendor rows: 4M pairs in a plain join
+    facts = [(5, 50.0, 1.0)] * 2000 + [(i, float(i), 0.0) for i in range(100)]
+    dims = [(5, v % 9) for v in range(2000)] + [(i, 1) for i in range(100)]
+    f = spark.createDataFrame(facts, "id long, speed double, x double")
+    d = spark.createDataFrame(dims, "id long, vendor int")
+    out = topk.top_k_join(f, d, key="id", score="speed", k=7, fact_cols=["x"], dim_cols=["vendor"],
+                          max_candidates=4)
+    got = [(r.id, r.speed, r.x, r.vendor) for r in out.collect()]
+    assert got == [(99, 99.0, 0.0, 1), (98, 98.0, 0.0, 1), (97, 97.0, 0.0, 1), (96, 96.0, 0.0, 1),
+                   (95, 95.0, 0.0, 1), (94, 94.0, 0.0, 1), (93, 93.0, 0.0, 1)]
+    hot = topk.top_k_join(f.where("id = 5"), d, key="id", score="speed", k=7, fact_cols=["x"],
+                          dim_cols=["vendor"], max_candidates=4)
+    assert [r.vendor for r in hot.collect()] == [0] * 7
+    plan = explain_text(topk._per_key_limited_join(f, d, "id", "speed", ["vendor"], ["x"], 7))
+    assert "WindowGroupLimit" in plan

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.operators.joins import broadcast_budget, row_width
@@ -51,6 +51,7 @@ def top_k_join(
     initial_candidates: int | None = None,
     max_candidates: int = 1 << 16,
     max_bytes: int | None = None,
+    method: str = "candidates",
 ) -> DataFrame:
     """Exact ``(facts ⋈ dims).orderBy(score desc nulls last, key, dim_cols, fact_cols).limit(k)``
     without shuffling either table.
@@ -68,8 +69,12 @@ def top_k_join(
        is the answer.
     4. Otherwise grow ``m`` ×8 and repeat; if all facts were taken the
        candidate join *is* the full join. Past ``max_candidates`` (or the
-       broadcast byte budget) the plain shuffled join + top-k is used.
+       broadcast byte budget) a shuffled join + top-k is used, each side cut
+       to its top k rows per key first (:func:`_per_key_limited_join`).
+    ``method="shuffle"`` goes straight to that shuffled form.
     """
+    if method not in ("candidates", "shuffle"):
+        raise ValueError(f"method must be 'candidates' or 'shuffle', got {method!r}")
     fact_cols = list(dict.fromkeys([key, score, *fact_cols]))
     dim_cols = [c for c in dim_cols if c != key]
     f = facts.select(*fact_cols)
@@ -87,7 +92,7 @@ def top_k_join(
     # Each scan task ships its local top-m to one merging task, so m starts
     # small (that merge holds m × input-splits rows) and grows only on demand.
     m = max(int(initial_candidates or 0), 4 * int(k), 16)
-    while m <= max_candidates and m * width <= budget:
+    while method == "candidates" and m <= max_candidates and m * width <= budget:
         rows = f.orderBy(*fact_order).limit(m).collect()  # bounded: m rows
         exhausted = len(rows) < m
         cand = spark.createDataFrame(rows, f.schema) if rows else f.limit(0)
@@ -100,4 +105,23 @@ def top_k_join(
         if exhausted or top.count() >= k:
             return top
         m *= 8
-    return f.join(d, key, "inner").orderBy(*final_order).limit(int(k))
+    return _per_key_limited_join(f, d, key, score, dim_cols, rest, int(k)).orderBy(*final_order).limit(int(k))
+
+
+def _per_key_limited_join(f: DataFrame, d: DataFrame, key: str, score: str, dim_cols, rest, k: int) -> DataFrame:
+    """``f ⋈ d`` restricted to what can reach a global top k.
+
+    For one key, a fact row with k better fact rows (by score desc, then the
+    other fact columns) has, for every partner, k joined rows ahead of it; the
+    same holds for a dimension row with k better dimension rows. So each side
+    keeps its top k rows per key (``row_number() <= k``, planned with a
+    map-side group limit before the shuffle): a key repeated on both sides
+    yields at most k × k pairs instead of all of them.
+    """
+    fact_rank = Window.partitionBy(key).orderBy(
+        F.col(score).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]
+    )
+    dim_rank = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in dim_cols])
+    f_top = f.withColumn("_rank", F.row_number().over(fact_rank)).where(F.col("_rank") <= k).drop("_rank")
+    d_top = d.withColumn("_rank", F.row_number().over(dim_rank)).where(F.col("_rank") <= k).drop("_rank")
+    return f_top.join(d_top, key, "inner")

@@ -121,9 +121,9 @@ def fastest_trips(
     """Q3 — the ``k`` fastest cleaned trips with their vendor.
 
     Ordered by speed descending (NULL last, NaN first), ties broken by trip id
-    then vendor. ``method="candidates"`` uses :func:`topk.top_k_join` (no
-    shuffle of either table); ``method="join"`` is the plain shuffled join
-    followed by a top-k. Both are exact.
+    then vendor. ``method="candidates"`` (default) avoids shuffling either
+    table; ``method="join"`` shuffles both, each cut to its top k rows per
+    trip id first. Both are exact (:func:`topk.top_k_join`).
     """
     parsed = parsed_trips(trips, variant=variant, cutoff=cutoff, radius=radius, roles=roles)
     facts = parsed.select(
@@ -133,15 +133,18 @@ def fastest_trips(
         F.col(metrics.DURATION).alias("_dur"),
     )
     dims = vendors.select(F.col(vroles.id).alias("_id"), F.col(vroles.vendor).alias("_vendor"))
-    if method == "candidates":
-        top = topk.top_k_join(
-            facts, dims, key="_id", score="_speed", k=k, fact_cols=["_dist", "_dur"], dim_cols=["_vendor"]
-        )
-    elif method == "join":
-        order = [F.col("_speed").desc_nulls_last(), F.col("_id").asc_nulls_last(), F.col("_vendor").asc_nulls_last()]
-        top = topk.top_k(facts.join(dims, "_id", "inner"), order, k)
-    else:
+    if method not in ("candidates", "join"):
         raise ValueError(f"method must be 'candidates' or 'join', got {method!r}")
+    top = topk.top_k_join(
+        facts,
+        dims,
+        key="_id",
+        score="_speed",
+        k=k,
+        fact_cols=["_dist", "_dur"],
+        dim_cols=["_vendor"],
+        method="candidates" if method == "candidates" else "shuffle",
+    )
     if variant == "dataframe":
         return top.select(
             F.col("_vendor").alias("VendorCompanyId"),
