@@ -5,7 +5,7 @@ plan without collecting rows to the driver (plan construction included; for
 the sink queries the timed span includes their write and re-read). The trips
 and vendors tables derived from ``events`` are stored once first (reported as
 ``setup_sec``, not part of ``value``), then one warm-up pass over all queries
-runs; each query's time is the median of ``$BENCH_REPEATS`` (default 3) runs
+runs; each query's time is the median of ``$BENCH_REPEATS`` (default 5) runs
 and ``value`` is the sum of those medians. Prints ONE JSON line.
 """
 
@@ -40,8 +40,12 @@ HEADLINE = {
 
 
 def session(cpus: str) -> SparkSession:
+    builder = SparkSession.builder
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage/task times for scripts/stage_times.py (no UI involved)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("tripspark-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -75,7 +79,7 @@ def main() -> None:
     # Warm-up pass over every query: JIT, class loading, file listing caches.
     for key in HEADLINE.values():
         run(spark, sf_dir, key)
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     times = {}
     for name, key in HEADLINE.items():
         samples = sorted(run(spark, sf_dir, key) for _ in range(repeats))

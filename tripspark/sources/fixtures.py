@@ -16,7 +16,9 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripspark.schemas import TRIP_SCHEMA_NTZ, VENDOR_SCHEMA
 from tripspark.session import scratch_path
 from tripspark.sources.parquet import read_table
 
@@ -67,6 +69,10 @@ def vendors_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+# Schemas of the stored tables (every column nullable, as Parquet reads them).
+DERIVED_TRIP_SCHEMA = T.StructType([T.StructField(f.name, f.dataType, True) for f in TRIP_SCHEMA_NTZ.fields])
+DERIVED_VENDOR_SCHEMA = T.StructType([T.StructField(f.name, f.dataType, True) for f in VENDOR_SCHEMA.fields])
+
 # (application id, events path, file signature) -> (trips path, vendors path)
 _MATERIALIZED: dict[tuple, tuple[str, str]] = {}
 _LOCK = threading.Lock()
@@ -101,10 +107,11 @@ def materialize(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived trips table (materialized once per application)."""
-    return spark.read.parquet(materialize(spark, sf_dir)[0])
+    """The derived trips table (materialized once per application). Read with
+    its fixed schema, so no footer-reading job runs to infer it."""
+    return spark.read.schema(DERIVED_TRIP_SCHEMA).parquet(materialize(spark, sf_dir)[0])
 
 
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived trip → vendor table (materialized once per application)."""
-    return spark.read.parquet(materialize(spark, sf_dir)[1])
+    return spark.read.schema(DERIVED_VENDOR_SCHEMA).parquet(materialize(spark, sf_dir)[1])
