@@ -16,7 +16,13 @@ from pyspark.sql import SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext: the setting must name the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for intermediate tables")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

@@ -93,4 +93,5 @@ def csv_to_parquet(
     Parquet copy, whose later scans are columnar with pushdown."""
     df = read_csv_table(spark, csv_path, schema, timestamp_format=timestamp_format, mode=mode)
     df.write.mode("overwrite").parquet(parquet_path)
-    return spark.read.parquet(parquet_path)
+    # the schema is known: reading with it skips the footer-inference job
+    return spark.read.schema(df.schema).parquet(parquet_path)

@@ -95,7 +95,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     inlined into every filter predicate by the optimizer.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, os.path.abspath(events_path), _signature(events_path))
+    key = (spark.conf.get("spark.app.id", None), os.path.abspath(events_path), _signature(events_path))
     with _LOCK:
         if key not in _MATERIALIZED:
             base = scratch_path(spark, "derived-trips")
