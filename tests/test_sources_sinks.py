@@ -113,3 +113,35 @@ def test_pair_lines_single_file(spark, tmp_path):
     # overwrite replaces the previous output
     write_pair_lines(df.limit(1), "k", "v", path)
     assert [r.value for r in read_text_lines(spark, path).collect()] == ["(05,1.5)"]
+
+
+def test_csv_dropmalformed_and_bad_mode(spark, tmp_path):
+    p = tmp_path / "mixed.csv"
+    p.write_text("\n".join(CSV_LINES) + "\n")
+    kept = read_trips_csv(spark, str(p), schema=TRIP_SCHEMA_NTZ, mode="DROPMALFORMED").collect()
+    # every malformed row is dropped — bad long, bad timestamp, short row,
+    # unparsable fraction, and (unlike PERMISSIVE) the row with an extra field
+    assert sorted(r.id for r in kept) == [1]
+    with pytest.raises(ValueError):
+        read_trips_csv(spark, str(p), mode="LENIENT")
+
+
+def test_shared_dir_never_machine_local_on_a_cluster():
+    from tripspark.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
