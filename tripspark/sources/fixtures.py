@@ -94,7 +94,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     scan prunes columns and receives pushed filters, and the derivation is not
     inlined into every filter predicate by the optimizer.
     """
-    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
+    events_path = f"{str(sf_dir).rstrip('/')}/events.parquet"
     key = (spark.conf.get("spark.app.id", None), os.path.abspath(events_path), _signature(events_path))
     with _LOCK:
         if key not in _MATERIALIZED:

@@ -12,4 +12,4 @@ def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables, e.g. ``read_table(spark, dir, "orders")``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
