@@ -54,6 +54,11 @@ def test_q3_anchor_sf001(spark):
     assert rows[0].SpeedInMetersPerSec == 17982.162130
 
 
+def test_rdd_q3_anchor_sf001(spark):
+    rows = E.queries()["rdd_top_k_fastest"](spark, "/root/testdata/sf0.01").collect()
+    assert (rows[0].SpeedInMetersPerSec, rows[0].VendorCompanyId) == (143922.083077, 1)
+
+
 def test_q2_anchor_sf001(spark):
     rows = [tuple(r) for r in E.queries()["max_cost_by_vendor"](spark, "/root/testdata/sf0.01").collect()]
     assert rows == [(1, 337.16), (2, 386.59), (3, 286.76)]
