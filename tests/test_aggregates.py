@@ -83,3 +83,23 @@ def test_hot_key_join_is_exact(spark):
         got = sorted(map(tuple, joins.join_unique_with_hot_keys(u, o, "k", hot).select("k", "v", "a").collect()))
         want = sorted(map(tuple, u.join(o, "k").select("k", "v", "a").collect()))
         assert got == want
+
+
+def test_hot_key_routing_engages_with_default_settings(spark):
+    """A third of 300k dimension rows on one key is found by the default 0.1 %
+    sample (≈ 100 sampled rows) and routed; the answer is unchanged."""
+    from pyspark.sql import functions as F
+
+    from tripspark.operators import joins
+
+    t = spark.range(0, 200_000).select(F.col("id"), (F.col("id") % 1000).cast("double").alias("cost"))
+    v = spark.range(0, 300_000).select(
+        F.when(F.col("id") < 100_000, F.lit(42)).otherwise(F.col("id") % 200_000).alias("id"),
+        (F.col("id") % 5).cast("int").alias("vendor"),
+    )
+    assert joins.heavy_hitter_keys(v, "id") == [42]
+    routed = aggregates.max_cost_by_vendor(t, v)
+    plan = explain_text(routed)
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    plain = aggregates.max_cost_by_vendor(t, v, hot_key_support=None, preaggregate=False)
+    assert routed.collect() == plain.collect()

@@ -135,16 +135,21 @@ def heavy_hitter_keys(
     * only rows that can qualify, largest first, at most ``1 / support + 1``
       of them, reach the driver — a proven bound.
     A key with ``min_rows`` rows is expected ``min_rows × fraction`` times in
-    the sample (100 with the defaults), so keys big enough to unbalance a
-    task are found reliably. Callers only route keys with the list, so
-    results never depend on it.
+    the sample (100 with the defaults) and is flagged from half of that, so
+    keys big enough to unbalance a task are found reliably; somewhat smaller
+    ones may be routed too, which is harmless. Callers only route keys with
+    the list, so results never depend on it.
     """
     if not 0.0 < support < 1.0:
         raise ValueError("support must be in (0, 1)")
     if not 0.0 < fraction <= 1.0:
         raise ValueError("fraction must be in (0, 1]")
     max_keys = int(1.0 / support)
-    min_sampled = max(1.0, min_rows * fraction)
+    # Sampled counts scatter around their mean; flagging at half the mean a key
+    # at the threshold would have keeps misses negligible (a Poisson count with
+    # mean 100 falls below 50 with probability < 1e-6). Exact counts need no margin.
+    margin = 0.5 if fraction < 1.0 else 1.0
+    min_sampled = max(1.0, min_rows * fraction * margin)
     keys = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
     sampled = keys.sample(fraction=fraction, seed=seed) if fraction < 1.0 else keys
     stats = sampled.rollup("_key").agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_total"))
@@ -155,7 +160,7 @@ def heavy_hitter_keys(
         .collect()
     )
     total = next((r["_n"] for r in rows if r["_total"] == 1), 0)
-    floor = max(min_sampled, support * total)
+    floor = max(min_sampled, support * total * margin)
     return [r["_key"] for r in rows if r["_total"] == 0 and r["_n"] >= floor]
 
 
