@@ -95,7 +95,8 @@ def top_k_join(
     while method == "candidates" and m <= max_candidates and m * width <= budget:
         rows = f.orderBy(*fact_order).limit(m).collect()  # bounded: m rows
         exhausted = len(rows) < m
-        cand = spark.createDataFrame(rows, f.schema) if rows else f.limit(0)
+        # m rows at most: one partition, so collecting them for the broadcast is one task
+        cand = spark.createDataFrame(rows, f.schema).coalesce(1) if rows else f.limit(0)
         if not exhausted:
             cand = cand.where(_strictly_before(score, key, rows[-1]))
         joined = F.broadcast(cand).join(d, key, "inner")
