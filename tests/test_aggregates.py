@@ -103,3 +103,14 @@ def test_hot_key_routing_engages_with_default_settings(spark):
     assert "Union" in plan and "BroadcastHashJoin" in plan
     plain = aggregates.max_cost_by_vendor(t, v, hot_key_support=None, preaggregate=False)
     assert routed.collect() == plain.collect()
+
+
+def test_hot_key_routing_with_text_keys(spark):
+    from tripspark.operators import joins
+
+    u = spark.createDataFrame([(f"t{i}", float(i)) for i in range(50)], "k string, v double")
+    o = spark.createDataFrame([("t3", 1)] * 300 + [(f"t{i}", 2) for i in range(60)], "k string, a int")
+    got = joins.join_unique_with_hot_keys(u, o, "k", ["t3"], max_bytes=10_000)
+    assert "Union" in explain_text(got)
+    assert sorted(map(tuple, got.select("k", "v", "a").collect())) == sorted(
+        map(tuple, u.join(o, "k").select("k", "v", "a").collect()))

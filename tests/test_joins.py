@@ -97,3 +97,14 @@ def test_plain_join_hot_key_is_split_by_adaptive_execution(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_variable_width_side_is_measured_before_broadcast(spark):
+    small = spark.createDataFrame([(1, "a" * 10), (2, "b" * 10)], "k long, s string")
+    huge = spark.createDataFrame([(1, "x" * 600_000), (2, "y" * 600_000)], "k long, s string")
+    assert not joins.is_fixed_width(small.schema)
+    assert joins.measured_bytes(small) == 2 * (8 + 8 + 10)
+    assert joins.fits_broadcast(small, 2, max_bytes=1_000)
+    # two rows, but 1.2 MB of text: the row bound alone proves nothing
+    assert not joins.fits_broadcast(huge, 2, max_bytes=1_000_000)
+    assert joins.bounded_broadcast(huge, 2, max_bytes=1_000_000) is huge

@@ -89,3 +89,15 @@ def test_fallback_does_not_emit_all_pairs_of_a_hot_key(spark):
     assert [r.vendor for r in hot.collect()] == [0] * 7
     plan = explain_text(topk._per_key_limited_join(f, d, "id", "speed", ["vendor"], ["x"], 7))
     assert "WindowGroupLimit" in plan
+
+
+def test_variable_width_candidates_use_the_shuffled_form(spark):
+    facts = [(i, float(i % 13), "t" * (i % 5)) for i in range(200)]
+    dims = [(i, 1 + i % 3) for i in range(0, 200, 2)]
+    f = spark.createDataFrame(facts, "id long, speed double, x string")
+    d = spark.createDataFrame(dims, "id long, vendor int")
+    out = topk.top_k_join(f, d, key="id", score="speed", k=9, fact_cols=["x"], dim_cols=["vendor"])
+    plan = explain_text(out)
+    assert "WindowGroupLimit" in plan          # not the candidate path
+    got = [(r.id, r.speed, r.x, r.vendor) for r in out.collect()]
+    assert same(got, brute_force(facts, dims, 9))

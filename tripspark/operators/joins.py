@@ -59,11 +59,41 @@ def broadcast_budget(df: DataFrame, max_bytes: int | None = None) -> int:
     return value if value > 0 else _DEFAULT_BROADCAST_BYTES
 
 
+def is_fixed_width(schema: T.StructType) -> bool:
+    """True when every column has a fixed byte width (numbers, dates, timestamps)."""
+    return all(type(f.dataType) in _FIXED_WIDTH for f in schema.fields)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of ``df``'s rows: fixed widths plus the actual length of every
+    variable-width value. One aggregate job — meant for sides already bounded
+    in rows (e.g. a ``limit(n)``)."""
+    fixed = 8 + sum(_FIXED_WIDTH.get(type(f.dataType), 0) for f in df.schema.fields)
+    var = [
+        F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
+        for f in df.schema.fields
+        if type(f.dataType) not in _FIXED_WIDTH
+    ]
+    per_row = F.lit(fixed)
+    for v in var:
+        per_row = per_row + v
+    total = df.select(per_row.cast("long").alias("_b")).agg(F.sum("_b")).first()[0]
+    return int(total or 0)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int | None = None) -> bool:
-    """True when ``max_rows`` is a known bound and the side fits the budget."""
+    """True when the side provably fits the broadcast budget: ``max_rows`` is a
+    known row bound, and either every column is fixed-width (bound = rows ×
+    width) or the side's actual bytes, measured over its ≤ ``max_rows`` rows,
+    fit."""
     if max_rows is None:
         return False
-    return int(max_rows) * row_width(df.schema) <= broadcast_budget(df, max_bytes)
+    budget = broadcast_budget(df, max_bytes)
+    if is_fixed_width(df.schema):
+        return int(max_rows) * row_width(df.schema) <= budget
+    if int(max_rows) * 8 > budget:  # cannot fit whatever the values are
+        return False
+    return measured_bytes(df) <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int | None = None) -> DataFrame:
@@ -180,9 +210,12 @@ def join_unique_with_hot_keys(
     stream past them in place, so no single reducer receives a hot key. All
     other keys use the regular shuffled join. The union is the exact join.
     """
-    if not hot_keys or not fits_broadcast(unique_side, len(hot_keys), max_bytes):
+    if not hot_keys:
         return unique_side.join(other, key, "inner")
     is_hot = F.col(key).isin(hot_keys)
-    hot = other.where(is_hot).join(F.broadcast(unique_side.where(is_hot)), key, "inner")
+    hot_partners = unique_side.where(is_hot)  # at most one row per hot key
+    if not fits_broadcast(hot_partners, len(hot_keys), max_bytes):
+        return unique_side.join(other, key, "inner")
+    hot = other.where(is_hot).join(F.broadcast(hot_partners), key, "inner")
     cold = unique_side.where(~is_hot).join(other.where(~is_hot), key, "inner")
     return cold.unionByName(hot)

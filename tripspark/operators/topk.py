@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.operators.joins import broadcast_budget, row_width
+from tripspark.operators.joins import broadcast_budget, is_fixed_width, row_width
 from tripspark.session import shared_dir
 
 
@@ -57,8 +57,9 @@ def top_k_join(
     without shuffling either table.
 
     1. Take the top ``m`` facts by ``(score desc nulls last, key)`` — a map-side
-       heap per task, only ``m`` rows leave the tasks. ``m`` is bounded, so the
-       rows (fixed-width columns) are a proven-size broadcast.
+       heap per task, only ``m`` rows leave the tasks. ``m`` is bounded and
+       the columns must be fixed-width, so the rows are a proven-size
+       broadcast (otherwise the shuffled form below is used).
     2. Keep the candidates strictly before the m-th (boundary) row: every fact
        row before the boundary is among them, and rows equal to the boundary
        are dropped, so duplicates cannot be half-included.
@@ -92,7 +93,9 @@ def top_k_join(
     # Each scan task ships its local top-m to one merging task, so m starts
     # small (that merge holds m × input-splits rows) and grows only on demand.
     m = max(int(initial_candidates or 0), 4 * int(k), 16)
-    while method == "candidates" and m <= max_candidates and m * width <= budget:
+    # The candidate rows are a proven-size broadcast only when their width is fixed.
+    candidates_ok = method == "candidates" and is_fixed_width(f.schema)
+    while candidates_ok and m <= max_candidates and m * width <= budget:
         rows = f.orderBy(*fact_order).limit(m).collect()  # bounded: m rows
         exhausted = len(rows) < m
         # m rows at most: one partition, so collecting them for the broadcast is one task
