@@ -22,3 +22,22 @@ def test_streaming_hourly_average_matches_batch(spark, tmp_path):
     got2 = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     batch = sorted(tuple(r) for r in Q.avg_trip_duration_per_hour(first.unionByName(second)).collect())
     assert got2 == batch == [("05", 0.9), ("07", 0.03)]
+
+
+def test_streaming_from_csv_files(spark, tmp_path):
+    from tripspark.streaming import hourly_average, read_trip_stream
+
+    src = tmp_path / "csv"
+    src.mkdir()
+    (src / "a.csv").write_text(
+        "1,2015-03-10 05:00:00,2015-03-10 05:10:00,-73.9,40.7,-73.8,40.8,12.5\n"
+        "2,2015-03-10 05:30:00,2015-03-10 05:50:00,-73.9,40.7,-73.8,40.8,3.0\n"
+    )
+    stream = read_trip_stream(spark, str(src), fmt="csv")
+    assert stream.isStreaming
+    query = (hourly_average(stream).writeStream.outputMode("complete").format("memory")
+             .queryName("tripspark_csv_stream").trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    query.awaitTermination()
+    rows = [tuple(r) for r in spark.sql("SELECT * FROM tripspark_csv_stream").collect()]
+    assert rows == [("05", 0.9)]
