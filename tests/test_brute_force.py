@@ -151,3 +151,23 @@ def test_questions_match_brute_force(spark, seed, variant):
                 assert close(g.SpeedInMetersPerSec, w[0]) and close(g.DistanceInMeters, w[3])
             else:
                 assert g.VendorCompanyId == w[2] and close(g.SpeedInMetersPerSec, w[0])
+
+
+def test_questions_on_renamed_columns(spark):
+    """Column roles make the questions independent of column names."""
+    from tripspark.schemas import TripRoles, VendorRoles
+
+    rows, vendors = random_trips(5, n=120)
+    t, v = trips_df(spark, rows), vendors_df(spark, vendors)
+    names = {"id": "trip_id", "startDate": "pickup", "endDate": "dropoff", "startLon": "lon0",
+             "startLat": "lat0", "endLon": "lon1", "endLat": "lat1", "cost": "fare"}
+    t2 = t.select(*[t[c].alias(n) for c, n in names.items()])
+    v2 = v.select(v["id"].alias("trip"), v["vendor"].alias("company"))
+    roles = TripRoles(id="trip_id", start="pickup", end="dropoff", start_lon="lon0", start_lat="lat0",
+                      end_lon="lon1", end_lat="lat1", cost="fare")
+    vroles = VendorRoles(id="trip", vendor="company")
+    assert Q.avg_trip_duration_per_hour(t2, roles=roles).collect() == Q.avg_trip_duration_per_hour(t).collect()
+    assert Q.max_trip_cost_per_vendor(t2, v2, roles=roles, vroles=vroles).collect() == \
+        Q.max_trip_cost_per_vendor(t, v).collect()
+    assert Q.fastest_trips(t2, v2, cutoff=CUTOFF, roles=roles, vroles=vroles).collect() == \
+        Q.fastest_trips(t, v, cutoff=CUTOFF).collect()
