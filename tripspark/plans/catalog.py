@@ -219,28 +219,22 @@ def result_sink_csv(spark: SparkSession, d: str) -> DataFrame:
     return read_csv_table(spark, path, result.schema)
 
 
-def _trip_line(df: DataFrame) -> DataFrame:
-    """Render trips as comma-separated lines (NULL → empty field)."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_COLUMNS]
-    return df.select(F.concat_ws(",", *fields).alias("value"))
+def _text_copy(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df``'s rows as comma-separated lines (NULL → empty field) and
+    read them back as text."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    path = write_result(df.select(F.concat_ws(",", *fields).alias("value")), scratch_path(spark, label), "text")
+    return read_text_lines(spark, path)
 
 
 def text_line_parse(spark: SparkSession, d: str) -> DataFrame:
     """Trips → text lines → typed rows by position, plus the start hour read
     straight from the raw line. Tolerant parsing keeps NULL fields as NULL."""
-    path = write_result(_trip_line(trips(spark, d)), scratch_path(spark, "trips-text"), "text")
-    lines = read_text_lines(spark, path)
+    lines = _text_copy(spark, trips(spark, d).select(*TRIP_COLUMNS), "trips-text")
     parsed = parse_lines(lines, TRIP_SCHEMA_NTZ, strict=False, keep_line=True)
     return parsed.select(*TRIP_COLUMNS, extract_start_hour(F.col("value")).alias("HourOfDay"))
 
 
-def _text_copy(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write ``df``'s rows as comma-separated lines and read them back as text."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    path = write_result(df.select(F.concat_ws(",", *fields).alias("value")), scratch_path(spark, label), "text")
-    return read_text_lines(spark, path)
-
-
 def rdd_text_avg_duration_by_hour(spark: SparkSession, d: str) -> DataFrame:
     """Q1 from raw trip lines: hour text and whole-second timestamps read by position."""
     return line_queries.avg_duration_by_hour_from_lines(_text_copy(spark, trips(spark, d), "trips-text"))
