@@ -72,6 +72,9 @@ def test_hot_dimension_key_is_routed_around_the_shuffle(spark):
     assert fast == plain and len(fast) == 43
     plan = explain_text(aggregates.max_cost_by_vendor(t, v, hot_key_min_rows=100, hot_key_sample=1.0))
     assert "BroadcastHashJoin" in plan and "Union" in plan
+    known = aggregates.max_by_dimension(t, v, fact_key="id", dim_key="id", value="cost", attribute="vendor",
+                                        key_alias="VendorId", value_alias="MaxTripCost", hot_keys=[7])
+    assert "Union" in explain_text(known) and known.collect() == plain
 
 
 def test_hot_key_join_is_exact(spark):

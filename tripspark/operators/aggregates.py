@@ -105,6 +105,7 @@ def max_by_dimension(
     hot_key_support: float | None = DEFAULT_HOT_SUPPORT,
     hot_key_min_rows: int = DEFAULT_HOT_MIN_ROWS,
     hot_key_sample: float = DEFAULT_HOT_SAMPLE,
+    hot_keys: list | None = None,
     order: bool = True,
 ) -> DataFrame:
     """``max(facts.value)`` per ``dims.attribute`` over ``facts ⋈ dims`` (inner).
@@ -122,15 +123,20 @@ def max_by_dimension(
     ``hot_key_sample`` sample of the dimension keys, and joined by
     broadcasting their
     single fact row (:func:`joins.join_unique_with_hot_keys`); ``None`` turns
-    the detection off. ``key_type`` casts the output key (e.g. ``"string"``
+    the detection off; ``hot_keys`` names known hot keys and skips the
+    detection job. ``key_type`` casts the output key (e.g. ``"string"``
     for text ordering).
     """
     f = facts.select(F.col(fact_key).alias("_k"), F.col(value).alias("_v"))
     if preaggregate:
         f = f.groupBy("_k").agg(F.max("_v").alias("_v"))
     d = dims.select(F.col(dim_key).alias("_k"), F.col(attribute).alias("_a"))
-    if preaggregate and hot_key_support is not None:
-        hot = heavy_hitter_keys(d, "_k", hot_key_support, hot_key_min_rows, fraction=hot_key_sample)
+    if preaggregate and (hot_keys is not None or hot_key_support is not None):
+        hot = (
+            list(hot_keys)
+            if hot_keys is not None
+            else heavy_hitter_keys(d, "_k", hot_key_support, hot_key_min_rows, fraction=hot_key_sample)
+        )
         joined = join_unique_with_hot_keys(f, d, "_k", hot)
     else:
         joined = f.join(d, "_k", "inner")
