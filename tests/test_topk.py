@@ -101,3 +101,29 @@ def test_variable_width_candidates_use_the_shuffled_form(spark):
     assert "WindowGroupLimit" in plan          # not the candidate path
     got = [(r.id, r.speed, r.x, r.vendor) for r in out.collect()]
     assert same(got, brute_force(facts, dims, 9))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_strictly_before_agrees_with_spark_sort(spark, seed):
+    """For every boundary row, the predicate selects exactly the rows that
+    Spark's own (score desc nulls last, key asc nulls last) sort puts before it
+    — NULL and NaN scores and NULL keys included."""
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, math.nan, 0.0, -0.5, 1.5, 1.5])) for _ in range(40)]
+    df = spark.createDataFrame(rows, "k long, s double")
+    order = [F.col("s").desc_nulls_last(), F.col("k").asc_nulls_last()]
+    ranked = df.orderBy(*order).collect()
+
+    def pos_key(r):
+        # position class in the sort: equal rows share it
+        nan = r.s is not None and math.isnan(r.s)
+        return (r.s is None, nan, None if nan else r.s, r.k is None, r.k)
+
+    for b in ranked[::5]:
+        expected = []
+        for r in ranked:
+            if pos_key(r) == pos_key(b):
+                break
+            expected.append((r.k, r.s))
+        got = df.where(topk._strictly_before("s", "k", b)).orderBy(*order).collect()
+        assert same([(r.k, r.s) for r in got], expected)
