@@ -61,3 +61,32 @@ def test_top_k_scans_without_shuffling_the_tables(spark):
     plan = explain_text(E.queries()["top_k_fastest"](spark, SF_SMALL))
     # the returned frame reads the checkpointed k rows
     assert "Exchange" not in plan and "SortMergeJoin" not in plan
+
+
+BOUNDED_BROADCASTS = {"join_strategy_broadcast", "join_strategy_report", "trip_vendor_limited_join"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_broadcasts_only_bounded_sides_at_scale(spark, name):
+    """With statistics-based broadcasts ruled out (as for 100 TB tables), the
+    only broadcasts left are hinted ones over a truncated (top-n) dimension."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = explain_text(E.queries()[name](spark, SF_SMALL)).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    lines = tree.splitlines()
+    broadcasts = [i for i, ln in enumerate(lines) if "BroadcastExchange" in ln]
+    if name not in BOUNDED_BROADCASTS:
+        assert not broadcasts, tree
+        return
+    assert broadcasts, tree
+    for i in broadcasts:
+        depth = len(lines[i]) - len(lines[i].lstrip(" :|+-"))
+        below = []
+        for ln in lines[i + 1:]:
+            if len(ln) - len(ln.lstrip(" :|+-")) <= depth:
+                break
+            below.append(ln)
+        assert any("TakeOrderedAndProject" in ln for ln in below), tree
