@@ -127,3 +127,12 @@ def test_strictly_before_agrees_with_spark_sort(spark, seed):
             expected.append((r.k, r.s))
         got = df.where(topk._strictly_before("s", "k", b)).orderBy(*order).collect()
         assert same([(r.k, r.s) for r in got], expected)
+
+
+def test_k_is_validated(spark):
+    df = spark.range(10).withColumn("s", F.col("id") * 1.0)
+    for bad in (0, -1, topk.MAX_TOP_K + 1):
+        with pytest.raises(ValueError):
+            topk.top_k(df, [F.col("s").desc()], bad)
+        with pytest.raises(ValueError):
+            topk.top_k_join(df, df.select("id"), key="id", score="s", k=bad, fact_cols=[], dim_cols=[])

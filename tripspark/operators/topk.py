@@ -16,10 +16,19 @@ from tripspark.operators.joins import broadcast_budget, is_fixed_width, row_widt
 from tripspark.session import shared_dir
 
 
+# A top-k keeps a k-slot heap per task (allocated up front): beyond this size a
+# full sort and a distributed write is the right tool, not a top-k.
+MAX_TOP_K = 10_000_000
+
+
+def _check_k(k: int) -> int:
+    if not 0 < int(k) <= MAX_TOP_K:
+        raise ValueError(f"k must be in 1..{MAX_TOP_K} (a top-k keeps k rows per task); got {k}")
+    return int(k)
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    if k <= 0:
-        raise ValueError("k must be positive")
-    return df.orderBy(*order).limit(int(k))
+    return df.orderBy(*order).limit(_check_k(k))
 
 
 def _strictly_before(score: str, key: str, boundary) -> Column:
@@ -76,6 +85,7 @@ def top_k_join(
     """
     if method not in ("candidates", "shuffle"):
         raise ValueError(f"method must be 'candidates' or 'shuffle', got {method!r}")
+    k = _check_k(k)
     fact_cols = list(dict.fromkeys([key, score, *fact_cols]))
     dim_cols = [c for c in dim_cols if c != key]
     f = facts.select(*fact_cols)
