@@ -41,3 +41,24 @@ def test_streaming_from_csv_files(spark, tmp_path):
     query.awaitTermination()
     rows = [tuple(r) for r in spark.sql("SELECT * FROM tripspark_csv_stream").collect()]
     assert rows == [("05", 0.9)]
+
+
+def test_row_local_operators_on_a_stream(spark, tmp_path):
+    from tripspark.operators import filters, metrics
+    from tripspark.streaming import read_trip_stream
+
+    df = trips_df(spark, [trip(1, "2015-03-10 05:00:00", "2015-03-10 05:10:00"),
+                          trip(2, "2015-03-10 05:00:00", "2015-03-10 05:10:00", slon=0.0),
+                          trip(3, "2015-03-10 06:00:00", "2015-03-10 06:00:30", elat=41.0)])
+    files = str(tmp_path / "in")
+    df.write.parquet(files)
+
+    def chain(x):
+        return metrics.trip_metrics(filters.valid_coordinates(x)).select("id", metrics.DURATION, metrics.SPEED)
+
+    query = (chain(read_trip_stream(spark, files)).writeStream.outputMode("append").format("memory")
+             .queryName("tripspark_row_local").trigger(availableNow=True)
+             .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    query.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM tripspark_row_local").collect())
+    assert got == sorted(tuple(r) for r in chain(df).collect()) and [r[0] for r in got] == [1, 3]
