@@ -49,7 +49,7 @@ def test_dataframe_program_csv_and_parquet(spark, inputs):
     assert sorted(tuple(r) for r in q2) == [(2, 99.0), (10, 99.0)]
     runp = programs.run_dataframe_program(spark, t, v, str(tmp / "resp"), parquet_trips=str(tmp / "tp"),
                                           parquet_vendors=str(tmp / "vp"))
-    assert runp.outputs["Q1"].endswith(".parquet") and "convert" in runp.seconds
+    assert runp.outputs["Q1"].endswith("/Q1_results.parquet") and "convert" in runp.seconds
     q3 = spark.read.parquet(runp.outputs["Q3"]).orderBy(F.col("SpeedInMetersPerSec").desc()).collect()
     assert [r.TripId for r in q3][:2] == [4, 4]     # two vendors for trip 4
     assert os.path.isdir(runp.outputs["Q3"])
@@ -58,6 +58,7 @@ def test_dataframe_program_csv_and_parquet(spark, inputs):
 def test_text_program(spark, inputs):
     t, v, tmp = inputs
     run = programs.run_text_program(spark, t, v, str(tmp / "txt"))
+    assert run.outputs["Q2"].endswith("/Q2_results")
     q2 = sorted(r.value for r in spark.read.text(run.outputs["Q2"]).collect())
     assert q2 == ["(10,99.0)", "(2,99.0)"]
     q1 = [r.value for r in spark.read.text(run.outputs["Q1"]).collect()]

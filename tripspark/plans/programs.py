@@ -32,8 +32,10 @@ from tripspark.sources import (
     read_vendors_csv,
 )
 
-# Result names.
+# Result names (folder names below the results path; the typed
+# program adds "." + format).
 RESULT_NAMES = ("Q1", "Q2", "Q3")
+RESULT_FILES = {"Q1": "Q1_results", "Q2": "Q2_results", "Q3": "Q3_results"}
 
 # The text program reads vendor ids as 64-bit numbers.
 _VENDOR_LONG_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("vendor", T.LongType())])
@@ -65,7 +67,7 @@ def run_dataframe_program(
     timestamp_format: str = REFERENCE_TIMESTAMP_FORMAT,
     k: int = trip_queries.DEFAULT_K,
 ) -> ProgramRun:
-    """CSV → (optional Parquet copy) → lookup, Q1, Q2, Q3 → ``results_dir/Qn.<fmt>``.
+    """CSV → (optional Parquet copy) → lookup, Q1, Q2, Q3 → ``results_dir/Qn_results.<fmt>``.
 
     Passing both ``parquet_*`` paths converts the inputs first and runs the
     questions on the Parquet copies; results are then written as Parquet,
@@ -90,7 +92,7 @@ def run_dataframe_program(
     results["Q3"] = trip_queries.fastest_trips(trips, vendors, k=k, cutoff=cutoff)
     run.seconds["Q3_candidates"] = time.perf_counter() - t0
     for name in RESULT_NAMES:
-        path = f"{results_dir.rstrip('/')}/{name}.{fmt}"
+        path = f"{results_dir.rstrip('/')}/{RESULT_FILES[name]}.{fmt}"
         run.frames[name] = results[name]
         _timed(run, name, lambda df=results[name], p=path: write_result(df, p, fmt))
         run.outputs[name] = path
@@ -125,7 +127,7 @@ def run_text_program(
         "Q3": (q3, "SpeedInMetersPerSec", "VendorCompanyId", True),
     }
     for name, (df, key, value, single) in pairs.items():
-        path = f"{results_dir.rstrip('/')}/{name}"
+        path = f"{results_dir.rstrip('/')}/{RESULT_FILES[name]}"
         run.frames[name] = df
         _timed(run, name, lambda df=df, p=path, kk=key, vv=value, one=single: write_pair_lines(
             df, kk, vv, p, single_file=one))
