@@ -56,7 +56,9 @@ def avg_duration_by_hour_from_lines(
         key_alias="HourOfDay",
         value_alias="AverageTripDuration",
         label=lambda c: c,
-        max_buckets=25,
+        # strict parsing validates the start field, so at most 24 hours (+ NULL);
+        # tolerant parsing could let malformed text form other groups
+        max_buckets=25 if strict else None,
     )
 
 
