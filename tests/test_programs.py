@@ -75,3 +75,30 @@ def test_join_program(spark, inputs):
     assert run.outputs == {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin"}
     assert run.frames["broadcast"].columns.count("id") == 1
     assert sorted(map(tuple, run.frames["broadcast"].collect())) == sorted(map(tuple, run.frames["merge"].collect()))
+
+
+def test_dataframe_program_on_derived_trips_matches_the_queries(spark, tmp_path):
+    """Trips written as CSV with the fraction-less pattern, run through the
+    whole program (with Parquet conversion), give the same Q1/Q2/Q3 as the
+    typed queries over the same trips truncated to whole seconds (the pattern
+    drops fractions, so a sub-second trip becomes end == start)."""
+    from conftest import SF_SMALL
+    from tripspark.plans import trip_queries as Q
+    from tripspark.sinks import write_csv_table
+    from tripspark.sources import REFERENCE_TIMESTAMP_FORMAT, trips, vendors
+
+    t, v = trips(spark, SF_SMALL), vendors(spark, SF_SMALL)
+    tc = write_csv_table(t, str(tmp_path / "trips_csv"), timestamp_format=REFERENCE_TIMESTAMP_FORMAT)
+    vc = write_csv_table(v, str(tmp_path / "vendors_csv"))
+    run = programs.run_dataframe_program(spark, tc, vc, str(tmp_path / "res"), parquet_trips=str(tmp_path / "tp"),
+                                         parquet_vendors=str(tmp_path / "vp"), cutoff="2024-01-10 00:00:00")
+    from pyspark.sql import functions as F
+
+    t = t.withColumns({c: F.date_trunc("second", F.col(c)) for c in ("startDate", "endDate")})
+    q1 = sorted(map(tuple, spark.read.parquet(run.outputs["Q1"]).collect()))
+    assert q1 == sorted(map(tuple, Q.avg_trip_duration_per_hour(t).collect()))
+    q2 = sorted(map(tuple, spark.read.parquet(run.outputs["Q2"]).collect()))
+    assert q2 == sorted(map(tuple, Q.max_trip_cost_per_vendor(t, v).collect()))
+    q3 = spark.read.parquet(run.outputs["Q3"]).collect()
+    want = Q.fastest_trips(t, v, cutoff="2024-01-10 00:00:00").collect()
+    assert sorted(map(tuple, q3)) == sorted(map(tuple, want)) and len(want) == 5
