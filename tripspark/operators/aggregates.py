@@ -118,14 +118,13 @@ def max_by_dimension(
     exchange it needs is the same hash partitioning the join reuses.
     Hot keys on the *dimension* side (a key holding a large share of its rows)
     cannot be split by adaptive skew handling once the fact side is
-    aggregated, so keys with at least ``hot_key_support`` of the dimension rows
-    (and at least ``hot_key_min_rows`` rows) are found from a
-    ``hot_key_sample`` sample of the dimension keys, and joined by
-    broadcasting their
-    single fact row (:func:`joins.join_unique_with_hot_keys`); ``None`` turns
-    the detection off; ``hot_keys`` names known hot keys and skips the
-    detection job. ``key_type`` casts the output key (e.g. ``"string"``
-    for text ordering).
+    aggregated. Keys with at least ``hot_key_support`` of the dimension rows
+    and at least ``hot_key_min_rows`` rows are found from a
+    ``hot_key_sample`` sample of the dimension keys and joined by
+    broadcasting their single fact row (:func:`joins.join_unique_with_hot_keys`).
+    ``hot_key_support=None`` turns the detection off; ``hot_keys`` names known
+    hot keys and skips the detection job. ``key_type`` casts the output key
+    (e.g. ``"string"`` for text ordering).
     """
     f = facts.select(F.col(fact_key).alias("_k"), F.col(value).alias("_v"))
     if preaggregate:
