@@ -7,8 +7,9 @@ change how another one is planned.
 * ``"auto"``         — planner's choice; adaptive execution may still switch to
                        a broadcast at runtime from measured sizes.
 * ``"broadcast"``    — broadcast hash join, only when the build side has a proven
-                       size bound (``dim_max_rows`` × row width ≤ byte budget);
-                       otherwise falls back to ``"auto"``.
+                       size bound (``dim_max_rows`` × fixed row width, or the
+                       measured bytes of its bounded rows when strings are
+                       present, ≤ byte budget); otherwise falls back to ``"auto"``.
 * ``"merge"``        — sort-merge join (both sides shuffled on the key).
 * ``"shuffle_hash"`` — shuffled hash join.
 """
