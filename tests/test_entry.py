@@ -17,6 +17,8 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["HourOfDay", "AverageTripDuration"] and len(rows) == 24
+    assert df.dtypes == [("HourOfDay", "string"), ("AverageTripDuration", "double")]
+    assert [r.HourOfDay for r in rows] == [f"{h:02d}" for h in range(24)]   # ordered
 
 
 def test_every_query_has_an_oracle():
