@@ -2,4 +2,8 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tripspark.llm import source_mixing
+
+SQL: dict[str, str] = {
+    "op3_source_mixing": source_mixing.ORACLE,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import quality_rules, simhash_dedup
+from tripspark.llm import quality_rules, simhash_dedup, source_mixing
 from tripspark.llm.common import crc32_mod
 
 
@@ -22,11 +22,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_source_mixing": op3_source_mixing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
