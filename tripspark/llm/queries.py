@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import quality_rules, simhash_dedup, source_mixing
+from tripspark.llm import decontaminate, quality_rules, simhash_dedup, source_mixing
 from tripspark.llm.common import crc32_mod
 
 
@@ -30,8 +30,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mixing": op3_source_mixing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
