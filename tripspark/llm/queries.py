@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, quality_rules, simhash_dedup, source_mixing
+import corpus_pipeline
+from tripspark.llm import decontaminate, packing, quality_rules, simhash_dedup, source_mixing, token_counts
 from tripspark.llm.common import crc32_mod
 
 
@@ -15,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), crc32_mod("doc_id", 4) == 2
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
@@ -30,13 +35,20 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mixing": op3_source_mixing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_packing": op8_packing,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
