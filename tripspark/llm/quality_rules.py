@@ -20,15 +20,16 @@ or label. Extra columns pass through ``keep_good`` and are ignored by ``score``.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from math import exp
+from math import exp, log
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import stored, text_or_empty, word_count
+from tripspark.llm.common import stored, text_or_empty
 
 _SPACES = r"[\x20\x09-\x0D]+"
 #: Words in a block of ``distinct_word_share``.
@@ -44,46 +45,58 @@ def _kept_chars(text: Column, not_in: str) -> Column:
     return F.length(F.regexp_replace(text, not_in, ""))
 
 
-def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` plus one double column per name in :data:`STATISTICS`. Built in two
-    projections, so that shared parts (words, lines, letters) are computed once."""
-    text = F.col("_text")
-    base = df.withColumn("_text", text_or_empty(text_col)).withColumns({
-        "_n": F.length(text),
-        "_words": F.filter(F.split(text, _SPACES), lambda w: w != ""),
-        "_lines": F.filter(F.split(text, r"\n"), lambda x: x != ""),
-        "_letters": _kept_chars(text, r"[^\p{L}]+"),
-        "_upper": _kept_chars(text, r"[^\p{Lu}]+"),
-        "_digits": _kept_chars(text, r"[^\p{N}]+"),
-        "_marks": _kept_chars(text, r"[\p{L}\p{N}\s]+"),
-        "_symbols": _kept_chars(text, r"[\p{L}\p{N}\s.,;:!?'\"()-]+"),
-        "_ends": F.regexp_count(text, F.lit(r"[.!?]+")),
-        "_repeats": F.regexp_count(text, F.lit(r"(?<!\S)(\S+)(?=\s+\1(?!\S))")),
-        "_marked": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]{2,}(?!\S)")),
-        "_count": word_count(text),
-    })
-    n, count = F.col("_n"), F.col("_count")
-    lengths = F.transform("_words", lambda w: F.length(w))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever the optimiser moves the expression.
+    (A filter over a projected column would otherwise be pushed below the projection, and the
+    column's expression repeated at each of its uses.)"""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def statistics(text: str | Column) -> Column:
+    """Struct of the :data:`STATISTICS` of a text, doubles."""
+    return _let(text_or_empty(text), lambda t: _let(_parts(t), _ratios))
+
+
+def _parts(text: Column) -> Column:
+    return F.struct(*[v.alias(k) for k, v in {
+        "n": F.length(text),
+        "words": F.filter(F.split(text, _SPACES), lambda w: w != ""),
+        "lines": F.filter(F.split(text, r"\n"), lambda x: x != ""),
+        "letters": _kept_chars(text, r"[^\p{L}]+"),
+        "upper": _kept_chars(text, r"[^\p{Lu}]+"),
+        "digits": _kept_chars(text, r"[^\p{N}]+"),
+        "marks": _kept_chars(text, r"[\p{L}\p{N}\s]+"),
+        "symbols": _kept_chars(text, r"[\p{L}\p{N}\s.,;:!?'\"()-]+"),
+        "solid": _kept_chars(text, r"\s+"),
+        "ends": F.regexp_count(text, F.lit(r"[.!?]+")),
+        "repeats": F.regexp_count(text, F.lit(r"(?<!\S)(\S+)(?=\s+\1(?!\S))")),
+        "marked": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]{2,}(?!\S)")),
+    }.items()])
+
+
+def _ratios(p: Column) -> Column:
+    n, words, lines = p["n"], p["words"], p["lines"]
+    count = F.size(words)
     # Distinct words are counted in blocks, as a whole text's share falls with its length.
-    starts = F.when(count > 0, F.sequence(F.lit(1), F.size("_words"), F.lit(_BLOCK))).otherwise(F.array().cast("array<int>"))
-    chunks = F.transform(starts, lambda i: F.slice("_words", i, _BLOCK))
-    return base.withColumns({
+    starts = F.when(count > 0, F.sequence(F.lit(1), count, F.lit(_BLOCK))).otherwise(F.array().cast("array<int>"))
+    distinct = F.aggregate(starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice(words, i, _BLOCK))))
+    values = {
         "log_words": F.log1p(count.cast("double")),
-        "letter_share": _share(F.col("_letters"), n),
-        "upper_share": _share(F.col("_upper"), F.col("_letters")),
-        "digit_share": _share(F.col("_digits"), n),
-        "mark_share": _share(F.col("_marks"), n),
-        "symbol_share": _share(F.col("_symbols"), n),
-        "distinct_word_share": _share(F.aggregate(chunks, F.lit(0), lambda a, c: a + F.size(F.array_distinct(c))), count),
-        "repeat_share": _share(F.col("_repeats"), count),
-        "marked_word_share": _share(F.col("_marked"), count),
-        "mean_word_length": _share(_kept_chars(text, r"\s+"), count),
-        "longest_word": F.coalesce(F.array_max(lengths), F.lit(0)).cast("double"),
-        "words_per_sentence": count / (F.lit(1.0) + F.col("_ends")),
-        "line_repeat_share": _share(F.size("_lines") - F.size(F.array_distinct("_lines")), F.size("_lines")),
-        "words_per_line": count / (F.lit(1.0) + F.size("_lines")),
-    }).drop("_text", "_n", "_words", "_lines", "_letters", "_upper", "_digits", "_marks", "_symbols", "_ends",
-            "_repeats", "_marked", "_count")
+        "letter_share": _share(p["letters"], n),
+        "upper_share": _share(p["upper"], p["letters"]),
+        "digit_share": _share(p["digits"], n),
+        "mark_share": _share(p["marks"], n),
+        "symbol_share": _share(p["symbols"], n),
+        "distinct_word_share": _share(distinct, count),
+        "repeat_share": _share(p["repeats"], count),
+        "marked_word_share": _share(p["marked"], count),
+        "mean_word_length": _share(p["solid"], count),
+        "longest_word": F.coalesce(F.array_max(F.transform(words, lambda w: F.length(w))), F.lit(0)).cast("double"),
+        "words_per_sentence": count / (F.lit(1.0) + p["ends"]),
+        "line_repeat_share": _share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
+        "words_per_line": count / (F.lit(1.0) + F.size(lines)),
+    }
+    return F.struct(*[values[k].alias(k) for k in STATISTICS])
 
 
 #: Statistics in feature order.
@@ -95,11 +108,11 @@ STATISTICS = ("log_words", "letter_share", "upper_share", "digit_share", "mark_s
 Rule = tuple[tuple[int, float, float], ...]
 
 
-def rule_column(rule: Rule) -> Column:
-    """The rule as a boolean column expression over the statistics."""
+def rule_column(rule: Rule, stats: Column) -> Column:
+    """The rule as a boolean column expression over a struct of statistics."""
     out = F.lit(True)
     for i, low, high in rule:
-        c = F.col(STATISTICS[i])
+        c = stats[STATISTICS[i]]
         if low > float("-inf"):
             out = out & (c > F.lit(low))
         if high < float("inf"):
@@ -138,12 +151,15 @@ class RuleEnsemble:
     intercept: float
     weights: dict[Rule, float] = field(default_factory=dict)
 
-    def score_column(self) -> Column:
-        """Score in 0..1 over the statistics columns."""
-        total = F.lit(self.intercept)
-        for rule, weight in self.weights.items():
-            total = total + F.when(rule_column(rule), F.lit(weight)).otherwise(F.lit(0.0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+    def score_column(self, text: str | Column = "text") -> Column:
+        """Score of a text, 0 to 1."""
+        def total(stats: Column) -> Column:
+            out = F.lit(self.intercept)
+            for rule, weight in self.weights.items():
+                out = out + F.when(rule_column(rule, stats), F.lit(weight)).otherwise(F.lit(0.0))
+            return F.lit(1.0) / (F.lit(1.0) + F.exp(-out))
+
+        return _let(statistics(text), total)
 
     def score_values(self, stats: dict[str, float]) -> float:
         """The same score for one row's statistics (tests, inspection)."""
@@ -156,7 +172,7 @@ class RuleEnsemble:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, *, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """Statistics and label (``id``, the statistics, ``label``) of at most ``max_rows``
+    """Statistics and label (``id, s, label``) of at most ``max_rows``
     labelled documents, those of the lowest id hash; one row per id, in one partition."""
     ids = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -165,9 +181,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, *, id_col
     )
     # Broadcast: at most max_rows rows of an id and a label.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    stats = with_statistics(rows).groupBy("id").agg(
-        F.min("label").cast("double").alias("label"), F.min(F.struct(*STATISTICS)).alias("s"))
-    return stored(stats.select("id", "s.*", "label").coalesce(1).sortWithinPartitions("id"))
+    stats = rows.select("id", "label", statistics("text").alias("s")).groupBy("id").agg(
+        F.min("label").cast("double").alias("label"), F.min("s").alias("s"))
+    return stored(stats.select("id", "s", "label").coalesce(1).sortWithinPartitions("id"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, trees: int = 30, depth: int = 3,
@@ -179,13 +195,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, trees: in
     if not 0 < ones < n:
         share = (ones + 0.5) / (n + 1.0) if n else 0.5
         return RuleEnsemble(_logit(share))
-    vectors = sample.select(array_to_vector(F.array(*STATISTICS)).alias("features"), "label", *STATISTICS)
+    vectors = sample.select(array_to_vector(F.array(*[F.col("s")[k] for k in STATISTICS])).alias("features"), "label", "s")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, featureSubsetStrategy="onethird",
                                     minInstancesPerNode=max(1, min(20, int(n // 200))), seed=17).fit(vectors)
     rules = tree_rules(forest.toDebugString)
     if not rules:
         return RuleEnsemble(_logit(ones / n))
-    held = stored(vectors.select(array_to_vector(F.array(*[rule_column(r).cast("double") for r in rules]))
+    held = stored(vectors.select(array_to_vector(F.array(*[rule_column(r, F.col("s")).cast("double") for r in rules]))
                                  .alias("features"), "label"))
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100, tol=1e-6).fit(held)
     weights = {r: float(w) for r, w in zip(rules, lasso.coefficients.toArray()) if w}
@@ -193,21 +209,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, trees: in
 
 
 def _logit(p: float) -> float:
-    from math import log
-
     return log(p / (1.0 - p))
 
 
 def score(docs: DataFrame, model: RuleEnsemble, *, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = 0.7) -> DataFrame:
     """``doc_id, score, predicted``: one row per document."""
-    stats = with_statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    return stats.select("doc_id", model.score_column().alias("score")).withColumn(
-        "predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+    scored = docs.select(F.col(id_col).alias("doc_id"), model.score_column(text_col).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The documents with a score of ``threshold`` or more, columns as given."""
-    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("text"))
-    scored = with_statistics(own).where(model.score_column() >= F.lit(threshold))
-    return scored.select("_row.*")
+    return docs.where(model.score_column(text_col) >= F.lit(threshold))
