@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tripspark.llm import source_mixing
+from tripspark.llm import secret_scan, source_mixing
 
 SQL: dict[str, str] = {
     "op3_source_mixing": source_mixing.ORACLE,
+    "op7_secret_scan": secret_scan.oracle_sql(),
 }
