@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripspark.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, source_mixing, token_counts
+from tripspark.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
 from tripspark.llm.common import crc32_mod
 
 
@@ -35,6 +35,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mixing": op3_source_mixing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_site_style_tree": op6_site_style_tree,
     "op7_secret_scan": op7_secret_scan,
     "op8_packing": op8_packing,
     "op10_decontaminate": op10_decontaminate,
