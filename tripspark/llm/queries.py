@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripspark.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
+from tripspark.llm import decontaminate, language_id, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
 from tripspark.llm.common import crc32_mod
 
 
@@ -35,6 +35,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False))
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), F.col("identified.nearest").alias("lang_pred"), "identified.score",
+                        F.col("identified.lang").alias("lang_or_rejected"))
+
+
 def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style_tree.extract(table(spark, sf_dir, "pages"))
 
@@ -56,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mixing": op3_source_mixing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op6_site_style_tree": op6_site_style_tree,
     "op7_secret_scan": op7_secret_scan,
     "op8_packing": op8_packing,
