@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripspark.llm import decontaminate, language_id, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
+from tripspark.llm import decontaminate, language_id, multiprobe_lsh, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
 from tripspark.llm.common import crc32_mod
 
 
@@ -55,6 +55,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multiprobe_lsh.neighbours(vectors.where(F.col("vec_id") % 100 == 0), vectors)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_site_style_tree": op6_site_style_tree,
     "op7_secret_scan": op7_secret_scan,
     "op8_packing": op8_packing,
+    "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_decontaminate": op10_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
