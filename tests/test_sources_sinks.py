@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from tripspark.schemas import TRIP_SCHEMA_NTZ, VENDOR_SCHEMA
 from tripspark.sinks import csv_to_parquet, pair_lines, write_csv_table, write_pair_lines
 from tripspark.sources import (
-    extract_cost,
     extract_start_hour,
     extract_trip_id,
     extract_vendor_id,
+    line_field,
     parse_trip_lines,
     parse_vendor_lines,
     read_text_lines,
@@ -67,7 +67,7 @@ def test_text_line_parsing(spark, tmp_path):
     parsed = parse_trip_lines(lines, schema=TRIP_SCHEMA_NTZ).collect()
     assert parsed[1].startDate == dt.datetime(2015, 3, 10, 7, 0, 0, 250000)
     fields = lines.select(extract_start_hour(F.col("value")).alias("h"), extract_trip_id(F.col("value")).alias("i"),
-                          extract_cost(F.col("value")).alias("c")).collect()
+                          line_field(F.col("value"), 7).cast("double").alias("c")).collect()
     assert [(r.h, r.i, r.c) for r in fields] == [("05", "1", 12.5), ("07", "7", 9.0)]
     vp = tmp_path / "v.txt"
     vp.write_text("1,2\n")
@@ -88,6 +88,30 @@ def test_text_parse_strict_fails_on_bad_token(spark, tmp_path):
     assert tolerant.id is None and tolerant.cost == 1.0
 
 
+def test_strict_parsing_survives_column_pruning(spark):
+    from tripspark.plans import trip_queries
+
+    good = "1,2015-03-10 05:00:00,2015-03-10 05:10:00,1.0,2.0,3.0,4.0,{}"
+    bad_cost = spark.createDataFrame([(good.format("XX"),)], "value string")
+    vendors = parse_vendor_lines(spark.createDataFrame([("1,2",)], "value string"))
+    with pytest.raises(Exception, match="cannot parse cost"):
+        parse_trip_lines(bad_cost).select("id").collect()
+    with pytest.raises(Exception, match="cannot parse cost"):
+        trip_queries.fastest_trips(parse_trip_lines(bad_cost), vendors, cutoff="2015-01-01 00:00:00", variant="rdd").collect()
+    short = spark.createDataFrame([("7,2015-03-10 05:00:00",)], "value string")
+    with pytest.raises(Exception, match="missing fields"):
+        parse_trip_lines(short).select("id").collect()
+
+
+def test_tolerant_short_lines_and_literal_delimiters(spark):
+    short = spark.createDataFrame([("7",), ("8,2",)], "value string")
+    assert [tuple(r) for r in parse_vendor_lines(short, strict=False).collect()] == [(7, None), (8, 2)]
+    assert parse_trip_lines(short, strict=False).where("cost is null").count() == 2
+    piped = spark.createDataFrame([("12|3",)], "value string")
+    assert tuple(parse_vendor_lines(piped, sep="|").first()) == (12, 3)
+    assert piped.select(line_field(F.col("value"), 0, "|"), line_field(F.col("value"), 5, "|")).first()[:] == ("12", None)
+
+
 def test_csv_round_trip_and_parquet_conversion(spark, tmp_path):
     df = trips_df(spark, [trip(1, "2024-01-01 00:00:07.179575", "2024-01-01 00:10:00", slon=None),
                           trip(2, "2024-01-01 00:00:00", "2024-01-01 00:00:00.5", cost=1e-7)])

@@ -2,7 +2,6 @@
 
 from tripspark.functions.geo import (
     central_angle,
-    great_circle_distance,
     half_chord,
     haversine_a,
     ieee_divide,
@@ -26,7 +25,6 @@ __all__ = [
     "epoch_micros",
     "epoch_millis",
     "epoch_seconds",
-    "great_circle_distance",
     "half_chord",
     "haversine_a",
     "hour_label",

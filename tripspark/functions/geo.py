@@ -29,17 +29,6 @@ def central_angle(a: Column) -> Column:
     return F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)) * F.lit(2.0)
 
 
-def great_circle_distance(
-    start_lon: Column,
-    end_lon: Column,
-    start_lat: Column,
-    end_lat: Column,
-    radius: float = EARTH_RADIUS,
-) -> Column:
-    """R · c for two points given in degrees."""
-    return central_angle(haversine_a(start_lon, end_lon, start_lat, end_lat)) * F.lit(float(radius))
-
-
 def ieee_divide(num: Column, den: Column) -> Column:
     """Floating-point division with IEEE results for a zero divisor.
 

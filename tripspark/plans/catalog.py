@@ -240,6 +240,18 @@ def rdd_text_avg_duration_by_hour(spark: SparkSession, d: str) -> DataFrame:
     return line_queries.avg_duration_by_hour_from_lines(_text_copy(spark, trips(spark, d), "trips-text"))
 
 
+def rdd_text_top_k_fastest(spark: SparkSession, d: str) -> DataFrame:
+    """Q3 from raw lines through the strict record parser. A strict parser rejects an empty
+    number, so NULL coordinates are written as ``NaN``, which the coordinate rules remove."""
+    numbers = [f.name for f in TRIP_SCHEMA.fields if f.dataType == T.DoubleType()]
+    rows = trips(spark, d).select(*TRIP_COLUMNS).withColumns(
+        {c: F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in numbers})
+    lines = _text_copy(spark, rows, "trips-text")
+    pairs = parse_lines(_text_copy(spark, vendors(spark, d), "vendors-text"), VENDOR_SCHEMA)
+    top = trip_queries.fastest_trips(parse_lines(lines, TRIP_SCHEMA), pairs, cutoff=TRIP_CUTOFF, variant="rdd")
+    return top.select(_r("SpeedInMetersPerSec").alias("SpeedInMetersPerSec"), "VendorCompanyId")
+
+
 def rdd_text_max_cost_by_vendor(spark: SparkSession, d: str) -> DataFrame:
     """Q2 from raw lines: trip ids joined as text, vendors ordered as text."""
     return line_queries.max_cost_by_vendor_from_lines(
@@ -284,6 +296,7 @@ def max_price_by_brand(spark: SparkSession, d: str) -> DataFrame:
         attribute="p_brand",
         key_alias="Brand",
         value_alias="MaxExtendedPrice",
+        preaggregate=True,  # part keys repeat in lineitem and are unique in part
     )
 
 
@@ -300,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "rdd_max_cost_by_vendor": rdd_max_cost_by_vendor,
     "rdd_top_k_fastest": rdd_top_k_fastest,
     "rdd_text_avg_duration_by_hour": rdd_text_avg_duration_by_hour,
+    "rdd_text_top_k_fastest": rdd_text_top_k_fastest,
     "rdd_text_max_cost_by_vendor": rdd_text_max_cost_by_vendor,
     "trip_vendor_limited_join": trip_vendor_limited_join,
     "join_limited_dimension": join_limited_dimension,

@@ -26,7 +26,7 @@ def parse_prefix_timestamp(token: Column, strict: bool = True) -> Column:
     parsed = F.try_to_timestamp(F.substring(token, 1, 19), F.lit(LINE_TIMESTAMP_FORMAT))
     if not strict:
         return parsed
-    msg = F.concat(F.lit("cannot parse timestamp from '"), token, F.lit("'"))
+    msg = F.concat(F.lit("cannot parse timestamp from '"), F.coalesce(token, F.lit("")), F.lit("'"))
     return F.when(parsed.isNull(), F.raise_error(msg).cast("timestamp")).otherwise(parsed)
 
 
@@ -34,7 +34,7 @@ def _strict_double(token: Column, strict: bool) -> Column:
     parsed = token.try_cast("double")
     if not strict:
         return parsed
-    msg = F.concat(F.lit("cannot parse number from '"), token, F.lit("'"))
+    msg = F.concat(F.lit("cannot parse number from '"), F.coalesce(token, F.lit("")), F.lit("'"))
     return F.when(parsed.isNull(), F.raise_error(msg).cast("double")).otherwise(parsed)
 
 

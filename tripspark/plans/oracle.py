@@ -169,6 +169,7 @@ FROM m""",
     "rdd_avg_duration_by_hour": _q1(False),
     "rdd_max_cost_by_vendor": _q2("CAST(v.vendor AS VARCHAR)"),
     "rdd_top_k_fastest": RDD_TOP_K,
+    "rdd_text_top_k_fastest": RDD_TOP_K,
     "rdd_text_avg_duration_by_hour": _q1(False),
     "rdd_text_max_cost_by_vendor": _q2("CAST(v.vendor AS VARCHAR)"),
     "trip_vendor_limited_join": _with(TRIPS_CTE, VENDORS_CTE)

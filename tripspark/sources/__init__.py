@@ -4,7 +4,6 @@ from tripspark.sources.csv import REFERENCE_TIMESTAMP_FORMAT, read_csv_table, re
 from tripspark.sources.fixtures import trips, vendors
 from tripspark.sources.parquet import read_parquet_table, read_table
 from tripspark.sources.text import (
-    extract_cost,
     extract_start_hour,
     extract_trip_id,
     extract_vendor_id,
@@ -16,7 +15,6 @@ from tripspark.sources.text import (
 
 __all__ = [
     "REFERENCE_TIMESTAMP_FORMAT",
-    "extract_cost",
     "extract_start_hour",
     "extract_trip_id",
     "extract_vendor_id",

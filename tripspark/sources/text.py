@@ -6,6 +6,8 @@ never a per-row Python function.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,19 +20,14 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def line_field(line: Column, index: int, sep: str = ",") -> Column:
-    """The ``index``-th (0-based) field of a delimited line."""
-    return F.split(line, sep).getItem(index)
+def split_fields(line: Column, sep: str = ",") -> Column:
+    """The fields of a delimited line; ``sep`` is literal text, not a pattern."""
+    return F.split(line, re.escape(sep))
 
 
-def _checked_cast(token: Column, dtype: T.DataType, strict: bool, what: str) -> Column:
-    """Cast a token; in strict mode a non-NULL token that does not parse fails the
-    task (whatever the session's ANSI setting), otherwise it becomes NULL."""
-    parsed = token.try_cast(dtype)
-    if not strict:
-        return parsed
-    message = F.concat(F.lit(f"cannot parse {what} from '"), token, F.lit("'"))
-    return F.when(parsed.isNull() & token.isNotNull(), F.raise_error(message).cast(dtype)).otherwise(parsed)
+def line_field(line: Column, index: int, sep: str = ",") -> Column:
+    """The ``index``-th (0-based) field of a delimited line; NULL if the line is shorter."""
+    return F.get(split_fields(line, sep), index)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, *, sep: str = ",", strict: bool = True,
@@ -38,22 +35,28 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, sep: str = ",", stric
     """Parse ``value`` lines into typed columns by position.
 
     ``strict=True`` mirrors a record parser that throws on a bad token or a
-    missing field; ``strict=False`` yields NULL instead.
+    missing field, whatever columns are read later: the check is a row filter
+    over all fields, which no projection can prune. ``strict=False`` yields
+    NULL instead.
     """
-    fields = F.split(F.col("value"), sep)
-    cols = []
-    for i, field in enumerate(schema.fields):
-        token = fields.getItem(i)
-        if strict:
-            token = F.when(F.size(fields) > i, token).otherwise(
-                F.raise_error(F.concat(F.lit(f"missing field {i} ({field.name}) in line '"), F.col("value"),
-                                       F.lit("'"))).cast("string"))
-        cols.append(_checked_cast(token, field.dataType, strict, field.name).alias(field.name))
+    fields = split_fields(F.col("value"), sep)
+    tokens = [F.get(fields, i) for i in range(len(schema.fields))]
+    if strict:
+        missing = F.when(F.size(fields) < len(tokens), _fail("missing fields in line '", F.col("value")))
+        bad = [F.when(token.isNotNull() & token.try_cast(f.dataType).isNull(), _fail(f"cannot parse {f.name} from '", token))
+               for token, f in zip(tokens, schema.fields)]
+        lines = lines.where(F.coalesce(missing, *bad, F.lit(True)))
+    cols = [token.try_cast(f.dataType).alias(f.name) for token, f in zip(tokens, schema.fields)]
     if keep_line:
         cols.append(F.col("value"))
     return lines.select(*cols)
 
 
+def _fail(what: str, token: Column) -> Column:
+    """A boolean expression that fails the task, whatever the session's ANSI setting."""
+    return F.raise_error(F.concat(F.lit(what), F.coalesce(token, F.lit("")), F.lit("'"))).cast("boolean")
+
+
 def parse_trip_lines(lines: DataFrame, *, schema: T.StructType = TRIP_SCHEMA, sep: str = ",",
                      strict: bool = True) -> DataFrame:
     """``id,startDate,endDate,startLon,startLat,endLon,endLat,cost`` lines → typed trips."""
@@ -82,6 +85,3 @@ def extract_vendor_id(line: Column, sep: str = ",") -> Column:
     """Second field of a vendor line, kept as a string."""
     return line_field(line, 1, sep)
 
-
-def extract_cost(line: Column, sep: str = ",") -> Column:
-    return line_field(line, 7, sep).cast("double")
