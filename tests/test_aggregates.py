@@ -56,64 +56,31 @@ def test_partial_aggregation_in_plan(spark):
     assert "ReadSchema: struct<startDate:timestamp_ntz,endDate:timestamp_ntz>" in plan
 
 
-def test_hot_dimension_key_is_routed_around_the_shuffle(spark):
-    from tripspark.operators import joins
-
+def test_hot_dimension_key_gives_the_same_maxima(spark):
     # trip 7 holds a third of all vendor rows, with many distinct vendors
     t = trips_df(spark, [trip(i, "2015-03-10 05:00:00", "2015-03-10 05:10:00", cost=float(i % 50))
                          for i in range(1, 2001)])
     v = vendors_df(spark, [(7, 100 + (j % 40)) for j in range(1000)] + [(i, 1 + i % 3) for i in range(1, 2001)])
-    hot = joins.heavy_hitter_keys(v, "id", 0.01, min_rows=100, fraction=1.0)
-    assert hot == [7]
-    assert joins.heavy_hitter_keys(v, "id", 0.01, min_rows=100, fraction=0.5) == [7]   # sampled
-    assert joins.heavy_hitter_keys(v, "id", 0.01, fraction=1.0) == []   # below the absolute floor
-    fast = aggregates.max_cost_by_vendor(t, v, hot_key_min_rows=100, hot_key_sample=1.0).collect()
-    plain = aggregates.max_cost_by_vendor(t, v, hot_key_support=None, preaggregate=False).collect()
-    assert fast == plain and len(fast) == 43
-    plan = explain_text(aggregates.max_cost_by_vendor(t, v, hot_key_min_rows=100, hot_key_sample=1.0))
-    assert "BroadcastHashJoin" in plan and "Union" in plan
-    known = aggregates.max_by_dimension(t, v, fact_key="id", dim_key="id", value="cost", attribute="vendor",
-                                        key_alias="VendorId", value_alias="MaxTripCost", hot_keys=[7])
-    assert "Union" in explain_text(known) and known.collect() == plain
-
-
-def test_hot_key_join_is_exact(spark):
-    from tripspark.operators import joins
-
-    u = spark.createDataFrame([(i, float(i)) for i in range(50)], "k long, v double")
-    o = spark.createDataFrame([(3, "a")] * 200 + [(i, "b") for i in range(60)], "k long, a string")
-    for hot in ([], [3], [3, 4, 999]):
-        got = sorted(map(tuple, joins.join_unique_with_hot_keys(u, o, "k", hot).select("k", "v", "a").collect()))
-        want = sorted(map(tuple, u.join(o, "k").select("k", "v", "a").collect()))
-        assert got == want
+    plain = aggregates.max_cost_by_vendor(t, v)
+    assert plain.collect() == aggregates.max_cost_by_vendor(t, v, preaggregate=True).collect()
+    assert plain.count() == 43
 
 
-def test_hot_key_routing_engages_with_default_settings(spark):
-    """A third of 300k dimension rows on one key is found by the default 0.1 %
-    sample (≈ 100 sampled rows) and routed; the answer is unchanged."""
+def test_adaptive_execution_splits_a_hot_vendor_key(spark):
     from pyspark.sql import functions as F
 
-    from tripspark.operators import joins
-
-    t = spark.range(0, 200_000).select(F.col("id"), (F.col("id") % 1000).cast("double").alias("cost"))
-    v = spark.range(0, 300_000).select(
-        F.when(F.col("id") < 100_000, F.lit(42)).otherwise(F.col("id") % 200_000).alias("id"),
-        (F.col("id") % 5).cast("int").alias("vendor"),
-    )
-    assert joins.heavy_hitter_keys(v, "id") == [42]
-    routed = aggregates.max_cost_by_vendor(t, v)
-    plan = explain_text(routed)
-    assert "Union" in plan and "BroadcastHashJoin" in plan
-    plain = aggregates.max_cost_by_vendor(t, v, hot_key_support=None, preaggregate=False)
-    assert routed.collect() == plain.collect()
-
-
-def test_hot_key_routing_with_text_keys(spark):
-    from tripspark.operators import joins
-
-    u = spark.createDataFrame([(f"t{i}", float(i)) for i in range(50)], "k string, v double")
-    o = spark.createDataFrame([("t3", 1)] * 300 + [(f"t{i}", 2) for i in range(60)], "k string, a int")
-    got = joins.join_unique_with_hot_keys(u, o, "k", ["t3"], max_bytes=10_000)
-    assert "Union" in explain_text(got)
-    assert sorted(map(tuple, got.select("k", "v", "a").collect())) == sorted(
-        map(tuple, u.join(o, "k").select("k", "v", "a").collect()))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, x in settings.items():
+            spark.conf.set(k, x)
+        t = spark.range(0, 200_000).repartition(8).select(F.col("id"), (F.col("id") % 1000).cast("double").alias("cost"))
+        v = spark.range(0, 300_000).repartition(8).select(
+            F.when(F.col("id") < 200_000, F.lit(42)).otherwise(F.col("id") % 200_000).alias("id"), (F.col("id") % 5).cast("int").alias("vendor"))
+        out = aggregates.max_cost_by_vendor(t, v)
+        rows = out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString() and len(rows) == 5
+    finally:
+        for k, x in before.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)

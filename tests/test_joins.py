@@ -43,7 +43,7 @@ def test_merge_hint_survives_adaptive_execution(spark):
 def test_broadcast_needs_a_size_bound(spark):
     li, sup, _ = tables(spark)
     assert not joins.fits_broadcast(sup, None)
-    assert joins.fits_broadcast(sup, 5)
+    assert joins.fits_broadcast(sup.select("s_suppkey", "s_acctbal"), 5)
     assert not joins.fits_broadcast(li, 10**9)
     # unbounded side: no hint, planner/AQE decide
     plain = joins.bounded_broadcast(li, None)
@@ -99,12 +99,24 @@ def test_plain_join_hot_key_is_split_by_adaptive_execution(spark):
                 spark.conf.set(k, v)
 
 
-def test_variable_width_side_is_measured_before_broadcast(spark):
+def test_variable_width_side_gets_no_hint(spark):
     small = spark.createDataFrame([(1, "a" * 10), (2, "b" * 10)], "k long, s string")
-    huge = spark.createDataFrame([(1, "x" * 600_000), (2, "y" * 600_000)], "k long, s string")
-    assert not joins.is_fixed_width(small.schema)
-    assert joins.measured_bytes(small) == 2 * (8 + 8 + 10)
-    assert joins.fits_broadcast(small, 2, max_bytes=1_000)
-    # two rows, but 1.2 MB of text: the row bound alone proves nothing
-    assert not joins.fits_broadcast(huge, 2, max_bytes=1_000_000)
-    assert joins.bounded_broadcast(huge, 2, max_bytes=1_000_000) is huge
+    assert not joins.is_fixed_width(small.schema) and not joins.fits_broadcast(small, 2, max_bytes=1_000)
+    assert joins.bounded_broadcast(small, 2, max_bytes=1_000_000) is small
+    fixed = small.select("k")
+    assert joins.fits_broadcast(fixed, 2, max_bytes=1_000) and not joins.fits_broadcast(fixed, 2, max_bytes=10)
+
+
+def test_broadcast_budget_reads_size_strings(spark):
+    assert [joins.byte_size(x) for x in ("10485760", "10485760b", "50MB", "1g", "-1", "256k")] == [
+        10 << 20, 10 << 20, 50 << 20, 1 << 30, -1, 256 << 10]
+    key, fixed = "spark.sql.autoBroadcastJoinThreshold", spark.range(3)
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "50MB")
+        assert joins.broadcast_budget(fixed) == 50 << 20
+        spark.conf.set(key, "-1")
+        assert joins.broadcast_budget(fixed) == 0 and not joins.fits_broadcast(fixed, 3)
+        assert joins.bounded_broadcast(fixed, 3) is not fixed  # asked for by name
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -11,13 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.functions.time import duration_seconds, hour_label, hour_of_day
-from tripspark.operators.joins import (
-    DEFAULT_HOT_MIN_ROWS,
-    DEFAULT_HOT_SAMPLE,
-    DEFAULT_HOT_SUPPORT,
-    heavy_hitter_keys,
-    join_unique_with_hot_keys,
-)
 from tripspark.schemas import TRIPS, VENDORS, TripRoles, VendorRoles
 
 
@@ -101,44 +94,25 @@ def max_by_dimension(
     key_alias: str,
     value_alias: str,
     key_type: str | None = None,
-    preaggregate: bool = True,
-    hot_key_support: float | None = DEFAULT_HOT_SUPPORT,
-    hot_key_min_rows: int = DEFAULT_HOT_MIN_ROWS,
-    hot_key_sample: float = DEFAULT_HOT_SAMPLE,
-    hot_keys: list | None = None,
+    preaggregate: bool = False,
     order: bool = True,
 ) -> DataFrame:
     """``max(facts.value)`` per ``dims.attribute`` over ``facts ⋈ dims`` (inner).
 
     Inner-join bag semantics are kept (unmatched facts drop out, a fact with
-    two dimension rows counts for both attributes). Because ``max`` ignores
-    multiplicity, facts are first reduced to one row per key
-    (``preaggregate``): the partial aggregate runs before the shuffle, so a
-    key repeated in a third of all fact rows costs one row per task, and the
-    exchange it needs is the same hash partitioning the join reuses.
-    Hot keys on the *dimension* side (a key holding a large share of its rows)
-    cannot be split by adaptive skew handling once the fact side is
-    aggregated. Keys with at least ``hot_key_support`` of the dimension rows
-    and at least ``hot_key_min_rows`` rows are found from a
-    ``hot_key_sample`` sample of the dimension keys and joined by
-    broadcasting their single fact row (:func:`joins.join_unique_with_hot_keys`).
-    ``hot_key_support=None`` turns the detection off; ``hot_keys`` names known
-    hot keys and skips the detection job. ``key_type`` casts the output key
-    (e.g. ``"string"`` for text ordering).
+    two dimension rows counts for both attributes). The plan is one shuffled
+    join below a partial aggregate, in which adaptive execution splits a key
+    that is hot on either side. ``preaggregate`` first reduces the facts to one
+    row per key, which ``max`` allows: the caller's choice where fact keys
+    repeat and the dimension has one row per key (an aggregated side can't be
+    split by skew handling). ``key_type`` casts the output key (e.g.
+    ``"string"`` for text ordering).
     """
     f = facts.select(F.col(fact_key).alias("_k"), F.col(value).alias("_v"))
     if preaggregate:
         f = f.groupBy("_k").agg(F.max("_v").alias("_v"))
     d = dims.select(F.col(dim_key).alias("_k"), F.col(attribute).alias("_a"))
-    if preaggregate and (hot_keys is not None or hot_key_support is not None):
-        hot = (
-            list(hot_keys)
-            if hot_keys is not None
-            else heavy_hitter_keys(d, "_k", hot_key_support, hot_key_min_rows, fraction=hot_key_sample)
-        )
-        joined = join_unique_with_hot_keys(f, d, "_k", hot)
-    else:
-        joined = f.join(d, "_k", "inner")
+    joined = f.join(d, "_k", "inner")
     per_attr = joined.groupBy("_a").agg(F.max("_v").alias(value_alias))
     key = F.col("_a") if key_type is None else F.col("_a").cast(key_type)
     out = per_attr.select(key.alias(key_alias), F.col(value_alias))
@@ -154,10 +128,7 @@ def max_cost_by_vendor(
     key_alias: str = "VendorId",
     value_alias: str = "MaxTripCost",
     key_type: str | None = None,
-    preaggregate: bool = True,
-    hot_key_support: float | None = DEFAULT_HOT_SUPPORT,
-    hot_key_min_rows: int = DEFAULT_HOT_MIN_ROWS,
-    hot_key_sample: float = DEFAULT_HOT_SAMPLE,
+    preaggregate: bool = False,
     order: bool = True,
 ) -> DataFrame:
     """Maximum trip cost per vendor (inner join trips ⋈ vendors on the trip id)."""
@@ -172,8 +143,5 @@ def max_cost_by_vendor(
         value_alias=value_alias,
         key_type=key_type,
         preaggregate=preaggregate,
-        hot_key_support=hot_key_support,
-        hot_key_min_rows=hot_key_min_rows,
-        hot_key_sample=hot_key_sample,
         order=order,
     )

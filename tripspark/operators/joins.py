@@ -7,15 +7,16 @@ change how another one is planned.
 * ``"auto"``         — planner's choice; adaptive execution may still switch to
                        a broadcast at runtime from measured sizes.
 * ``"broadcast"``    — broadcast hash join, only when the build side has a proven
-                       size bound (``dim_max_rows`` × fixed row width, or the
-                       measured bytes of its bounded rows when strings are
-                       present, ≤ byte budget); otherwise falls back to ``"auto"``.
+                       size bound (``dim_max_rows`` × fixed row width ≤ byte
+                       budget); otherwise falls back to ``"auto"``.
 * ``"merge"``        — sort-merge join (both sides shuffled on the key).
 * ``"shuffle_hash"`` — shuffled hash join.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,17 +48,24 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """Bytes of a Spark size string: ``10485760``, ``10485760b``, ``50MB``, ``1g``; ``-1`` stays negative."""
+    match = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)(?:i?b)?\s*", text.lower())
+    if not match:
+        raise ValueError(f"not a size: {text!r}")
+    return int(match[1]) * _UNITS[match[2]]
+
+
 def broadcast_budget(df: DataFrame, max_bytes: int | None = None) -> int:
     """Byte budget for a broadcast side: explicit, else the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` (read, never written)."""
+    ``spark.sql.autoBroadcastJoinThreshold`` (read, never written). 0: broadcasting is off."""
     if max_bytes is not None:
         return int(max_bytes)
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        value = int(str(raw).lower().rstrip("b")) if raw is not None else -1
-    except ValueError:
-        value = -1
-    return value if value > 0 else _DEFAULT_BROADCAST_BYTES
+    return max(0, byte_size(str(raw))) if raw is not None else _DEFAULT_BROADCAST_BYTES
 
 
 def is_fixed_width(schema: T.StructType) -> bool:
@@ -65,41 +73,20 @@ def is_fixed_width(schema: T.StructType) -> bool:
     return all(type(f.dataType) in _FIXED_WIDTH for f in schema.fields)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of ``df``'s rows: fixed widths plus the actual length of every
-    variable-width value. One aggregate job — meant for sides already bounded
-    in rows (e.g. a ``limit(n)``)."""
-    fixed = 8 + sum(_FIXED_WIDTH.get(type(f.dataType), 0) for f in df.schema.fields)
-    var = [
-        F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0))
-        for f in df.schema.fields
-        if type(f.dataType) not in _FIXED_WIDTH
-    ]
-    per_row = F.lit(fixed)
-    for v in var:
-        per_row = per_row + v
-    total = df.select(per_row.cast("long").alias("_b")).agg(F.sum("_b")).first()[0]
-    return int(total or 0)
-
-
 def fits_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int | None = None) -> bool:
-    """True when the side provably fits the broadcast budget: ``max_rows`` is a
-    known row bound, and either every column is fixed-width (bound = rows ×
-    width) or the side's actual bytes, measured over its ≤ ``max_rows`` rows,
-    fit."""
-    if max_rows is None:
-        return False
-    budget = broadcast_budget(df, max_bytes)
-    if is_fixed_width(df.schema):
-        return int(max_rows) * row_width(df.schema) <= budget
-    if int(max_rows) * 8 > budget:  # cannot fit whatever the values are
+    """True when the schema proves that the side fits the broadcast budget: ``max_rows`` is a known
+    row bound and every column has a fixed width. With variable widths nothing is proven: then
+    no hint is given, and Spark's own size check (estimate, then measured size) decides."""
+    if max_rows is None or not is_fixed_width(df.schema):
         return False
-    return measured_bytes(df) <= budget
+    return int(max_rows) * row_width(df.schema) <= broadcast_budget(df, max_bytes)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None, max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if its size bound fits, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+    """``broadcast(df)`` if its size bound fits, else ``df`` unchanged. Asked for by name, it also
+    holds where the session switches implicit broadcasts off."""
+    explicit = max_bytes if max_bytes is not None else (broadcast_budget(df) or _DEFAULT_BROADCAST_BYTES)
+    return F.broadcast(df) if fits_broadcast(df, max_rows, explicit) else df
 
 
 def limited_dimension(dim: DataFrame, key, n: int) -> DataFrame:
@@ -137,86 +124,3 @@ def join_with_strategy(
     elif strategy == "shuffle_hash":
         dims = dims.hint("shuffle_hash")
     return facts.join(dims, on, how)
-
-
-# --- hot keys -------------------------------------------------------------------
-
-DEFAULT_HOT_SUPPORT = 0.001
-# A key is only worth routing when its rows could unbalance a task.
-DEFAULT_HOT_MIN_ROWS = 100_000
-# Share of rows sampled to find hot keys.
-DEFAULT_HOT_SAMPLE = 0.001
-
-
-def heavy_hitter_keys(
-    df: DataFrame,
-    key: str,
-    support: float = DEFAULT_HOT_SUPPORT,
-    min_rows: int = DEFAULT_HOT_MIN_ROWS,
-    *,
-    fraction: float = DEFAULT_HOT_SAMPLE,
-    seed: int = 7,
-) -> list:
-    """Keys estimated to hold at least ``support`` of ``df``'s rows and at
-    least ``min_rows`` rows. One job over a Bernoulli sample of the key column:
-
-    * ``rollup(key)`` counts each sampled key and, in the same aggregation,
-      the sample total (partial aggregation before a shuffle of sampled keys
-      only, ~``fraction`` of the rows);
-    * only rows that can qualify, largest first, at most ``1 / support + 1``
-      of them, reach the driver — a proven bound.
-    A key with ``min_rows`` rows is expected ``min_rows × fraction`` times in
-    the sample (100 with the defaults) and is flagged from half of that, so
-    keys big enough to unbalance a task are found reliably; somewhat smaller
-    ones may be routed too, which is harmless. Callers only route keys with
-    the list, so results never depend on it.
-    """
-    if not 0.0 < support < 1.0:
-        raise ValueError("support must be in (0, 1)")
-    if not 0.0 < fraction <= 1.0:
-        raise ValueError("fraction must be in (0, 1]")
-    max_keys = int(1.0 / support)
-    # Sampled counts scatter around their mean; flagging at half the mean a key
-    # at the threshold would have keeps misses negligible (a Poisson count with
-    # mean 100 falls below 50 with probability < 1e-6). Exact counts need no margin.
-    margin = 0.5 if fraction < 1.0 else 1.0
-    min_sampled = max(1.0, min_rows * fraction * margin)
-    keys = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
-    sampled = keys.sample(fraction=fraction, seed=seed) if fraction < 1.0 else keys
-    stats = sampled.rollup("_key").agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_total"))
-    rows = (
-        stats.where((F.col("_total") == 1) | (F.col("_n") >= F.lit(min_sampled)))
-        .orderBy(F.col("_n").desc())
-        .limit(max_keys + 1)
-        .collect()
-    )
-    total = next((r["_n"] for r in rows if r["_total"] == 1), 0)
-    floor = max(min_sampled, support * total * margin)
-    return [r["_key"] for r in rows if r["_total"] == 0 and r["_n"] >= floor]
-
-
-def join_unique_with_hot_keys(
-    unique_side: DataFrame,
-    other: DataFrame,
-    key: str,
-    hot_keys: list,
-    *,
-    max_bytes: int | None = None,
-) -> DataFrame:
-    """Inner join of a side with one row per ``key`` (e.g. a pre-aggregated
-    fact table) to ``other``, where ``other`` may hold very hot keys.
-
-    Rows of the hot keys skip the shuffle: their (at most ``len(hot_keys)``)
-    partners on the unique side are broadcast and the hot rows of ``other``
-    stream past them in place, so no single reducer receives a hot key. All
-    other keys use the regular shuffled join. The union is the exact join.
-    """
-    if not hot_keys:
-        return unique_side.join(other, key, "inner")
-    is_hot = F.col(key).isin(hot_keys)
-    hot_partners = unique_side.where(is_hot)  # at most one row per hot key
-    if not fits_broadcast(hot_partners, len(hot_keys), max_bytes):
-        return unique_side.join(other, key, "inner")
-    hot = other.where(is_hot).join(F.broadcast(hot_partners), key, "inner")
-    cold = unique_side.where(~is_hot).join(other.where(~is_hot), key, "inner")
-    return cold.unionByName(hot)

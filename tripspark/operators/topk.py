@@ -16,14 +16,9 @@ from tripspark.operators.joins import broadcast_budget, is_fixed_width, row_widt
 from tripspark.session import shared_dir
 
 
-# A top-k keeps a k-slot heap per task (allocated up front): beyond this size a
-# full sort and a distributed write is the right tool, not a top-k.
-MAX_TOP_K = 10_000_000
-
-
 def _check_k(k: int) -> int:
-    if not 0 < int(k) <= MAX_TOP_K:
-        raise ValueError(f"k must be in 1..{MAX_TOP_K} (a top-k keeps k rows per task); got {k}")
+    if int(k) <= 0:
+        raise ValueError(f"k must be positive; got {k}")
     return int(k)
 
 
@@ -31,23 +26,6 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(_check_k(k))
 
 
-def _strictly_before(score: str, key: str, boundary) -> Column:
-    """Rows whose (score desc nulls last, key asc) position is strictly before
-    ``boundary``'s. Spark's comparisons order NaN above every number, exactly as
-    its sort does, so the predicate agrees with the sort."""
-    s, kcol = F.col(score), F.col(key)
-    b_score, b_key = boundary[score], boundary[key]
-    if b_key is None:
-        # NULL keys sort after all keys under nulls-last; anything with the same
-        # score and a non-NULL key is before it.
-        same_score = kcol.isNotNull()
-    else:
-        same_score = kcol < F.lit(b_key)
-    if b_score is None:
-        return s.isNotNull() | (s.isNull() & same_score)
-    return (s > F.lit(b_score)) | ((s == F.lit(b_score)) & same_score)
-
-
 def top_k_join(
     facts: DataFrame,
     dims: DataFrame,
@@ -57,8 +35,7 @@ def top_k_join(
     k: int,
     fact_cols: Sequence[str],
     dim_cols: Sequence[str],
-    initial_candidates: int | None = None,
-    max_candidates: int = 1 << 16,
+    candidates: int | None = None,
     max_bytes: int | None = None,
     method: str = "candidates",
 ) -> DataFrame:
@@ -66,21 +43,19 @@ def top_k_join(
     without shuffling either table.
 
     1. Take the top ``m`` facts by ``(score desc nulls last, key)`` — a map-side
-       heap per task, only ``m`` rows leave the tasks. ``m`` is bounded and
-       the columns must be fixed-width, so the rows are a proven-size
-       broadcast (otherwise the shuffled form below is used).
-    2. Keep the candidates strictly before the m-th (boundary) row: every fact
-       row before the boundary is among them, and rows equal to the boundary
-       are dropped, so duplicates cannot be half-included.
-    3. Broadcast-join them to ``dims`` (the dimension is streamed, not
-       shuffled) and take the top ``k`` of that join in the same job, stored
-       with a reliable checkpoint (lineage cut, files in the shared folder).
-       If it has ``k`` rows, every other joined row sorts after them, so it
-       is the answer.
-    4. Otherwise grow ``m`` ×8 and repeat; if all facts were taken the
-       candidate join *is* the full join. Past ``max_candidates`` (or the
-       broadcast byte budget) a shuffled join + top-k is used, each side cut
-       to its top k rows per key first (:func:`_per_key_limited_join`).
+       heap per task, only ``m`` rows leave the tasks — and store them with a
+       reliable checkpoint. ``m`` is bounded and the columns are fixed-width,
+       so the rows are a proven-size broadcast (otherwise the shuffled form
+       below is used).
+    2. Drop the candidates tied with the last one: every fact row before them is
+       a candidate, so duplicates cannot be half-included.
+    3. Broadcast-join the rest to ``dims`` (the dimension is streamed, not
+       shuffled) and store the top ``k`` of that join. If it has ``k`` rows,
+       every other joined row sorts after them, so it is the answer; likewise
+       if all facts were candidates.
+    4. Otherwise a shuffled join + top-k, each side cut to its top k rows per
+       key first (:func:`_per_key_limited_join`): facts and dimension are read
+       once more at most, whatever matches.
     ``method="shuffle"`` goes straight to that shuffled form.
     """
     if method not in ("candidates", "shuffle"):
@@ -95,31 +70,22 @@ def top_k_join(
     # (score, key, dim_cols) come out in one deterministic order.
     rest = [c for c in fact_cols if c not in (key, score)]
     final_order = fact_order + [F.col(c).asc_nulls_last() for c in dim_cols + rest]
-    budget = broadcast_budget(facts, max_bytes)
-    width = row_width(f.schema)
-    spark = facts.sparkSession
-    shared_dir(spark)  # reliable checkpoints need the shared folder configured
-
-    # Each scan task ships its local top-m to one merging task, so m starts
-    # small (that merge holds m × input-splits rows) and grows only on demand.
-    m = max(int(initial_candidates or 0), 4 * int(k), 16)
-    # The candidate rows are a proven-size broadcast only when their width is fixed.
-    candidates_ok = method == "candidates" and is_fixed_width(f.schema)
-    while candidates_ok and m <= max_candidates and m * width <= budget:
-        rows = f.orderBy(*fact_order).limit(m).collect()  # bounded: m rows
-        exhausted = len(rows) < m
-        # m rows at most: one partition, so collecting them for the broadcast is one task
-        cand = spark.createDataFrame(rows, f.schema).coalesce(1) if rows else f.limit(0)
+    m = max(int(candidates or 0), 4 * k, 16)
+    fits = is_fixed_width(f.schema) and m * row_width(f.schema) <= broadcast_budget(facts, max_bytes)
+    if method == "candidates" and fits:
+        shared_dir(facts.sparkSession)  # reliable checkpoints need the shared folder configured
+        cand = f.orderBy(*fact_order).limit(m).checkpoint(eager=True)
+        exhausted = cand.count() < m
         if not exhausted:
-            cand = cand.where(_strictly_before(score, key, rows[-1]))
-        joined = F.broadcast(cand).join(d, key, "inner")
-        # One job computes the top k of the small join and stores those k rows
-        # in the shared checkpoint folder; the count then reads k rows.
-        top = joined.orderBy(*final_order).limit(int(k)).checkpoint(eager=True)
+            in_order = Window.partitionBy(F.lit(0)).orderBy(*fact_order)  # over m rows
+            cand = cand.withColumn("_rank", F.rank().over(in_order)).withColumn(
+                "_last", F.max("_rank").over(Window.partitionBy(F.lit(0)))).where("_rank < _last").select(*fact_cols)
+        # m rows at most: one partition, so collecting them for the broadcast is one task
+        joined = F.broadcast(cand.coalesce(1)).join(d, key, "inner")
+        top = joined.orderBy(*final_order).limit(k).checkpoint(eager=True)
         if exhausted or top.count() >= k:
             return top
-        m *= 8
-    return _per_key_limited_join(f, d, key, score, dim_cols, rest, int(k)).orderBy(*final_order).limit(int(k))
+    return _per_key_limited_join(f, d, key, score, dim_cols, rest, int(k)).orderBy(*final_order).limit(k)
 
 
 def _per_key_limited_join(f: DataFrame, d: DataFrame, key: str, score: str, dim_cols, rest, k: int) -> DataFrame:
