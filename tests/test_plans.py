@@ -10,7 +10,7 @@ from tripspark.plans.catalog import QUERIES
 from tripspark.plans.explain import explain_text
 
 # queries that write and re-read a copy: their returned plan scans the copy
-ROUND_TRIPS = {"csv_round_trip", "csv_to_parquet", "result_sink_csv", "text_line_parse", "text_sink",
+ROUND_TRIPS = {"csv_round_trip", "csv_to_parquet", "result_sink_csv", "result_sink_parquet", "result_sink_top_k", "text_line_parse", "text_sink",
                "rdd_text_avg_duration_by_hour", "rdd_text_max_cost_by_vendor"}
 
 

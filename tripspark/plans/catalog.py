@@ -32,6 +32,7 @@ from tripspark.sources import (
     read_table,
     read_text_lines,
     read_trips_csv,
+    read_vendors_csv,
     trips,
     vendors,
 )
@@ -196,10 +197,12 @@ def join_preview(spark: SparkSession, d: str) -> DataFrame:
 # --- sources and sinks ---------------------------------------------------------------
 
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "trips-csv")
-    write_csv_table(trips(spark, d), path)
-    back = read_trips_csv(spark, path, timestamp_format=ROUND_TRIP_TIMESTAMP_FORMAT)
-    return _as_ntz(back)
+    """Both typed CSV tables, written, read back and joined."""
+    trips_csv, vendors_csv = scratch_path(spark, "trips-csv"), scratch_path(spark, "vendors-csv")
+    write_csv_table(trips(spark, d), trips_csv)
+    write_csv_table(vendors(spark, d), vendors_csv)
+    back = read_trips_csv(spark, trips_csv, timestamp_format=ROUND_TRIP_TIMESTAMP_FORMAT)
+    return _as_ntz(back.join(read_vendors_csv(spark, vendors_csv), "id", "inner"))
 
 
 def csv_to_parquet_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -219,6 +222,19 @@ def result_sink_csv(spark: SparkSession, d: str) -> DataFrame:
     return read_csv_table(spark, path, result.schema)
 
 
+def result_sink_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """Q1 written as Parquet, its default format."""
+    result = trip_queries.avg_trip_duration_per_hour(trips(spark, d))
+    return spark.read.schema(result.schema).parquet(write_result(result, scratch_path(spark, "q1-parquet"), "parquet"))
+
+
+def result_sink_top_k(spark: SparkSession, d: str) -> DataFrame:
+    """Q3 (``k`` rows) written as one CSV file."""
+    result = top_k_fastest(spark, d)
+    path = write_result(result, scratch_path(spark, "q3-csv"), "csv", single_file=True)
+    return read_csv_table(spark, path, result.schema)
+
+
 def _text_copy(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df``'s rows as comma-separated lines (NULL → empty field) and
     read them back as text."""
@@ -324,6 +340,8 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "csv_to_parquet": csv_to_parquet_round_trip,
     "result_sink_csv": result_sink_csv,
+    "result_sink_parquet": result_sink_parquet,
+    "result_sink_top_k": result_sink_top_k,
     "text_line_parse": text_line_parse,
     "text_sink": text_sink,
     "ship_lag_by_month": ship_lag_by_month,

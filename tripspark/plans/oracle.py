@@ -151,6 +151,10 @@ LINEITEM_ORDER = (
 
 TRIP_COLUMNS = "id, startDate, endDate, startLon, startLat, endLon, endLat, cost"
 
+TRIPS_AND_VENDORS = _with(TRIPS_CTE, VENDORS_CTE) + (
+    "SELECT t.id, t.startDate, t.endDate, t.startLon, t.startLat, t.endLon, t.endLat, t.cost, v.vendor "
+    "FROM trips t JOIN vendors v ON t.id = v.id")
+
 SQL: dict[str, str] = {
     "point_lookup": f"SELECT * FROM orders WHERE o_orderkey = {LOOKUP_ORDER_KEY}",
     "trip_point_lookup": _with(TRIPS_CTE) + f"SELECT * FROM trips WHERE id = {LOOKUP_TRIP_ID}",
@@ -186,11 +190,11 @@ UNION ALL
 SELECT 'merge' AS strategy, 'SortMergeJoin' AS join_operator, count(*) AS rows,
        CAST(sum(l_orderkey) AS BIGINT) AS measure_sum FROM j""",
     "join_preview": f"SELECT * FROM ({SUPPLIER_JOIN}) ORDER BY {LINEITEM_ORDER} LIMIT {PREVIEW_ROWS}",
-    "csv_round_trip": _with(TRIPS_CTE) + "SELECT * FROM trips",
-    "csv_to_parquet": _with(TRIPS_CTE, VENDORS_CTE)
-    + "SELECT t.id, t.startDate, t.endDate, t.startLon, t.startLat, t.endLon, t.endLat, t.cost, v.vendor "
-    "FROM trips t JOIN vendors v ON t.id = v.id",
+    "csv_round_trip": TRIPS_AND_VENDORS,
+    "csv_to_parquet": TRIPS_AND_VENDORS,
     "result_sink_csv": _q2("v.vendor"),
+    "result_sink_parquet": _q1(True),
+    "result_sink_top_k": TOP_K,
     "text_line_parse": _with(TRIPS_CTE)
     + f"SELECT {TRIP_COLUMNS}, substr(CAST(startDate AS VARCHAR), 12, 2) AS HourOfDay FROM trips",
     "text_sink": f"SELECT '(' || HourOfDay || ',' || CAST(AverageTripDuration AS VARCHAR) || ')' AS value "
