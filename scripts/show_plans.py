@@ -17,10 +17,8 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
-from tripspark.operators import aggregates, topk  # noqa: E402
-from tripspark.plans import trip_queries as Q  # noqa: E402
+from tripspark.plans import trip_queries  # noqa: E402
 from tripspark.plans.catalog import QUERIES, TRIP_CUTOFF  # noqa: E402
 from tripspark.plans.explain import explain_text  # noqa: E402
 from tripspark.sources import trips, vendors  # noqa: E402
@@ -51,22 +49,6 @@ def scans(df) -> list[str]:
     return out
 
 
-def q3_pieces(spark, d):
-    t, v = trips(spark, d), vendors(spark, d)
-    parsed = Q.parsed_trips(t, cutoff=TRIP_CUTOFF)
-    facts = parsed.select(F.col("id").alias("_id"), F.col("speedMetersPerSec").alias("_speed"))
-    topm = facts.orderBy(F.col("_speed").desc_nulls_last(), F.col("_id")).limit(20)
-    cand = spark.createDataFrame(topm.collect(), facts.schema)
-    joined = F.broadcast(cand).join(v.select(F.col("id").alias("_id"), "vendor"), "_id")
-    final = joined.orderBy(F.col("_speed").desc_nulls_last(), "_id", "vendor").limit(5)
-    dims = v.select(F.col("id").alias("_id"), "vendor")
-    fallback = topk._per_key_limited_join(facts, dims, "_id", "_speed", ["vendor"], [], 5).orderBy(
-        F.col("_speed").desc_nulls_last(), "_id", "vendor").limit(5)
-    return [("Q3 step 1 — top-m candidates over trips (one scan, per-task heap)", topm),
-            ("Q3 step 2 — candidates broadcast past vendors, top k (checkpointed)", final),
-            ("Q3 fallback — per-key top k on both sides, shuffled join, top k (past the candidate cap)", fallback)]
-
-
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
@@ -94,28 +76,10 @@ def main():
             finally:
                 spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         print()
-    print("## Q2 with a hot vendor-table key (synthetic illustration)\n")
-    print("300k vendor rows, a third of them on trip id 42; default detection settings.",
-          "The hot key's vendor rows join a broadcast of its single pre-aggregated trip",
-          "row in place; every other key takes the shuffled join.\n")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        t = spark.range(0, 200_000).select(F.col("id"), (F.col("id") % 1000).cast("double").alias("cost"))
-        v = spark.range(0, 300_000).select(
-            F.when(F.col("id") < 100_000, F.lit(42)).otherwise(F.col("id") % 200_000).alias("id"),
-            (F.col("id") % 5).cast("int").alias("vendor"))
-        print(f"```\n{tree(aggregates.max_cost_by_vendor(t, v))}\n```\n")
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    print("## `top_k_fastest` (candidate method)\n")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # large-scale shapes
-    try:
-        for label, df in q3_pieces(spark, sf_dir):
-            print(f"{label}:\n```\n{tree(df)}\n```")
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    print("## `top_k_fastest`, shuffled form (where too few candidates match)\n")
+    print("The default plan above reads the checkpointed rows of the candidate join that ran.\n")
+    shuffled = trip_queries.fastest_trips(trips(spark, sf_dir), vendors(spark, sf_dir), cutoff=TRIP_CUTOFF, method="join")
+    print(f"```\n{tree(shuffled)}\n```")
     spark.stop()
 
 
