@@ -30,6 +30,9 @@ HEADLINE = {
     "rdd_q1_avg_duration_by_hour": "rdd_avg_duration_by_hour",
     "rdd_q2_max_cost_by_vendor": "rdd_max_cost_by_vendor",
     "rdd_q3_top_k_fastest": "rdd_top_k_fastest",
+    "text_q1_avg_duration_by_hour": "rdd_text_avg_duration_by_hour",
+    "text_q2_max_cost_by_vendor": "rdd_text_max_cost_by_vendor",
+    "text_q3_top_k_fastest": "rdd_text_top_k_fastest",
     "point_lookup": "point_lookup",
     "join_default": "join_strategy_broadcast",
     "join_sort_merge": "join_strategy_sort_merge",

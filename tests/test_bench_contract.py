@@ -17,5 +17,5 @@ def test_bench_prints_one_json_line():
     assert len(lines) == 1
     result = json.loads(lines[0])
     assert result["unit"] == "sec" and result["sf"] == 0.001 and result["metric"]
-    assert len(result["queries"]) == 12 and all(v > 0 for v in result["queries"].values())
+    assert len(result["queries"]) == 15 and all(v > 0 for v in result["queries"].values())
     assert abs(result["value"] - sum(result["queries"].values())) < 0.01
