@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripspark.llm.common import stored
 from tripspark.llm.tokens import VOCABULARY, encode
 
 _BLOCK = 1024
@@ -34,9 +35,10 @@ def token_length(text: str | Column, vocabulary: str = VOCABULARY) -> Column:
 
 
 def length_histogram(docs: DataFrame, *, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """``length, docs``: number of documents of each encoded length that occurs."""
-    return docs.select(token_length(F.col(text_col), vocabulary).alias("length")).groupBy("length").agg(
-        F.count(F.lit(1)).alias("docs"))
+    """``length, docs``: number of documents of each encoded length that occurs. Stored, as the sums
+    read it twice and encoding is what costs."""
+    return stored(docs.select(token_length(F.col(text_col), vocabulary).alias("length")).groupBy("length").agg(
+        F.count(F.lit(1)).alias("docs")))
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:
