@@ -29,7 +29,6 @@ tables give empty results; extra columns pass through ``drop_contaminated``.
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +42,7 @@ BLOCKS = (13, 13, 13, 13, 12)
 _LANES = 32
 _LANE_ONES = 0x0000000100000001
 _HALF = 1 << 30
-_KEY = ["_id", "_text_hash", "_n"]
+_KEY = ["_id", "_text_hash"]
 
 
 def words_of(text: str | Column) -> Column:
@@ -96,9 +95,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _masks(bits: list[int], radius: int) -> Column:
-    return F.array(*[F.lit(_signed(sum(1 << b for b in c))).cast("long")
-                     for r in range(radius + 1) for c in combinations(bits, r)])
+def _within(key: Column, bits: list[int], radius: int) -> Column:
+    """Array of all values within ``radius`` flips of ``bits``: one flip, or none, at a time."""
+    flips = F.array(*[F.lit(x).cast("long") for x in (0, *[_signed(1 << b) for b in bits])])
+    near = F.array(key)
+    for _ in range(radius):
+        near = F.array_distinct(F.flatten(F.transform(near, lambda k: F.transform(flips, lambda m: k.bitwiseXOR(m)))))
+    return near
 
 
 def _block(fp: Column, bits: list[int]) -> Column:
@@ -118,8 +121,8 @@ def bag(words: Column, start: Column, count: Column, shingle: int = SHINGLE) ->
 def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, radius: int = 20,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``_id, _text_hash, _n, item_id, similarity, start_word``: for every document and item with a window
-    of ``similarity`` or more, the best window. The first three columns identify the document's row."""
+    """``_id, _text_hash, item_id, similarity, start_word``: for every document and item with a window
+    of ``similarity`` or more, the best window. The first two columns identify the document's row."""
     items = stored(
         benchmark.select(F.col(item_col).alias("item_id"), words_of(item_text_col).alias("item_words"))
         .where(F.size("item_words") >= SHINGLE)
@@ -132,39 +135,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
     # Broadcast only up to a checked number of rows (20 bytes each); else the join is shuffled.
     known = F.broadcast(vocabulary) if n_vocabulary <= broadcast_rows else vocabulary
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"),
-                       words_of(text_col).alias("words")).withColumn("_n", F.size("words"))
-    seeds = rows.select(*_KEY, F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(known, "h")
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"), F.col(text_col).alias("_text"))
+    worded = rows.select(*_KEY, words_of("_text").alias("words"))  # by itself: shingles use it many times
+    seeds = worded.select(*_KEY, F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(known, "h")
     # Positions of one document and item: at most the document's length.
-    shared = seeds.groupBy(*_KEY, "item", "s").agg(F.collect_set("pos").alias("positions")).where(
-        F.size("positions") >= F.ceil(F.lit(similarity) * F.col("s") - F.lit(1e-9)))
-    shared = stored(shared)
-    sized = shared.select(*_KEY, "s", "item", "positions").withColumn(
-        "count", F.least("s", F.col("_n") - (SHINGLE - 1)))
-    starts = sized.select(*_KEY, "s", "count", F.explode("positions").alias("pos")).select(
-        *_KEY, "s", "count", F.explode(F.sequence(
-            F.greatest(F.lit(0), F.col("pos") - F.col("count") + 1),
-            F.least("pos", F.col("_n") - (SHINGLE - 1) - F.col("count")))).alias("start"))
-    per_row = starts.groupBy(*_KEY).agg(F.collect_set(F.struct("s", "count", "start")).alias("windows"))
-    texts = _same_rows(rows, per_row).dropDuplicates(_KEY)
+    shared = stored(seeds.groupBy(*_KEY, "item", "s").agg(F.collect_set("pos").alias("positions")).where(
+        F.size("positions") >= F.ceil(F.lit(similarity) * F.col("s") - F.lit(1e-9))))
+    # The texts of the documents that are left. Their keys are broadcast up to a checked number (16 bytes each).
+    held = stored(shared.select(*_KEY).distinct())
+    texts = _same_rows(rows, F.broadcast(held) if held.count() <= broadcast_rows else held).dropDuplicates(_KEY)
+    texts = texts.withColumn("words", words_of("_text")).drop("_text").withColumn("_n", F.size("words"))
     texts = stored(texts.withColumn("hashes", shingle_hashes(F.col("words"))))
 
-    windows = texts.select(*_KEY, "hashes", F.explode("windows").alias("w")).select(
-        *_KEY, "w.*", F.slice("hashes", F.col("w.start") + 1, F.col("w.count")).alias("own"))
+    # Windows of one size over one text: each start once, however many positions it covers.
+    per_size = shared.groupBy(*_KEY, "s").agg(F.array_distinct(F.flatten(F.collect_list("positions"))).alias("positions"))
+    sized = _same_rows(texts.select(*_KEY, "hashes", "_n"), per_size).withColumn(
+        "count", F.least("s", F.col("_n") - (SHINGLE - 1)))
+    last = F.col("_n") - (SHINGLE - 1) - F.col("count")
+    starts = F.array_distinct(F.flatten(F.transform("positions", lambda p: F.sequence(
+        F.greatest(F.lit(0), p - F.col("count") + 1), F.least(p, last)))))
+    windows = sized.select(*_KEY, "hashes", "s", "count", F.explode(starts).alias("start"))
+    windows = windows.select(*_KEY, "s", "count", "start", F.slice("hashes", F.col("start") + 1, F.col("count")).alias("own"))
     prints = simhash_of(windows, [*_KEY, "s", "count", "start"], "own")
     item_prints = simhash_of(items.select(F.xxhash64("item_words").alias("item"), "s",
                                           shingle_hashes(F.col("item_words")).alias("own")), ["item", "s"], "own")
 
-    listed, probed = None, None
     plan = block_plan(radius)
-    for k, (bits, r) in enumerate(plan):
-        own = item_prints.select("s", F.lit(k).alias("block"), "item", F.col("fp").alias("item_fp"),
-                                 F.explode(F.transform(_masks(bits, r), lambda x: _block(F.col("fp"), bits).bitwiseXOR(x))).alias("key"))
-        probe = prints.select(*_KEY, "s", "count", "start", "fp", F.lit(k).alias("block"), _block(F.col("fp"), bits).alias("key"))
-        listed = own if listed is None else listed.unionByName(own)
-        probed = probe if probed is None else probed.unionByName(probe)
+    probed = prints.select(*_KEY, "s", "count", "start", "fp", F.posexplode(
+        F.array(*[_block(F.col("fp"), bits) for bits, _ in plan])).alias("block", "key"))
+    listed = item_prints.select("s", "item", F.col("fp").alias("item_fp"), F.posexplode(
+        F.array(*[_within(_block(F.col("fp"), bits), bits, r) for bits, r in plan])).alias("block", "keys")).select(
+        "s", "item", "item_fp", "block", F.explode("keys").alias("key"))
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    candidates = probed.join(listed, ["s", "block", "key"]).where(apart <= radius).select(
+    # The list grows with the benchmark and has no bound: both sides are shuffled.
+    candidates = probed.join(listed.hint("merge"), ["s", "block", "key"]).where(apart <= radius).select(
         *_KEY, "count", "start", "item").distinct()
 
     spans = candidates.groupBy(*_KEY, "item", "count").agg(F.collect_set("start").alias("starts"))
