@@ -194,6 +194,17 @@ def test_simhash_edge_rows(spark):
     assert simhash_dedup.keep_one_per_group(docs(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_without_or_with_repeated_ids(spark):
+    texts = [" ".join(hashlib.md5(f"{i} {j}".encode()).hexdigest() for j in range(30)) for i in range(40)]
+    rows = [(None, t, "en", "a", 1) for t in texts[:30] for _ in range(2)]  # copies, without ids
+    rows += [(5, t, "en", "a", 1) for t in texts[30:33]] + [(9, texts[31], "en", "a", 1), (12, texts[31], "en", "a", 1)]
+    rows += [(None, texts[33], "en", "a", 1), (7, texts[33], "en", "a", 1), (7, texts[34], "en", "a", 1)]
+    kept = simhash_dedup.keep_one_per_group(docs(spark, rows))
+    assert sorted((r["text"], r["doc_id"]) for r in kept.where("doc_id is not null").collect()) == sorted(
+        [(t, 5) for t in texts[30:33]] + [(t, 7) for t in texts[33:35]])
+    assert sorted(r["text"] for r in kept.where("doc_id is null").collect()) == sorted(texts[:30])
+
+
 def test_threshold_allocation():
     cost, chosen = simhash_dedup.allocate([[0, 1, 10], [0, 5, 6], [0, 2, 3]], 3)
     assert cost == 4 and chosen == [0, -1, 1]

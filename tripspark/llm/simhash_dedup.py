@@ -25,7 +25,8 @@
 
 Defined cases: NULL and word-less texts have fingerprint zero and link like any
 other; a text of fewer words than a shingle is one shingle; NULL ids are never
-a component id unless the component has no other; an empty table gives an
+a component id unless the component has no other; components that share an id
+or have none stay apart, and one row of each is kept; an empty table gives an
 empty result; extra columns are ignored.
 """
 
@@ -208,13 +209,14 @@ def midpoint_links(fps: DataFrame, max_distance: int) -> DataFrame:
 
 
 def fingerprint_components(fps: DataFrame, max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
-    """``(fp, component_id)``: one row per distinct fingerprint of ``fps`` (``doc_id``, ``fp``)."""
+    """``(fp, root, component_id)``: one row per distinct fingerprint of ``fps`` (``doc_id``, ``fp``).
+    ``root`` tells components apart; ``component_id`` doesn't if ids are NULL or repeated."""
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(fingerprint_links(classes.select("fp"), max_distance, bucket_cap))
     labelled = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     ids = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return stored(labelled.join(ids, "root").select("fp", "component_id"))
+    return stored(labelled.join(ids, "root").select("fp", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -228,22 +230,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one whose id is the
-    component id (of rows that share that id, one). Columns as given."""
+    """``docs`` with one document of each near-duplicate group: one whose id is the
+    component id (of rows that share that id or have none, one). Columns as given."""
     columns = docs.columns
     marked = docs.select(*columns, simhash_column(F.col(text_col), shingle).alias("_fp"))
     fps = stored(marked.select(F.col(id_col).alias("doc_id"), F.col("_fp").alias("fp")))
     comps = fingerprint_components(fps, max_distance, bucket_cap)
-    # One fingerprint per component stands for it: that of the kept id (the smallest, if rows repeat that id).
+    # One fingerprint per component stands for it: that of the kept id (the smallest, if several rows have that id).
+    # Components are told apart by root: those of NULL ids, or of an id repeated with other texts, share a component id.
     kept = (
         fps.join(comps, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("rows"))
-        .select(F.col("doc_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"), F.col("rows").alias("_rows"))
+        .groupBy("root", "component_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("rows"))
+        .select(F.col("component_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"), F.col("rows").alias("_rows"))
     )
     kept = stored(kept)
     hits = marked.join(kept, (F.col("_fp") == F.col("_kept_fp")) & F.col(id_col).eqNullSafe(F.col("_kept_id")))
-    # Only ids that several rows share can still hold more than one row.
+    # Only ids that several rows of a component share can still hold more than one row of it.
     repeated = kept.where("_rows > 1")
     if repeated.isEmpty():
         return hits.select(*columns)
-    return hits.dropDuplicates(["_kept_fp", "_kept_id"]).select(*columns)
+    return hits.dropDuplicates(["_kept_fp"]).select(*columns)
