@@ -93,6 +93,19 @@ def test_recall_and_exact_scores(spark):
     assert all(x == sorted(x) for x in got.values())
 
 
+def test_a_dense_third_beside_sparse_rows(spark):
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.01 / np.sqrt(32)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([dense, rng.normal(size=(600, 16)) / np.sqrt(32)]))]
+    rows += [(2000 + i, [float(i), 1.0]) for i in range(5)]  # fewer candidates than asked for
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = _answers(multiprobe_lsh.neighbours(table.where(F.col("vec_id") % 20 == 0), table, 10))
+    want = _brute(rows, [*range(0, 900, 20), 2000], 10)
+    assert {q: len(x) for q, x in got.items()} == {q: len(x) for q, x in want.items()}
+    for part in (range(0, 300, 20), range(300, 900, 20), [2000]):
+        assert np.mean([len({v for _, v in got[q]} & {v for _, v in want[q]}) / len(want[q]) for q in part]) >= 0.9
+
+
 def test_copies_ties_and_unusable_vectors(spark, monkeypatch):
     rows = [(i, [1.0, 0.0]) for i in range(100, 160)] + [(i, [0.0, 1.0]) for i in range(40)] + [
         (200, None), (201, [0.0, 0.0]), (202, [None, 1.0]), (203, [float("nan"), 1.0]), (204, []), (205, [1.0, 2.0, 3.0]),

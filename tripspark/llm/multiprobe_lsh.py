@@ -7,10 +7,13 @@
 3. A query visits its own bucket and the perturbed buckets, one cell up or down
    on any projections, in the order of the sum of squared distances to the cell
    walls, the estimate of how likely a bucket holds a near vector.
-4. Cell width and number of probes are set on a bounded sample (``sample_rows``):
-   the width in proportion to the distance of the ``k``-th neighbour, the probes
-   so that pairs at that distance meet in some table with at least ``target``
-   probability. Every row is indexed and searched whatever the sample.
+4. The distances at which queries have their ``k`` neighbours are measured for a
+   bounded sample of queries (``sample_rows``) against all rows. They give one or
+   more ranges, smallest first, as density differs: cells in proportion to the
+   range, and as many probes as pairs at that distance need to meet in some table
+   with at least ``target`` probability. A query whose answer does not lie within
+   the range goes on to the next, and from the last to all rows, exactly. Every
+   row is indexed and searched whatever the sample.
 5. Buckets meet their probes in groups of bounded size: a bucket with many
    vectors or many probes is split on both sides, and each part of one meets
    each part of the other. A group returns each query's nearest only; these are
@@ -20,12 +23,13 @@ Defined cases: NULL, empty or zero vectors and vectors with NULL or non-finite
 components take no part; vectors of another length than the query's are no
 candidates; equal distances go to the smaller id; a query never finds its own
 id, but finds copies of it; rows that repeat an id are one; with fewer
-candidates than ``k`` all that are found come back; empty tables give empty
+candidates than ``k`` all of them come back; empty tables give empty
 results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -74,33 +78,73 @@ def codes(cells: np.ndarray) -> np.ndarray:
     return (whole << (10 * np.arange(cells.shape[-1]))).sum(axis=-1)
 
 
-def calibrate(sample: np.ndarray, n: int, k: int, *, tables: int, projections: int, target: float,
-              width_factor: float = 1.4) -> Hashing:
-    """Width and probes for the distance at which ``k`` of ``n`` vectors are expected."""
+def ranges(distances: list[float], *, common: float = 0.98, least: float = 0.05) -> list[float]:
+    """Ranges to search, ascending, from sampled queries' distances to their ``k``-th neighbours: the
+    ``common`` quantile, and smaller by half or more each, down to where under a share ``least`` is left."""
+    d = np.sort(np.array([x for x in distances if x > 0]))
+    if not len(d):
+        return [0.0] if distances else []
+    out = [float(np.quantile(d, common, method="lower"))]
+    while (d <= out[0] / 2).mean() >= least:
+        out.insert(0, float(d[d <= out[0] / 2][-1]))
+    return out
+
+
+def calibrate(sample: np.ndarray, reach: float, *, tables: int, projections: int, target: float,
+              width_factor: float = 1.4, trials: int = 4000) -> Hashing:
+    """Width and probes for pairs ``reach`` apart. What a pair's cells are depends on its distance
+    only, as the projections are Gaussian: ``trials`` directions from the sampled vectors stand for all."""
     everything = 3 ** projections
-    if len(sample) < 2:
-        return Hashing(tables, projections, 1.0, everything)
-    squares = (sample ** 2).sum(axis=1)
-    i, j = np.triu_indices(len(sample), 1)
-    apart = np.sqrt(np.maximum(squares[:, None] + squares[None] - 2 * sample @ sample.T, 0))[i, j]
-    order = np.argsort(apart, kind="stable")
-    order = order[apart[order] > 0]
-    if not len(order):
-        return Hashing(tables, projections, 1.0, everything)
-    start = min(int(len(order) * min(1.0, k / max(n - 1, 1))), max(len(order) - 400, 0))
-    near = order[start:start + 400]  # pairs at that distance and a little beyond
-    width = width_factor * float(apart[near[0]])
-    hashing = Hashing(tables, projections, width, everything)
-    cells = hashing.cells(sample)
-    q, x = cells[i[near]], cells[j[near]]
-    steps = (np.floor(x) - np.floor(q)).astype(int)
-    moves = hashing.moves()
-    penalties = hashing.penalties(q)
-    own = np.where(steps == -1, (q - np.floor(q)) ** 2, np.where(steps == 1, (1 - q + np.floor(q)) ** 2, 0)).sum(axis=-1)
-    rank = (penalties < own[..., None] - 1e-12).sum(axis=-1)
-    rank = np.where((np.abs(steps) <= 1).all(axis=-1), rank, everything).min(axis=1)
-    probes = int(np.quantile(rank, target, method="higher")) + 1
-    return Hashing(tables, projections, width, min(probes, len(moves)))
+    if reach == 0:
+        return Hashing(tables, projections, 1.0, 1)
+    hashing = Hashing(tables, projections, width_factor * reach, everything)
+    rng = np.random.default_rng(_SEED)
+    own = sample[rng.integers(0, len(sample), trials)]
+    away = rng.normal(size=own.shape)
+    away *= reach / np.sqrt((away ** 2).sum(axis=1, keepdims=True))
+    moves, ranks = hashing.moves(), []
+    for at in range(0, trials, 500):
+        q, x = hashing.cells(own[at:at + 500]), hashing.cells(own[at:at + 500] + away[at:at + 500])
+        steps = (np.floor(x) - np.floor(q)).astype(int)
+        penalties = hashing.penalties(q)
+        crossed = np.where(steps == -1, (q - np.floor(q)) ** 2, np.where(steps == 1, (1 - q + np.floor(q)) ** 2, 0)).sum(axis=-1)
+        rank = (penalties < crossed[..., None] - 1e-12).sum(axis=-1)
+        ranks.append(np.where((np.abs(steps) <= 1).all(axis=-1), rank, everything).min(axis=1))
+    probes = int(np.quantile(np.concatenate(ranks), target, method="higher")) + 1
+    return Hashing(tables, projections, hashing.width, min(probes, len(moves)))
+
+
+def neighbour_distances(base: DataFrame, asked: list[np.ndarray], k: int) -> list[float]:
+    """Distance of each of ``asked`` to the ``k + 1``-th nearest id of all classes, its own included
+    (left out where there are fewer); each task passes on what that many ids need."""
+    shared = base.sparkSession.sparkContext.broadcast(asked)
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        queries = defaultdict(list)
+        for i, v in enumerate(shared.value):
+            queries[len(v)].append(i)
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for dim, part in batch.groupby(batch["vector"].map(len)):
+                if dim not in queries:
+                    continue
+                x, n = np.stack([np.asarray(v, float) for v in part["vector"]]), part["n"].to_numpy(np.int64)
+                q = np.stack([shared.value[i] for i in queries[dim]])
+                rough = (x ** 2).sum(axis=1)[None] - 2 * q @ x.T
+                top = min(len(x), k + 1)
+                near = np.argpartition(rough, top - 1, axis=1)[:, :top]
+                exact = np.sqrt(((x[near] - q[:, None, :]) ** 2).sum(axis=2))
+                for row, i in enumerate(queries[dim]):
+                    d, c = best.get(i, (np.zeros(0), np.zeros(0, np.int64)))
+                    d, c = np.concatenate([d, exact[row]]), np.concatenate([c, n[near[row]]])
+                    order = np.argsort(d, kind="stable")[:k + 1]
+                    best[i] = d[order], c[order]
+        yield pd.DataFrame([(i, a, b) for i, (d, c) in best.items() for a, b in zip(d.tolist(), c.tolist())], columns=["q", "d", "n"])
+
+    rows = base.select("vector", F.size("ids").alias("n")).mapInPandas(nearest, "q int, d double, n bigint")
+    upto = Window.partitionBy("q").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = rows.withColumn("c", F.sum("n").over(upto)).where(F.col("c") > k).groupBy("q").agg(F.min("d").alias("d"))
+    return [r["d"] for r in reached.collect()]  # at most one row for each of asked
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -128,22 +172,25 @@ def classes_of(vectors: DataFrame, k: int, *, id_col: str, vector_col: str) -> D
 _PROBED = "table int, dim int, bucket bigint, rep bigint, vector binary"
 
 
-def _indexed(hashing: Hashing, probing: bool):
-    """Rows per table (and probe) of each class."""
+def _indexed(hashing: Hashing | None, probing: bool):
+    """Rows per table (and probe) of each class; without hashing, one bucket holds all."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby(batch["vector"].map(len)):
                 for at in range(0, len(part), 500):
                     own = part.iloc[at:at + 500]
                     m = np.stack([np.asarray(x, float) for x in own["vector"]])
-                    cells = hashing.cells(m)
-                    if probing:
-                        moves = hashing.moves()
-                        order = np.argsort(hashing.penalties(cells), axis=-1, kind="stable")[..., :hashing.probes]
-                        cells = np.floor(cells)[:, :, None, :] + moves[order]
+                    if hashing is None:
+                        bucket = np.zeros((len(m), 1, 1), np.int64)
                     else:
-                        cells = cells[:, :, None, :]
-                    bucket = codes(cells)
+                        cells = hashing.cells(m)
+                        if probing:
+                            moves = hashing.moves()
+                            order = np.argsort(hashing.penalties(cells), axis=-1, kind="stable")[..., :hashing.probes]
+                            cells = np.floor(cells)[:, :, None, :] + moves[order]
+                        else:
+                            cells = cells[:, :, None, :]
+                        bucket = codes(cells)
                     n, tables, probes = bucket.shape
                     blobs = [x.astype("<f8").tobytes() for x in m]
                     for t in range(tables):
@@ -182,18 +229,9 @@ def _met(k: int):
     return nearest
 
 
-def neighbours(queries: DataFrame, vectors: DataFrame, k: int = 10, *, tables: int = 6, projections: int = 6,
-               target: float = 0.97, sample_rows: int = 1000, id_col: str = "vec_id",
-               vector_col: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest of ``vectors`` found for each of ``queries``."""
-    base = stored(classes_of(vectors, k, id_col=id_col, vector_col=vector_col))
-    asked = classes_of(queries, k, id_col=id_col, vector_col=vector_col).select(
-        F.col("rep"), "vector")
-    n = base.count()
-    sample = base.orderBy(F.xxhash64("vector"), "rep").limit(sample_rows).select("vector").collect()  # bounded by sample_rows
-    same = [np.array(r["vector"], float) for r in sample if len(r["vector"]) == len(sample[0]["vector"])]
-    hashing = calibrate(np.array(same) if same else np.zeros((0, 1)), n, k, tables=tables, projections=projections, target=target)
-
+def _search(base: DataFrame, asked: DataFrame, n: int, k: int, hashing: Hashing | None) -> DataFrame:
+    """``query, found``: up to ``k + 1`` nearest ids (structs of ``score, vec_id``, ascending) among
+    the classes that share a bucket with one of the query's probes, or without hashing among all."""
     index = base.select("rep", "vector").mapInPandas(_indexed(hashing, False), _PROBED)
     probes = asked.mapInPandas(_indexed(hashing, True), _PROBED)
     cell = ["table", "dim", "bucket"]
@@ -204,7 +242,7 @@ def neighbours(queries: DataFrame, vectors: DataFrame, k: int = 10, *, tables: i
         .where(F.col("count") > _GROUP).groupBy(*cell).agg(
             F.max(F.when(F.col("side") == 0, F.ceil(F.col("count") / _GROUP))).alias("vs"),
             F.max(F.when(F.col("side") == 1, F.ceil(F.col("count") / _GROUP))).alias("qs")))
-    parts = max(1, -(-n * tables // _GROUP))
+    parts = max(1, -(-n * (hashing.tables if hashing else 1) // _GROUP))
 
     def placed(rows: DataFrame, own: str, other: str) -> DataFrame:
         """Rows with their part of a split bucket (``own``) and a copy for each part of the other side."""
@@ -220,11 +258,40 @@ def neighbours(queries: DataFrame, vectors: DataFrame, k: int = 10, *, tables: i
     by_class = Window.partitionBy("query").orderBy("score", "rep")
     top = merged.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= k + 1).select("query", "rep", "score")
 
-    # Back to ids: a class of queries has one answer, of which each query leaves its own id out.
+    # Back to ids.
     answers = top.join(base.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
     by_id = Window.partitionBy("query").orderBy("score", "vec_id")
     answers = answers.withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= k + 1)
-    listed = answers.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("found"))
+    return answers.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("found"))
+
+
+def neighbours(queries: DataFrame, vectors: DataFrame, k: int = 10, *, tables: int = 6, projections: int = 6,
+               target: float = 0.97, sample_rows: int = 200, id_col: str = "vec_id",
+               vector_col: str = "embedding") -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` nearest of ``vectors`` found for each of ``queries``."""
+    base = stored(classes_of(vectors, k, id_col=id_col, vector_col=vector_col))
+    asked = stored(classes_of(queries, k, id_col=id_col, vector_col=vector_col).select(
+        F.col("rep"), "vector"))
+    n = base.count()
+    sample = [np.array(r["vector"], float) for r in asked.orderBy(F.xxhash64("vector"), "rep").limit(
+        sample_rows).select("vector").collect()]  # bounded by sample_rows
+    same = [v for v in sample if len(v) == len(sample[0])]
+
+    # A range's answers count if they end within it; the other queries go on.
+    open_, listed = asked, None
+    for reach in ranges(neighbour_distances(base, sample, k)):
+        hashing = calibrate(np.array(same), reach, tables=tables, projections=projections, target=target)
+        found = _search(base, open_, n, k, hashing)
+        settled = stored(found.where((F.size("found") > k) & (F.element_at("found", -1)["score"] <= reach * (1 + 1e-9))))
+        listed = settled if listed is None else listed.unionByName(settled)
+        open_ = stored(open_.join(settled, F.col("rep") == F.col("query"), "left_anti"))
+    if not open_.isEmpty():
+        rest = _search(base, open_, n, k, None)
+        listed = rest if listed is None else listed.unionByName(rest)
+    if listed is None:
+        listed = asked.sparkSession.createDataFrame([], "query bigint, found array<struct<score: double, vec_id: bigint>>")
+
+    # A class of queries has one answer, of which each query leaves its own id out.
     members = _members(queries, asked, id_col, vector_col).join(listed, "query")
     ranked = members.select("query_id", F.posexplode(F.slice(F.filter(
         "found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)).alias("r", "x"))
