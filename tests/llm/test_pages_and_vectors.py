@@ -45,6 +45,13 @@ def test_copies_of_an_article_stay(spark):
     assert {(r["text"], r["n_chars"]) for r in got} == {("T The article", 13)} and len(got) == 9
 
 
+def test_copies_of_an_unmarked_page_stay(spark):
+    html = "<div class=alpha><p>The words of a page</p></div><div class=beta><p>More of them</p></div>"
+    rows = [(1, "http://a.b/", html), (2, "https://a.b/", html), (2, "https://a.b/", html)]
+    got = site_style_tree.extract(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    assert [r["text"] for r in got] == ["The words of a page More of them"] * 3
+
+
 def test_page_edge_rows(spark):
     long = "<article>" + "<p>word " * 20_000 + "</article>"
     rows = [(1, None, None), (1, None, None), (None, "::bad url", ""), (2, "http://h/", long), (3, "http://h/", "<" * 3000)]

@@ -20,7 +20,8 @@ of unimportant nodes stays within a checked bound (beyond it, pages are joined b
 key). Each page is parsed twice, which is cheaper than storing it parsed.
 
 Defined cases: NULL or empty html gives the empty text; a NULL or malformed url
-belongs to the host without a name; equal rows are extracted each; broken markup
+belongs to the host without a name; equal rows are extracted each, but copies of a
+page on a host count as one page in the tree; broken markup
 never fails (unclosed elements end with their parent, stray ends are ignored);
 an empty table gives an empty result; extra columns are ignored.
 """
@@ -239,8 +240,9 @@ def host_of(url: str | Column) -> Column:
 
 
 def branch_importance(pages: DataFrame) -> DataFrame:
-    """``host, path, importance`` (0 to 1) of every branch that holds text; ``pages``: ``host, page, html``."""
-    rows = stored(pages.mapInPandas(_tree_rows, _TREE))
+    """``host, path, importance`` (0 to 1) of every branch that holds text; ``pages``: ``host, page, html``.
+    Copies of a page (equal ``host`` and ``page``) count once."""
+    rows = stored(pages.mapInPandas(_tree_rows, _TREE).dropDuplicates(["host", "page", "path", "feature"]))
     nodes = rows.where("style IS NOT NULL")
     sizes = nodes.groupBy("host", "path").agg(
         F.sum("n").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"),
