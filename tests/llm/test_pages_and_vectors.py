@@ -52,6 +52,14 @@ def test_copies_of_an_unmarked_page_stay(spark):
     assert [r["text"] for r in got] == ["The words of a page More of them"] * 3
 
 
+@pytest.mark.parametrize("opening, closing", [("<main>", "</main>"), ("<div class=content>", "</div>"), ("<article>", "</article>")])
+def test_repeated_blocks_within_a_marked_part_go(spark, opening, closing):
+    rows = [(i, "http://a.b/", f"{opening}<h1>Title {i}</h1><p>Own words of page number {i} and {i * i}</p>"
+             f"<ul><li><a href=x>Source {i}</a></ul><div class=alpha><p>The same line here</p></div>{closing}") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in site_style_tree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Title {i} Own words of page number {i} and {i * i} Source {i}" for i in range(20)}
+
+
 def test_page_edge_rows(spark):
     long = "<article>" + "<p>word " * 20_000 + "</article>"
     rows = [(1, None, None), (1, None, None), (None, "::bad url", ""), (2, "http://h/", long), (3, "http://h/", "<" * 3000)]

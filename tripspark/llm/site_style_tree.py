@@ -9,10 +9,11 @@
    page repeats has an entropy of 1 and no importance. Both scale down with the
    share of link text. A branch is as important as its most important node.
 3. Nodes that markup itself names as noise (navigation, forms, adverts, comments
-   and the like, by tag, role, class or id) have importance 0; those that it
-   names as the article have importance 1.
+   and the like, by tag, role, class or id) have importance 0.
 4. Branches below the threshold are removed from each page. If a page marks its
    article, only blocks within count, else those within its main part, else all.
+   Such a mark is a prior: links don't lower the importance of what it holds, and
+   if more than half of its text would go, it stays whole.
 
 Counts per host and node come from partial aggregates, so a host with a third
 of the pages is no group in one task; pages are never shuffled while the table
@@ -199,12 +200,19 @@ def _close_implied(stack: list[_Open], tag: str, close) -> None:
         close(len(stack) - 1)
 
 
-def main_text(html: str | None, unimportant: frozenset[int] | set[int] = frozenset()) -> str:
-    """The page's main text: blocks joined by one space."""
+def main_text(html: str | None, unimportant: frozenset[int] | set[int] = frozenset(),
+              repeated: frozenset[int] | set[int] = frozenset()) -> str:
+    """The page's main text: blocks joined by one space. Of the part that the page marks, ``repeated``
+    branches go, unless they are more than half of it; of a page without marks, ``unimportant`` ones."""
     page = parse(html)
     zone = max((z for _, _, _, z in page.blocks), default=_PLAIN)
-    return " ".join(t for chain, t, _, z in page.blocks
-                    if z == zone and (zone != _PLAIN or not unimportant.intersection(chain)))
+    own = [(t, chain) for chain, t, _, z in page.blocks if z == zone]
+    if zone == _PLAIN:
+        return " ".join(t for t, chain in own if not unimportant.intersection(chain))
+    left = [t for t, chain in own if not repeated.intersection(chain)]
+    if 2 * sum(map(len, left)) < sum(len(t) for t, _ in own):
+        left = [t for t, _ in own]
+    return " ".join(left)
 
 
 # --- the style tree ---------------------------------------------------------------------------
@@ -240,7 +248,8 @@ def host_of(url: str | Column) -> Column:
 
 
 def branch_importance(pages: DataFrame) -> DataFrame:
-    """``host, path, importance`` (0 to 1) of every branch that holds text; ``pages``: ``host, page, html``.
+    """``host, path, importance, variety`` (0 to 1; variety is importance without regard to links) of
+    every branch that holds text; ``pages``: ``host, page, html``.
     Copies of a page (equal ``host`` and ``page``) count once."""
     rows = stored(pages.mapInPandas(_tree_rows, _TREE).dropDuplicates(["host", "page", "path", "feature"]))
     nodes = rows.where("style IS NOT NULL")
@@ -261,10 +270,10 @@ def branch_importance(pages: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("pages") > 1, F.lit(1.0) - F.least(F.lit(1.0), entropy("c", "c_spread"))).otherwise(F.lit(1.0))).alias("content"))
     presentation = F.when(F.col("pages") > 1, entropy("shown", "style_spread")).otherwise(F.lit(1.0))
     own = sizes.join(styles, ["host", "path"]).join(content, ["host", "path"], "left").withColumn(
-        "own", F.greatest(F.coalesce("content", F.lit(0.0)), F.lit(0.5) * presentation)
-        * (F.lit(1.0) - F.col("link_chars") / F.greatest("chars", F.lit(1))))
-    return own.select("host", F.explode("parents").alias("path"), "own").groupBy("host", "path").agg(
-        F.max("own").alias("importance"))
+        "varies", F.greatest(F.coalesce("content", F.lit(0.0)), F.lit(0.5) * presentation)).withColumn(
+        "own", F.col("varies") * (F.lit(1.0) - F.col("link_chars") / F.greatest("chars", F.lit(1))))
+    return own.select("host", F.explode("parents").alias("path"), "own", "varies").groupBy("host", "path").agg(
+        F.max("own").alias("importance"), F.max("varies").alias("variety"))
 
 
 def extract(pages: DataFrame, *, threshold: float = 0.2, id_col: str = "page_id", url_col: str = "url",
@@ -273,17 +282,20 @@ def extract(pages: DataFrame, *, threshold: float = 0.2, id_col: str = "page_id"
     html = text_or_empty(html_col)
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"), html.alias("html"))
     keyed = own.withColumn("page", F.xxhash64("host", "html"))
-    low = stored(branch_importance(keyed.select("host", "page", "html")).where(F.col("importance") < threshold).select("host", "path"))
+    low = stored(branch_importance(keyed.select("host", "page", "html")).where(F.col("importance") < threshold).select(
+        "host", "path", (F.col("variety") < threshold).alias("repeated")))
 
     @F.pandas_udf("string")
-    def texts(htmls: pd.Series, unimportant: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h, set() if u is None else set(u)) for h, u in zip(htmls, unimportant)], dtype=object)
+    def texts(htmls: pd.Series, unimportant: pd.Series, repeated: pd.Series) -> pd.Series:
+        return pd.Series([main_text(h, set() if u is None else set(u), set() if r is None else set(r))
+                          for h, u, r in zip(htmls, unimportant, repeated)], dtype=object)
 
     # Broadcast only up to a checked number of rows (16 bytes each and the host's name once);
     # beyond that, each host's list goes to its pages by a shuffled join.
-    by_host = low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("unimportant"))
+    by_host = low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("unimportant"),
+                                      F.sort_array(F.collect_set(F.when(F.col("repeated"), F.col("path")))).alias("repeated"))
     if low.count() <= broadcast_rows:
         by_host = F.broadcast(by_host)
     marked = own.join(by_host, "host", "left")
-    out = marked.select("page_id", "url", texts("html", "unimportant").alias("text"))
+    out = marked.select("page_id", "url", texts("html", "unimportant", "repeated").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
