@@ -28,6 +28,23 @@ def test_main_text(html, text):
     assert site_style_tree.main_text(html) == text
 
 
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='has-sidebar'", "div id='page-with-nav'", "form",
+                                     "div class='page comments-open'"])
+def test_named_wrappers_keep_the_article(wrapper):
+    end, side = f"</{wrapper.split()[0]}>", "<div class=sidebar><p>Links</p></div><div class=comments><article class=comment>no</article></div>"
+    for inner in ("<article><h1>T</h1><p>The text of it</p></article>", "<main><h1>T</h1><p>The text of it</p></main>",
+                  "<div class=x><h1>T</h1><p>The text of it</p></div>"):
+        assert site_style_tree.main_text(f"<body><nav>n</nav><{wrapper}>{inner}{side}{end}<footer>f</footer></body>") == "T The text of it"
+    assert site_style_tree.main_text(f"<article><{wrapper}><p>The text of it</p>{side}{end}</article>") == "The text of it"
+
+
+def test_a_lifted_part_that_a_host_repeats_goes(spark):
+    line = "A long line that stands below every page of this site and says nothing about it"
+    rows = [(i, "http://a.b/", f"<p>Own {i * i}</p><div class=legal><p>{line}</p></div>") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in site_style_tree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Own {i * i}" for i in range(20)}
+
+
 def test_repeated_branches_of_a_host_go(spark):
     pages = [(i, "http://Site.example:80/p", f"<div class=alpha><p>Own words of page number {i} and {i * i}</p></div>"
                  "<div class=beta><p>The same line on every page</p></div>") for i in range(20)]

@@ -8,8 +8,10 @@
    minus the mean entropy, over those pages, of its text blocks: what every
    page repeats has an entropy of 1 and no importance. Both scale down with the
    share of link text. A branch is as important as its most important node.
-3. Nodes that markup itself names as noise (navigation, forms, adverts, comments
-   and the like, by tag, role, class or id) have importance 0.
+3. Nodes that markup itself names as noise (navigation, adverts, comments and the
+   like, by tag, role, class or id) have importance 0. A class, an id or a form
+   doesn't do so alone: see :meth:`Page.kept` for containers that hold the article
+   or most of the text. Their blocks are in the tree, which decides then.
 4. Branches below the threshold are removed from each page. If a page marks its
    article, only blocks within count, else those within its main part, else all.
    Such a mark is a prior: links don't lower the importance of what it holds, and
@@ -66,17 +68,51 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+#: Names of parts whose text differs on every page without being its main text.
+SIDE_NAMES = frozenset("comment comments commentlist discussion replies respond disqus related recommended recommendations trending "
+                       "teaser teasers promo promotion".split())
+
 _NAME = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PLAIN, _MAIN, _ARTICLE = 0, 1, 2
+_CLEAN, _NAMED, _SIDE, _NOISE = 0, 1, 2, 3  # no noise; by a name or a form, which may hold the page; by a side name; certain
 
 
 @dataclass
 class Page:
-    """A parsed page: text blocks ``(chain of paths, text, link characters, zone)`` and each path's styles."""
+    """A parsed page: text blocks ``(chain of paths, text, link characters, zone)``, each path's styles, for
+    each block the elements around it that a name calls noise, and for each such element the zone around it
+    and whether it is a side part."""
 
     blocks: list[tuple[tuple[int, ...], str, int, int]] = field(default_factory=list)
     styles: dict[int, list[str]] = field(default_factory=lambda: defaultdict(list))
+    within: list[tuple[int, ...]] = field(default_factory=list)
+    named: list[tuple[int, bool]] = field(default_factory=list)
+
+    def kept(self) -> list[tuple[tuple[int, ...], str, int, int]]:
+        """The blocks that are no noise. A name doesn't make an element noise that holds an article or main
+        part, or more than half of the text of a page on which no mark tells the main text. A side part must
+        hold more than half in any case, and a better mark than all that is left, or leave nothing."""
+        if not self.named:
+            return self.blocks
+        chars, marks = Counter(), Counter()
+        for (_, words, _, zone), within in zip(self.blocks, self.within):
+            for e in within:
+                chars[e] += len(words)
+                marks[e] = max(marks[e], zone if zone > self.named[e][0] else _PLAIN)
+        half = sum(len(words) for _, words, *_ in self.blocks) / 2
+        lifted = {e for e, (_, side) in enumerate(self.named) if marks[e] and not side}
+
+        def left() -> tuple[list[tuple[tuple[int, ...], str, int, int]], int]:
+            blocks = [b for b, within in zip(self.blocks, self.within) if lifted.issuperset(within)]
+            return blocks, max((z for *_, z in blocks), default=_PLAIN)
+
+        _, best = left()
+        lifted |= {e for e, (around, side) in enumerate(self.named)
+                   if chars[e] > half and not side and (around > best or best == _PLAIN)}
+        blocks, best = left()
+        lifted |= {e for e, (_, side) in enumerate(self.named) if chars[e] > half and side and (marks[e] > best or not blocks)}
+        return left()[0]
 
 
 @dataclass
@@ -86,10 +122,11 @@ class _Open:
     noise: bool
     zone: int
     inline: bool
+    named: tuple[int, ...] = ()
 
 
-def _label(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
-    """An element's name in paths, whether its markup names it noise, and its zone.
+def _label(tag: str, attributes: str, inside: int) -> tuple[str, int, int]:
+    """An element's name in paths, in what way its markup names it noise, and its zone.
     A header is noise on a page, but not ``inside`` an article, where it holds the title."""
     given: dict[str, str] = {}
     if attributes.strip(" /"):
@@ -104,13 +141,23 @@ def _label(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
         _MAIN if tag == "main" or role == "main" or names & MAIN_NAMES else _PLAIN)
     hidden = "hidden" in given or given.get("aria-hidden", "").lower() == "true" or bool(
         re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", "").lower()))
-    noise = tag in NOISE_TAGS or (tag == "header" and not inside) or role in NOISE_ROLES or hidden or (
-        tag not in ("html", "body") and bool((words - {"header"} if inside else words) & NOISE_NAMES) and not (zone and not words & {"comment", "comments"}))
+    form = tag == "form" or role == "form"
+    marked = set() if tag in ("html", "body") or (zone and not words & {"comment", "comments"}) else words & NOISE_NAMES
+    if inside:
+        marked -= {"header"}
+    if marked & SIDE_NAMES:
+        zone = _PLAIN  # an article of comments is none of the page
+    if hidden or (tag in NOISE_TAGS and tag != "form") or (tag == "header" and not inside) or (role in NOISE_ROLES and not form):
+        noise = _NOISE
+    elif marked & SIDE_NAMES:
+        noise = _SIDE
+    else:
+        noise = _NAMED if form or marked else _CLEAN
     return ".".join([tag, *sorted(words)]), noise, zone
 
 
 def parse(html: str | None) -> Page:
-    """Blocks and styles of a page. Text within noise elements is left out."""
+    """Blocks and styles of a page. Text within certain noise is left out; :meth:`Page.kept` judges the rest."""
     page, html = Page(), html or ""
     stack = [_Open("", 0, False, _PLAIN, False)]
     text: list[str] = []
@@ -121,6 +168,7 @@ def parse(html: str | None) -> Page:
         if words:
             chain = tuple(dict.fromkeys(x.path for x in stack if not x.inline))
             page.blocks.append((chain, words, min(link[0], len(words)), stack[-1].zone))
+            page.within.append(stack[-1].named)
         text.clear()
         link[0] = 0
 
@@ -173,9 +221,15 @@ def parse(html: str | None) -> Page:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        if noise and not top.noise:
-            text.append("") if inline else flush()
-        stack.append(_Open(tag, path, noise or top.noise, max(zone, top.zone), inline))
+        if noise and not top.noise and not inline:
+            flush()
+        if noise and inline:
+            noise = _NOISE
+        named = top.named
+        if noise in (_NAMED, _SIDE) and not top.noise:
+            named = (*named, len(page.named))
+            page.named.append((top.zone, noise == _SIDE))
+        stack.append(_Open(tag, path, noise == _NOISE or top.noise, max(zone, top.zone), inline, named))
     add(html[at:])
     flush()
     return page
@@ -205,8 +259,9 @@ def main_text(html: str | None, unimportant: frozenset[int] | set[int] = frozens
     """The page's main text: blocks joined by one space. Of the part that the page marks, ``repeated``
     branches go, unless they are more than half of it; of a page without marks, ``unimportant`` ones."""
     page = parse(html)
-    zone = max((z for _, _, _, z in page.blocks), default=_PLAIN)
-    own = [(t, chain) for chain, t, _, z in page.blocks if z == zone]
+    blocks = page.kept()
+    zone = max((z for _, _, _, z in blocks), default=_PLAIN)
+    own = [(t, chain) for chain, t, _, z in blocks if z == zone]
     if zone == _PLAIN:
         return " ".join(t for t, chain in own if not unimportant.intersection(chain))
     left = [t for t, chain in own if not repeated.intersection(chain)]
