@@ -259,6 +259,32 @@ def test_language_edge_rows(spark):
     assert language_id.identify(docs(spark, []), model).count() == 0
 
 
+def test_every_sequence_and_context_is_in_the_model(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(map(chr, rng.integers(0x4E00, 0x4E00 + 5000, 2000))), f"l{i % 2}", "a", 1) for i in range(40)]
+    table = docs(spark, rows)
+    model = language_id.fit(table)
+    seen = np.unique(language_id.sequences([r[1] for r in rows])[0], axis=0)
+    for k in range(1, 5):
+        assert len(model.keys[k - 1]) == len(np.unique(seen[:, 4 - k:], axis=0))
+        assert len(model.context_keys[k - 1]) == len(np.unique(seen[:, 4 - k:-1], axis=0))
+
+
+def test_tables_judge_as_arrays_do(spark):
+    table = _language_docs(spark).unionByName(docs(spark)).withColumn("extra", F.lit(1))
+    arrays, joined = language_id.fit(table), language_id.fit(table, array_cells=0)
+    assert arrays.tables is None and joined.tables is not None and not joined.keys
+    more = table.unionByName(docs(spark, [(1000, "die hat 東 und", "x", "a", 1)]).withColumn("extra", F.lit(1)))
+    one, two = (language_id.identify(more, m) for m in (arrays, joined))
+    assert one.columns == two.columns
+
+    def listed(df):
+        return sorted((repr(r["doc_id"]), r["text"] or "", *r["identified"][:3], r["identified"]["cross_entropy"] or 0.0) for r in df.collect())
+
+    for x, y in zip(listed(one), listed(two), strict=True):
+        assert x[:4] == y[:4] and x[4:] == pytest.approx(y[4:], rel=1e-4)
+
+
 # --- secrets ------------------------------------------------------------------------------
 
 SECRETS = [

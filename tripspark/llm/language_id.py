@@ -7,12 +7,11 @@
 2. The lower orders' continuation counts, discounts (``n1 / (n1 + 2 n2)``),
    interpolated probabilities and back-off weights are DataFrame aggregates and
    joins over these counts.
-3. The model keeps, per order, sorted arrays of sequence hashes with a row of
-   log-probabilities per language, and sorted arrays of context hashes with
-   back-off weights. Of sequences that share a slot (the hash's last
-   ``slot_bits`` bits) a language keeps the most frequent, the others back off;
-   so a model has at most ``2 ** slot_bits`` rows an order and language, which
-   bounds what is collected and broadcast whatever the corpus.
+3. Every counted sequence and context is in the model. Up to a counted size (``array_cells``
+   and ``array_rows``) it is broadcast: per order, sorted arrays of 64-bit sequence hashes
+   with a row of log-probabilities per language, and of context hashes with back-off
+   weights. Beyond that it stays in tables: the sequences of the distinct texts are joined
+   with them and summed per text and language.
 4. A text gets the language of least cross-entropy per character. It is rejected
    as ``und`` if that exceeds what the language's own training text leads to
    expect: mean plus ``z`` standard deviations, exact over all training
@@ -39,7 +38,7 @@ from tripspark.llm.common import stored
 ORDER = 4
 UNKNOWN = "und"
 _CHUNK = 1 << 19  # characters handled at once
-_PRIME, _BASE = 2_147_483_647, 1_000_003
+_FLOOR = 1.0 / 150_000  # share of a letter that no text had
 _GRAM = ("a", "b", "c", "d")
 
 
@@ -68,18 +67,11 @@ def sequences(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(grams: np.ndarray) -> np.ndarray:
-    """Hash of each row of code points, 31 bits."""
-    h = np.zeros(len(grams), np.int64)
+    """Hash of each row of code points, 64 bits."""
+    h = np.zeros(len(grams), np.uint64)
     for k in range(grams.shape[1]):
-        h = (h * _BASE + grams[:, k] + 1) % _PRIME
-    return h
-
-
-def hash_column(columns: Iterable[str]) -> Column:
-    """:func:`hashes` as a column expression."""
-    h = F.lit(0).cast("long")
-    for c in columns:
-        h = (h * F.lit(_BASE) + F.col(c) + F.lit(1)) % F.lit(_PRIME)
+        h = (h ^ (grams[:, k].astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
     return h
 
 
@@ -156,7 +148,7 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         rows = table.join(totals, context)
         if lower is None:
             # The share of unseen characters goes evenly to all letters and the space.
-            rows = rows.withColumn("below", F.lit(1.0 / 150_000))
+            rows = rows.withColumn("below", F.lit(_FLOOR))
         else:
             rows = rows.join(lower.withColumnRenamed("p", "below").drop("n"), ["lang", *gram[1:]])
         probs = stored(rows.select("lang", *gram, "n", (F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
@@ -168,7 +160,7 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 @dataclass
 class LanguageModels:
-    """Sorted hash arrays of all orders; see the module's description."""
+    """Sorted hash arrays of all orders, or ``tables`` of :func:`kneser_ney`; see the module's description."""
 
     languages: list[str]
     keys: list[np.ndarray]
@@ -178,6 +170,7 @@ class LanguageModels:
     mean: np.ndarray
     deviation: np.ndarray
     floor: float
+    tables: list[tuple[DataFrame, DataFrame]] | None = None
 
     def log_probabilities(self, grams: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Log-probability per language of each row's last character after the others."""
@@ -223,8 +216,10 @@ class LanguageModels:
         return total / np.maximum(size, 1)[:, None], size
 
 
-def fit(docs: DataFrame, *, slot_bits: int = 20, text_col: str = "text", lang_col: str = "lang") -> LanguageModels:
-    """Train on all rows of ``docs`` that have a text and a language."""
+def fit(docs: DataFrame, *, array_cells: int = 8_000_000, array_rows: int = 1_000_000, text_col: str = "text",
+        lang_col: str = "lang") -> LanguageModels:
+    """Train on all rows of ``docs`` that have a text and a language. The model becomes arrays if its tables have
+    up to ``array_rows`` rows and up to ``array_cells`` rows times languages."""
     orders = kneser_ney(stored(sequence_counts(docs, text_col=text_col, lang_col=lang_col)))
     log_p = F.log("p")
     spread = orders[-1][0].groupBy("lang").agg(
@@ -234,32 +229,31 @@ def fit(docs: DataFrame, *, slot_bits: int = 20, text_col: str = "text", lang_co
     number = {x: k for k, x in enumerate(langs)}
     mean = -(spread["s"] / spread["n"]).to_numpy(float)
     deviation = np.sqrt(np.maximum((spread["q"] / spread["n"]).to_numpy(float) - mean ** 2, 0))
-    model = LanguageModels(langs, [], [], [], [], mean, deviation, float(np.log(1.0 / 150_000)))
+    model = LanguageModels(langs, [], [], [], [], mean, deviation, float(np.log(_FLOOR)))
+    orders = [(probs, stored(contexts)) for probs, contexts in orders]
+    size = sum(x.count() for order in orders for x in order)
+    if size > array_rows or size * len(langs) > array_cells:
+        model.tables = orders
+        return model
     for k, (probs, contexts) in enumerate(orders, 1):
         gram = list(_GRAM[ORDER - k:])
 
-        def collected(rows: DataFrame, columns: list[str], count: str, value: Column) -> pd.DataFrame:
-            """At most one row per slot and language, the most frequent: 2 ** slot_bits times the languages."""
-            h = hash_column(columns)
-            slot = h.bitwiseAND(F.lit((1 << slot_bits) - 1).cast("long"))
-            return rows.groupBy("lang", slot.alias("slot")).agg(
-                F.max(F.struct(F.col(count).alias("count"), h.alias("h"), value.alias("v"), *columns)).alias("m")
-            ).select("lang", "m.h", "m.v", *[f"m.{c}" for c in columns]).toPandas()
-
-        rows = collected(contexts, gram[:-1], "total", F.log("backoff"))
-        keys = np.unique(rows["h"].to_numpy(np.int64))
+        rows = contexts.select("lang", *gram[:-1], F.log("backoff").alias("v")).toPandas()  # array_rows at most, all tables together
+        h = hashes(rows[gram[:-1]].to_numpy(np.int64))
+        keys = np.unique(h)
         weights = np.zeros((len(keys), len(langs)), np.float32)
-        weights[np.searchsorted(keys, rows["h"]), rows["lang"].map(number).to_numpy(int)] = rows["v"]
+        weights[np.searchsorted(keys, h), rows["lang"].map(number).to_numpy(int)] = rows["v"]
         model.context_keys.append(keys)
         model.backoff.append(weights)
 
-        rows = collected(probs, gram, "n", F.log("p"))
-        keys, first = np.unique(rows["h"].to_numpy(np.int64), return_index=True)
+        rows = probs.select("lang", *gram, F.log("p").alias("v")).toPandas()
+        h = hashes(rows[gram].to_numpy(np.int64))
+        keys, first = np.unique(h, return_index=True)
         full = np.zeros((len(keys), ORDER), np.int64)
         full[:, ORDER - k:] = rows[gram].to_numpy(np.int64)[first]
         # A language that hasn't seen the sequence backs off, once and for all.
         logs = model.backed_off(full, k) if len(keys) else np.zeros((0, len(langs)), np.float32)
-        logs[np.searchsorted(keys, rows["h"]), rows["lang"].map(number).to_numpy(int)] = rows["v"]
+        logs[np.searchsorted(keys, h), rows["lang"].map(number).to_numpy(int)] = rows["v"]
         model.keys.append(keys)
         model.logp.append(logs.astype(np.float32))
     return model
@@ -268,6 +262,8 @@ def fit(docs: DataFrame, *, slot_bits: int = 20, text_col: str = "text", lang_co
 def identify(docs: DataFrame, model: LanguageModels, *, z: float = 4.0, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``identified``: a struct of ``nearest`` (language of least cross-entropy), ``lang``
     (the same, or ``und`` if rejected), ``score`` (0 to 1) and ``cross_entropy``."""
+    if model.tables is not None:
+        return _identified_by_tables(docs, model, z, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("nearest string, lang string, score double, cross_entropy double")
@@ -277,6 +273,54 @@ def identify(docs: DataFrame, model: LanguageModels, *, z: float = 4.0, text_col
     return docs.withColumn("identified", identified(F.col(text_col)))
 
 
+def _text_sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How often each sequence occurs in each text that has a letter."""
+    for batch in batches:
+        for key, text in zip(batch["key"], batch["text"]):
+            if not any(c.isalpha() for c in text):
+                continue
+            for chunk in _chunks([text]):
+                found, n = np.unique(sequences(chunk)[0], axis=0, return_counts=True)
+                yield pd.DataFrame({"key": key, **{g: found[:, k].astype(np.int32) for k, g in enumerate(_GRAM)}, "n": n})
+
+
+def _table_log_probabilities(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``lang, a, b, c, d, logp`` of every language for each of ``grams`` (distinct)."""
+    known = F.broadcast(tables[0][1].select("lang"))  # one row per language
+    out, logp = grams.crossJoin(known), F.lit(float(np.log(_FLOOR)))
+    for k, (probs, contexts) in enumerate(tables, 1):
+        gram = list(_GRAM[ORDER - k:])
+        out = out.join(contexts.select("lang", *gram[:-1], F.log("backoff").alias(f"w{k}")), ["lang", *gram[:-1]], "left")
+        out = out.join(probs.select("lang", *gram, F.log("p").alias(f"p{k}")), ["lang", *gram], "left")
+        logp = F.coalesce(f"p{k}", F.coalesce(f"w{k}", F.lit(0.0)) + logp)
+    return out.select("lang", *_GRAM, logp.alias("logp"))
+
+
+def _identified_by_tables(docs: DataFrame, model: LanguageModels, z: float, text_col: str) -> DataFrame:
+    """:func:`identify` by joins. Equal texts are judged once."""
+    key = F.sha2(F.col(text_col).cast("binary"), 256)
+    texts = docs.where(F.col(text_col).isNotNull()).select(key.alias("key"), F.col(text_col).alias("text")).dropDuplicates(["key"])
+    counted = stored(texts.mapInPandas(_text_sequences, "key string, a int, b int, c int, d int, n bigint"))
+    logs = _table_log_probabilities(counted.select(*_GRAM).distinct(), model.tables)
+    sums = counted.join(logs, list(_GRAM)).groupBy("key", "lang").agg(
+        F.sum(-F.col("n") * F.col("logp")).alias("s"), F.sum("n").alias("n"))
+    # One entry per language.
+    per_text = sums.groupBy("key").agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("sums"))
+    ordered = F.array(*[F.col("sums")[F.lit(x)] for x in model.languages]) if model.languages else F.array().cast("array<double>")
+    languages, mean, deviation = model.languages, model.mean, model.deviation
+
+    @F.pandas_udf("nearest string, lang string, score double, cross_entropy double")
+    def decided(total: pd.Series, size: pd.Series) -> pd.DataFrame:
+        n = size.to_numpy(np.int64)
+        return _decided(languages, mean, deviation, np.array(total.tolist(), float).reshape(len(n), -1) / n[:, None], n, z)
+
+    found = per_text.select(F.col("key").alias("_text_key"), decided(ordered, "n").alias("_found"))
+    none = F.struct(F.lit(UNKNOWN).alias("nearest"), F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"),
+                    F.lit(None).cast("double").alias("cross_entropy"))
+    joined = docs.join(found, key == F.col("_text_key"), "left")
+    return joined.select(*[docs[c] for c in docs.columns], F.coalesce("_found", none).alias("identified"))
+
+
 def judge(model: LanguageModels, texts: list[str], z: float = 4.0) -> pd.DataFrame:
     """The decision for each text; see :func:`identify`."""
     out = pd.DataFrame({"nearest": UNKNOWN, "lang": UNKNOWN, "score": 0.0, "cross_entropy": np.nan}, index=range(len(texts)))
@@ -284,13 +328,19 @@ def judge(model: LanguageModels, texts: list[str], z: float = 4.0) -> pd.DataFra
     if not model.languages or not lettered:
         return out
     entropy, size = model.cross_entropies([texts[k] for k in lettered])
+    found = _decided(model.languages, model.mean, model.deviation, entropy, size, z)
+    for c in out.columns:
+        out.loc[lettered, c] = found[c].to_numpy()
+    return out
+
+
+def _decided(languages: list[str], mean: np.ndarray, deviation: np.ndarray, entropy: np.ndarray, size: np.ndarray,
+             z: float) -> pd.DataFrame:
+    """The decisions from ``(texts x languages)`` cross-entropies per character and numbers of characters."""
     best = entropy.argmin(axis=1)
     least = entropy[np.arange(len(best)), best]
     odds = np.exp(-np.minimum(size, 50)[:, None] * (entropy - least[:, None]))
-    limit = model.mean[best] + z * model.deviation[best] / np.sqrt(np.clip(size, 1, 100))
-    names = np.array(model.languages, object)[best]
-    out.loc[lettered, "nearest"] = names
-    out.loc[lettered, "lang"] = np.where(least <= limit, names, UNKNOWN)
-    out.loc[lettered, "score"] = 1.0 / odds.sum(axis=1)
-    out.loc[lettered, "cross_entropy"] = least
-    return out
+    limit = mean[best] + z * deviation[best] / np.sqrt(np.clip(size, 1, 100))
+    names = np.array(languages, object)[best]
+    return pd.DataFrame({"nearest": names, "lang": np.where(least <= limit, names, UNKNOWN), "score": 1.0 / odds.sum(axis=1),
+                         "cross_entropy": least})
