@@ -418,6 +418,15 @@ def _best_window(text, item):
     return best
 
 
+def test_items_without_id_count(spark):
+    item = " ".join(f"item{i}" for i in range(40))
+    items = _bench_items(spark, [(None, item), (3, " ".join(f"other{i}" for i in range(40)))])
+    table = docs(spark, [(1, f"before {item} after", "en", "a", 1), (2, PROSE, "en", "a", 1), (None, item, "en", "a", 1)])
+    assert sorted((r["doc_id"] or 0, r["item_id"], r["similarity"]) for r in decontaminate.contaminated_pairs(table, items).collect()) == [
+        (0, None, 1.0), (1, None, 1.0)]
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(table, items).collect()] == [2]
+
+
 def test_decontamination_of_empty_tables(spark):
     items = _bench_items(spark, [(1, PROSE)])
     assert decontaminate.contaminated_pairs(docs(spark, []), items).count() == 0

@@ -23,7 +23,8 @@ default radius of 20 leaves more than three standard deviations.
 
 Defined cases: NULL and empty texts match nothing; items and documents of
 fewer than five words have no shingle and match nothing; a document shorter
-than the item is one window; repeated items and rows match each by itself; empty
+than the item is one window; repeated items and rows match each by itself, items
+without id under a NULL ``item_id``; empty
 tables give empty results; extra columns pass through ``drop_contaminated``.
 """
 
@@ -126,7 +127,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
     items = stored(
         benchmark.select(F.col(item_col).alias("item_id"), words_of(item_text_col).alias("item_words"))
         .where(F.size("item_words") >= SHINGLE)
-        .groupBy("item_words").agg(F.min("item_id").alias("item_id"), F.collect_set("item_id").alias("item_ids"))
+        .groupBy("item_words").agg(F.min("item_id").alias("item_id"), F.collect_set(F.struct("item_id")).alias("item_ids"))  # structs: NULL ids too
         .withColumn("s", F.size("item_words") - (SHINGLE - 1))
     )
     vocabulary = stored(items.select("item_words", "s", F.explode(F.array_distinct(shingle_hashes(F.col("item_words")))).alias("h"))
@@ -180,7 +181,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
     scored = judged.withColumn("both", both).withColumn(
         "similarity", F.col("both") / (F.col("count") + F.col("s") - F.col("both")))
     best = scored.where(F.col("similarity") >= similarity).select(
-        *_KEY, F.explode("item_ids").alias("item_id"), "similarity", (-F.col("start")).alias("before"))
+        *_KEY, F.explode("item_ids").alias("i"), "similarity", (-F.col("start")).alias("before")).select(
+        *_KEY, "i.item_id", "similarity", "before")
     return best.groupBy(*_KEY, "item_id").agg(F.max(F.struct("similarity", "before")).alias("b")).select(
         *_KEY, "item_id", "b.similarity", (-F.col("b.before")).alias("start_word"))
 
