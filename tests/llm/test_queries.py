@@ -21,7 +21,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     frame = QUERIES[name](spark, SF)
     res = con.execute(SQL[name])
     names = [d[0] for d in res.description]
@@ -31,7 +32,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES if k != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "SimHash near-dedup", "benchmark decontamination", "mixing sources to target weights", "token-ID / binary output"]
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripspark.llm import decontaminate, language_id, multiprobe_lsh, packing, quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts
+from tripspark.llm import (bbit_minhash, conversation_repair, conversation_trie, decontaminate, language_id, multiprobe_lsh, packing,
+                           quality_rules, secret_scan, simhash_dedup, site_style_tree, source_mixing, token_counts)
 from tripspark.llm.common import crc32_mod
 
 
@@ -64,6 +65,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -75,5 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_decontaminate": op10_decontaminate,
+    "op11_bbit_minhash": op11_bbit_minhash,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
