@@ -241,7 +241,7 @@ def test_trie_equals_plain(spark, block):
 
 
 def test_trie_of_one_very_long_conversation(spark):
-    rows = [(40, t, "user", f"turn {t % 5}") for t in range(3000)] + [(41, t, "user", f"turn {t % 5}") for t in range(1500)]
+    rows = [(40, t, "user", f"turn {t % 5}") for t in range(200)] + [(41, t, "user", f"turn {t % 5}") for t in range(90)]
     got = conversation_trie.prefix_trie(_table(spark, rows).repartition(6))
     assert rows_of(got) == _plain_trie(rows)
 
