@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.functions.time import duration_seconds, hour_label, hour_of_day
+from tripspark.operators.joins import reduced_by_keys
 from tripspark.schemas import TRIPS, VENDORS, TripRoles, VendorRoles
 
 
@@ -95,6 +96,7 @@ def max_by_dimension(
     value_alias: str,
     key_type: str | None = None,
     preaggregate: bool = False,
+    reduce_dims: bool = False,
     order: bool = True,
 ) -> DataFrame:
     """``max(facts.value)`` per ``dims.attribute`` over ``facts ⋈ dims`` (inner).
@@ -105,13 +107,17 @@ def max_by_dimension(
     that is hot on either side. ``preaggregate`` first reduces the facts to one
     row per key, which ``max`` allows: the caller's choice where fact keys
     repeat and the dimension has one row per key (an aggregated side can't be
-    split by skew handling). ``key_type`` casts the output key (e.g.
+    split by skew handling). ``reduce_dims`` drops dimension rows that no fact can
+    match before the join shuffles them (:func:`joins.reduced_by_keys`), for facts that
+    a selective filter left. ``key_type`` casts the output key (e.g.
     ``"string"`` for text ordering).
     """
     f = facts.select(F.col(fact_key).alias("_k"), F.col(value).alias("_v"))
     if preaggregate:
         f = f.groupBy("_k").agg(F.max("_v").alias("_v"))
     d = dims.select(F.col(dim_key).alias("_k"), F.col(attribute).alias("_a"))
+    if reduce_dims:
+        d = reduced_by_keys(d, facts, "_k", fact_key)
     joined = f.join(d, "_k", "inner")
     per_attr = joined.groupBy("_a").agg(F.max("_v").alias(value_alias))
     key = F.col("_a") if key_type is None else F.col("_a").cast(key_type)
@@ -129,6 +135,7 @@ def max_cost_by_vendor(
     value_alias: str = "MaxTripCost",
     key_type: str | None = None,
     preaggregate: bool = False,
+    reduce_dims: bool = False,
     order: bool = True,
 ) -> DataFrame:
     """Maximum trip cost per vendor (inner join trips ⋈ vendors on the trip id)."""
@@ -143,5 +150,6 @@ def max_cost_by_vendor(
         value_alias=value_alias,
         key_type=key_type,
         preaggregate=preaggregate,
+        reduce_dims=reduce_dims,
         order=order,
     )

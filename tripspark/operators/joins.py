@@ -100,6 +100,28 @@ def limited_dimension(dim: DataFrame, key, n: int) -> DataFrame:
     return dim.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(int(n))
 
 
+def any_rows(dim: DataFrame, n: int) -> DataFrame:
+    """Some ``n`` rows of ``dim`` (which ones is open), reading only as many files as that takes: tasks
+    start on one partition and go on to more while rows are missing. The ``n`` rows pass through the
+    driver, so ``n`` must be small; :func:`limited_dimension` is the deterministic form."""
+    return dim.sparkSession.createDataFrame(dim.limit(int(n)).collect(), dim.schema)
+
+
+def reduced_by_keys(rows: DataFrame, others: DataFrame, key: str, other_key: str, *, max_bytes: int | None = None) -> DataFrame:
+    """``rows`` without most of those whose ``key`` no row of ``others`` has, before a join shuffles them.
+
+    The keys of ``others`` are hashed into as many buckets as the broadcast budget has room for (16 bytes
+    each), so the broadcast has a proven bound whatever the number of keys; rows in no occupied bucket go. Rows
+    that share a bucket with a key stay, so a join must follow. Worth its extra pass over
+    ``others`` where those are the few that a filter left. With broadcasting off, ``rows`` stay as they are."""
+    buckets = broadcast_budget(rows, max_bytes) // 16
+    if buckets < 1024:
+        return rows
+    bucket = lambda c: F.pmod(F.xxhash64(c.cast("string")), F.lit(buckets))
+    occupied = others.where(F.col(other_key).isNotNull()).select(bucket(F.col(other_key)).alias("_bucket")).distinct()
+    return rows.join(F.broadcast(occupied), bucket(F.col(key)) == F.col("_bucket"), "left_semi")
+
+
 def join_with_strategy(
     facts: DataFrame,
     dims: DataFrame,

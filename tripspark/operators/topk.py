@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.operators.joins import broadcast_budget, is_fixed_width, row_width
+from tripspark.operators.joins import broadcast_budget, is_fixed_width, reduced_by_keys, row_width
 from tripspark.session import shared_dir
 
 
@@ -38,6 +38,7 @@ def top_k_join(
     candidates: int | None = None,
     max_bytes: int | None = None,
     method: str = "candidates",
+    reduce_dims: bool = False,
 ) -> DataFrame:
     """Exact ``(facts ⋈ dims).orderBy(score desc nulls last, key, dim_cols, fact_cols).limit(k)``
     without shuffling either table.
@@ -56,7 +57,9 @@ def top_k_join(
     4. Otherwise a shuffled join + top-k, each side cut to its top k rows per
        key first (:func:`_per_key_limited_join`): facts and dimension are read
        once more at most, whatever matches.
-    ``method="shuffle"`` goes straight to that shuffled form.
+    ``method="shuffle"`` goes straight to that shuffled form. ``reduce_dims`` drops dimension
+    rows that no fact can match before it shuffles them (:func:`joins.reduced_by_keys`), for
+    facts that a selective filter left.
     """
     if method not in ("candidates", "shuffle"):
         raise ValueError(f"method must be 'candidates' or 'shuffle', got {method!r}")
@@ -85,6 +88,8 @@ def top_k_join(
         top = joined.orderBy(*final_order).limit(k).checkpoint(eager=True)
         if exhausted or top.count() >= k:
             return top
+    if reduce_dims:
+        d = reduced_by_keys(d, f, key, key, max_bytes=max_bytes)
     return _per_key_limited_join(f, d, key, score, dim_cols, rest, int(k)).orderBy(*final_order).limit(k)
 
 

@@ -18,11 +18,14 @@ from tripspark.functions.time import hour_label
 from tripspark.operators import aggregates, filters, joins, metrics
 from tripspark.plans import explain, line_queries, trip_queries
 from tripspark.schemas import TRIP_SCHEMA, TRIP_SCHEMA_NTZ, VENDOR_SCHEMA
-from tripspark.session import scratch_path
+from tripspark.session import NO_BROADCAST, scratch_path, session_with
 from tripspark.sinks import (
     ROUND_TRIP_TIMESTAMP_FORMAT,
+    convert_csv,
     csv_to_parquet,
+    folder_size,
     write_csv_table,
+    write_lookup_table,
     write_pair_lines,
     write_result,
 )
@@ -33,9 +36,12 @@ from tripspark.sources import (
     read_text_lines,
     read_trips_csv,
     read_vendors_csv,
+    split_records,
     trips,
     vendors,
 )
+from tripspark.sinks.layout import files_for
+from tripspark.sources.fixtures import materialize
 from tripspark.sources.text import parse_lines
 
 # Fixed values of the registered queries.
@@ -43,6 +49,9 @@ TRIP_CUTOFF = "2024-01-10 00:00:00"   # Q3 date cut for the derived trips (event
 LOOKUP_ORDER_KEY = 4242                # point lookup on orders
 LIMITED_SUPPLIERS = 10                 # size of the truncated dimension
 LOOKUP_TRIP_ID = 4242                  # point lookup on the trips table
+LATE_CUTOFF = "2024-01-29 00:00:00"     # a selective date cut
+LOOKUP_FILE_BYTES = 128 * 1024         # target file size of the tables laid out for lookups (test scale)
+LOOKUP_KEYS_PER_FILE = 20_000          # sizes their bloom filters
 LIMITED_VENDORS = 100                  # the join program's truncated vendor table
 PREVIEW_ROWS = 20                      # rows of a console-style preview
 ROUND_DIGITS = 6                       # trig results are compared after rounding
@@ -194,6 +203,84 @@ def join_preview(spark: SparkSession, d: str) -> DataFrame:
     return joined.orderBy(*[F.col(c).asc_nulls_last() for c in LINEITEM_ORDER]).limit(PREVIEW_ROWS)
 
 
+def join_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """The operator that ran (from the plan after the action), with the joined rows and a sum that were
+    observed on the way. (The seconds of each run are left out: they differ from run to run.)"""
+    frames = {"auto": _supplier_join(spark, d, "auto"), "merge": _supplier_join(spark, d, "merge"),
+              "no_broadcast": join_without_broadcast(spark, d)}
+    order = [F.col(c).asc_nulls_last() for c in LINEITEM_ORDER]
+    runs = [explain.run_join(df, k, order=order, measure="l_orderkey") for k, df in frames.items()]
+    return explain.join_runs_report(spark, runs, seconds=False)
+
+
+def join_without_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    """The planner's-choice join, planned in a session of its own that rules broadcasts out."""
+    return _supplier_join(session_with(spark, NO_BROADCAST), d, "auto")
+
+
+def late_max_cost_by_vendor(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 over the trips of the last days: vendors that none of them can match go before the shuffle."""
+    late = filters.after_cutoff(trips(spark, d), "startDate", LATE_CUTOFF)
+    return aggregates.max_cost_by_vendor(late, vendors(spark, d), reduce_dims=True)
+
+
+# --- layouts for lookups and conversions ---------------------------------------------
+
+def clustered_point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Orders range-clustered by key, then one key: the footers' minima and maxima exclude all but its file."""
+    orders = read_table(spark, d, "orders")
+    files = files_for(folder_size(spark, f"{d.rstrip('/')}/orders.parquet").bytes, LOOKUP_FILE_BYTES)
+    path = write_lookup_table(orders, scratch_path(spark, "orders-by-key"), "o_orderkey", files=files)
+    return filters.point_lookup(spark.read.schema(orders.schema).parquet(path), "o_orderkey", LOOKUP_ORDER_KEY)
+
+
+def bloom_point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Trips dealt over files without any order, with bloom filters of the id, then one id."""
+    source = trips(spark, d)
+    files = files_for(folder_size(spark, materialize(spark, d)[0]).bytes, LOOKUP_FILE_BYTES)
+    path = write_lookup_table(source, scratch_path(spark, "trips-bloom"), "id", layout="bloom", files=files,
+                              keys_per_row_group=LOOKUP_KEYS_PER_FILE)
+    return trip_queries.lookup_trip(spark.read.schema(source.schema).parquet(path), LOOKUP_TRIP_ID)
+
+
+def csv_to_even_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """Both CSV tables converted to evenly sized Parquet files clustered by id, and joined."""
+    trips_csv, vendors_csv = scratch_path(spark, "trips-csv"), scratch_path(spark, "vendors-csv")
+    write_csv_table(trips(spark, d), trips_csv)
+    write_csv_table(vendors(spark, d), vendors_csv)
+    t = convert_csv(spark, trips_csv, scratch_path(spark, "trips-even"), TRIP_SCHEMA, target_file_bytes=LOOKUP_FILE_BYTES,
+                    cluster_by="id", timestamp_format=ROUND_TRIP_TIMESTAMP_FORMAT)
+    v = convert_csv(spark, vendors_csv, scratch_path(spark, "vendors-even"), VENDOR_SCHEMA,
+                    target_file_bytes=LOOKUP_FILE_BYTES, cluster_by="id")
+    return _as_ntz(t.join(v, "id", "inner"))
+
+
+# --- lines with faults -----------------------------------------------------------------
+
+def _dirty_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The trips as lines, some of them damaged by fixed rules on the id, written and read back as text."""
+    rows = trips(spark, d).select(*TRIP_COLUMNS)
+    shown = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_COLUMNS}
+    k = F.col("id")
+    shown["startDate"] = F.when(k % 103 == 0, F.lit("yesterday")).otherwise(shown["startDate"])
+    shown["cost"] = F.when(k % 101 == 0, F.lit("n/a")).otherwise(shown["cost"])
+    whole = F.concat_ws(",", *shown.values())
+    line = (F.when(k % 83 == 0, F.lit("")).when(k % 89 == 0, F.concat_ws(",", *list(shown.values())[:-1]))
+            .when(k % 97 == 0, F.concat(whole, F.lit(",x"))).otherwise(whole))
+    return read_text_lines(spark, write_result(rows.select(line.alias("value")), scratch_path(spark, "dirty-text"), "text"))
+
+
+def text_bad_records(spark: SparkSession, d: str) -> DataFrame:
+    """The bad-record channel of dirty lines, counted by kind of fault and column."""
+    split = split_records(_dirty_lines(spark, d), TRIP_SCHEMA_NTZ, scratch_path(spark, "records"), nullable=True)
+    return split.bad.groupBy("fault", "bad_column").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def text_good_records(spark: SparkSession, d: str) -> DataFrame:
+    """The typed rows of the lines without a fault."""
+    return split_records(_dirty_lines(spark, d), TRIP_SCHEMA_NTZ, scratch_path(spark, "records"), nullable=True).good
+
+
 # --- sources and sinks ---------------------------------------------------------------
 
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -337,6 +424,14 @@ QUERIES: dict[str, Query] = {
     "join_strategy_sort_merge": join_strategy_sort_merge,
     "join_strategy_report": join_strategy_report,
     "join_preview": join_preview,
+    "join_run_report": join_run_report,
+    "join_without_broadcast": join_without_broadcast,
+    "late_max_cost_by_vendor": late_max_cost_by_vendor,
+    "clustered_point_lookup": clustered_point_lookup,
+    "bloom_point_lookup": bloom_point_lookup,
+    "csv_to_even_parquet": csv_to_even_parquet,
+    "text_bad_records": text_bad_records,
+    "text_good_records": text_good_records,
     "csv_round_trip": csv_round_trip,
     "csv_to_parquet": csv_to_parquet_round_trip,
     "result_sink_csv": result_sink_csv,

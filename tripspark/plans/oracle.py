@@ -10,6 +10,7 @@ the JVM differ in the last ulp).
 from __future__ import annotations
 
 from tripspark.plans.catalog import (
+    LATE_CUTOFF,
     LIMITED_SUPPLIERS,
     LIMITED_VENDORS,
     LOOKUP_ORDER_KEY,
@@ -155,6 +156,13 @@ TRIPS_AND_VENDORS = _with(TRIPS_CTE, VENDORS_CTE) + (
     "SELECT t.id, t.startDate, t.endDate, t.startLon, t.startLat, t.endLon, t.endLat, t.cost, v.vendor "
     "FROM trips t JOIN vendors v ON t.id = v.id")
 
+DIRTY_CTE = f"""dirty AS (
+  SELECT {TRIP_COLUMNS},
+         CASE WHEN id % 83 = 0 THEN 'blank_line' WHEN id % 89 = 0 THEN 'missing_fields' WHEN id % 97 = 0 THEN 'extra_fields'
+              WHEN id % 103 = 0 OR id % 101 = 0 THEN 'bad_field' END AS fault,
+         CASE WHEN id % 103 = 0 THEN 'startDate' ELSE 'cost' END AS first_bad
+  FROM trips)"""
+
 SQL: dict[str, str] = {
     "point_lookup": f"SELECT * FROM orders WHERE o_orderkey = {LOOKUP_ORDER_KEY}",
     "trip_point_lookup": _with(TRIPS_CTE) + f"SELECT * FROM trips WHERE id = {LOOKUP_TRIP_ID}",
@@ -190,6 +198,23 @@ UNION ALL
 SELECT 'merge' AS strategy, 'SortMergeJoin' AS join_operator, count(*) AS rows,
        CAST(sum(l_orderkey) AS BIGINT) AS measure_sum FROM j""",
     "join_preview": f"SELECT * FROM ({SUPPLIER_JOIN}) ORDER BY {LINEITEM_ORDER} LIMIT {PREVIEW_ROWS}",
+    "join_run_report": f"""
+WITH j AS (SELECT count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS measure_sum FROM ({SUPPLIER_JOIN}))
+SELECT 'auto' AS strategy, 'BroadcastHashJoin' AS planned_operator, 'BroadcastHashJoin' AS join_operator, rows, measure_sum FROM j
+UNION ALL SELECT 'merge', 'SortMergeJoin', 'SortMergeJoin', rows, measure_sum FROM j
+UNION ALL SELECT 'no_broadcast', 'SortMergeJoin', 'SortMergeJoin', rows, measure_sum FROM j""",
+    "join_without_broadcast": SUPPLIER_JOIN,
+    "late_max_cost_by_vendor": _with(TRIPS_CTE, VENDORS_CTE) + f"""
+SELECT v.vendor AS VendorId, max(t.cost) AS MaxTripCost
+FROM trips t JOIN vendors v ON t.id = v.id WHERE t.startDate >= TIMESTAMP '{LATE_CUTOFF}'
+GROUP BY 1 ORDER BY 1""",
+    "clustered_point_lookup": f"SELECT * FROM orders WHERE o_orderkey = {LOOKUP_ORDER_KEY}",
+    "bloom_point_lookup": _with(TRIPS_CTE) + f"SELECT * FROM trips WHERE id = {LOOKUP_TRIP_ID}",
+    "csv_to_even_parquet": TRIPS_AND_VENDORS,
+    "text_bad_records": _with(TRIPS_CTE, DIRTY_CTE)
+    + "SELECT fault, CASE WHEN fault = 'bad_field' THEN first_bad END AS bad_column, count(*) AS lines "
+    "FROM dirty WHERE fault IS NOT NULL GROUP BY 1, 2",
+    "text_good_records": _with(TRIPS_CTE, DIRTY_CTE) + f"SELECT {TRIP_COLUMNS} FROM dirty WHERE fault IS NULL",
     "csv_round_trip": TRIPS_AND_VENDORS,
     "csv_to_parquet": TRIPS_AND_VENDORS,
     "result_sink_csv": _q2("v.vendor"),

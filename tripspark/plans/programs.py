@@ -5,7 +5,8 @@
 * :func:`run_text_program` — raw text lines in, Q1/Q2/Q3 written as
   ``(key,value)`` text lines, one file per result.
 * :func:`run_join_program` — Parquet trips ⋈ the first ``n`` vendors under the
-  planner's default strategy and with broadcasting ruled out (sort-merge).
+  planner's default strategy and with broadcasting ruled out, by a hint and by settings,
+  reported from the plans that ran.
 
 Each returns the output paths and the seconds spent in each action. Timings
 measure the actions (writes), never plan construction alone.
@@ -22,7 +23,9 @@ from pyspark.sql import types as T
 from tripspark.operators import joins
 from tripspark.plans import explain, line_queries, trip_queries
 from tripspark.schemas import TRIP_SCHEMA, VENDOR_SCHEMA
-from tripspark.sinks import csv_to_parquet, write_pair_lines, write_result
+from tripspark.session import NO_BROADCAST, session_with
+from tripspark.sinks import convert_csv, replace_result, write_pair_lines
+from tripspark.sinks.layout import DEFAULT_FILE_BYTES
 from tripspark.sources import (
     REFERENCE_TIMESTAMP_FORMAT,
     parse_trip_lines,
@@ -66,12 +69,15 @@ def run_dataframe_program(
     lookup_id: int = trip_queries.LOOKUP_TRIP_ID,
     timestamp_format: str = REFERENCE_TIMESTAMP_FORMAT,
     k: int = trip_queries.DEFAULT_K,
+    target_file_bytes: int = DEFAULT_FILE_BYTES,
 ) -> ProgramRun:
     """CSV → (optional Parquet copy) → lookup, Q1, Q2, Q3 → ``results_dir/Qn_results.<fmt>``.
 
     Passing both ``parquet_*`` paths converts the inputs first and runs the
     questions on the Parquet copies; results are then written as Parquet,
-    otherwise as header-less CSV.
+    otherwise as header-less CSV. The copies have files near ``target_file_bytes`` and
+    are clustered by trip id, so the lookup skips nearly all row groups. A result
+    replaces the former one only when it is complete.
     """
     run = ProgramRun()
     trips = read_trips_csv(spark, trips_csv, schema=TRIP_SCHEMA, timestamp_format=timestamp_format)
@@ -80,8 +86,10 @@ def run_dataframe_program(
     if parquet_trips and parquet_vendors:
         fmt = "parquet"
         t0 = time.perf_counter()
-        trips = csv_to_parquet(spark, trips_csv, parquet_trips, TRIP_SCHEMA, timestamp_format=timestamp_format)
-        vendors = csv_to_parquet(spark, vendors_csv, parquet_vendors, VENDOR_SCHEMA)
+        trips = convert_csv(spark, trips_csv, parquet_trips, TRIP_SCHEMA, target_file_bytes=target_file_bytes,
+                            cluster_by="id", timestamp_format=timestamp_format)
+        vendors = convert_csv(spark, vendors_csv, parquet_vendors, VENDOR_SCHEMA, target_file_bytes=target_file_bytes,
+                              cluster_by="id")
         run.seconds["convert"] = time.perf_counter() - t0
     run.frames["lookup"] = trip_queries.lookup_trip(trips, lookup_id)
     results = {
@@ -94,7 +102,7 @@ def run_dataframe_program(
     for name in RESULT_NAMES:
         path = f"{results_dir.rstrip('/')}/{RESULT_FILES[name]}.{fmt}"
         run.frames[name] = results[name]
-        _timed(run, name, lambda df=results[name], p=path: write_result(df, p, fmt))
+        _timed(run, name, lambda df=results[name], p=path: replace_result(df, p, fmt))
         run.outputs[name] = path
     return run
 
@@ -130,7 +138,7 @@ def run_text_program(
         path = f"{results_dir.rstrip('/')}/{RESULT_FILES[name]}"
         run.frames[name] = df
         _timed(run, name, lambda df=df, p=path, kk=key, vv=value, one=single: write_pair_lines(
-            df, kk, vv, p, single_file=one))
+            df, kk, vv, p, single_file=one, keep_former=True))
         run.outputs[name] = path
     return run
 
@@ -142,18 +150,39 @@ def run_join_program(
     *,
     n: int = 100,
     preview_rows: int = 20,
+    ordered: bool = True,
+    by_settings: bool = False,
 ) -> ProgramRun:
-    """trips ⋈ first-``n`` vendors by id, once with the planner's default
-    (a bounded side: broadcast) and once with broadcasting ruled out
-    (sort-merge). Records each plan's join operator and a timed preview."""
+    """trips ⋈ first-``n`` vendors by id, once with the planner's default (a bounded side:
+    broadcast) and once with a sort-merge hint; ``by_settings`` adds the default's definition planned in
+    a session of its own that rules broadcasts out. ``outputs`` names the join operator that ran,
+    ``seconds`` its time, ``frames["report"]`` has both with the rows of each run. ``ordered=False``
+    takes any ``n`` vendors, reading only as much as that needs, once for all runs."""
     run = ProgramRun()
-    trips = spark.read.parquet(trips_parquet)
-    limited = joins.limited_dimension(spark.read.parquet(vendors_parquet), "id", n)
-    for strategy in ("broadcast", "merge"):
-        joined = joins.join_with_strategy(trips, limited, "id", strategy=strategy, dim_max_rows=n)
-        run.frames[strategy] = joined
-        run.outputs[strategy] = explain.join_operator_of(joined) or "none"
-        preview = joined.orderBy("id", "vendor").limit(preview_rows)
-        run.frames[f"{strategy}_preview"] = preview
-        _timed(run, strategy, lambda df=preview: df.collect())
+
+    def limited(session: SparkSession) -> DataFrame:
+        return joins.limited_dimension(session.read.parquet(vendors_parquet), ["id", "vendor"], n)
+
+    if not ordered:
+        some = joins.any_rows(spark.read.parquet(vendors_parquet), n).collect()  # n rows
+
+        def limited(session: SparkSession) -> DataFrame:
+            return session.createDataFrame(some, VENDOR_SCHEMA)
+
+    def joined(session: SparkSession, strategy: str) -> DataFrame:
+        trips = session.read.parquet(trips_parquet)
+        return joins.join_with_strategy(trips, limited(session), "id", strategy=strategy, dim_max_rows=n)
+
+    frames = {strategy: joined(spark, strategy) for strategy in ("broadcast", "merge")}
+    if by_settings:
+        frames["no_broadcast"] = joined(session_with(spark, NO_BROADCAST), "auto")
+    runs = []
+    for strategy, df in frames.items():
+        ran = explain.run_join(df, strategy, order=["id", "vendor"], preview_rows=preview_rows, measure="id")
+        runs.append(ran)
+        run.frames[strategy] = df
+        run.frames[f"{strategy}_preview"] = df.sparkSession.createDataFrame(ran.preview, df.schema)
+        run.outputs[strategy] = ran.executed
+        run.seconds[strategy] = ran.seconds
+    run.frames["report"] = explain.join_runs_report(spark, runs)
     return run

@@ -44,3 +44,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     base = shared_dir(spark)
     return f"{base}/tripspark-scratch/{label}-{uuid.uuid4().hex}"
 
+
+
+#: Settings under which no join is broadcast, neither at planning nor by adaptive execution.
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same application with the caller's settings and ``settings`` on top. A DataFrame
+    defined in it is planned under them; the caller's session stays as it is. (Temporary views aren't shared.)"""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    return other

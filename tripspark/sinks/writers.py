@@ -4,6 +4,8 @@ per-hour or per-vendor aggregate or a top-k."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,39 @@ def write_result(
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and ``path`` for it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def replace_result(df: DataFrame, path: str, fmt: str = "parquet", *, single_file: bool = False,
+                   options: dict[str, str] | None = None) -> str:
+    """Overwrite ``path`` only once the new result is complete: it is written to a fresh folder beside
+    ``path`` and takes its place by renaming. A write that fails leaves the former
+    result as it was. The input may read ``path`` itself. (Renaming is one step on HDFS and local
+    file systems; stores without it copy, so use a table format there.)"""
+    spark, place = df.sparkSession, path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, former = f"{place}.new-{mark}", f"{place}.old-{mark}"
+    fs, target = _file_system(spark, place)
+    try:
+        write_result(df, fresh, fmt, mode="error", single_file=single_file, options=options)
+    except BaseException:
+        fs.delete(_file_system(spark, fresh)[1], True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, _file_system(spark, former)[1]):
+        raise OSError(f"cannot move the former result at {place}")
+    if not fs.rename(_file_system(spark, fresh)[1], target):
+        if had:
+            fs.rename(_file_system(spark, former)[1], target)
+        raise OSError(f"cannot move the new result to {place}")
+    if had:
+        fs.delete(_file_system(spark, former)[1], True)
+    return path
+
+
 def write_csv_table(df: DataFrame, path: str, *, timestamp_format: str = ROUND_TRIP_TIMESTAMP_FORMAT,
                     mode: str = "overwrite", sep: str = ",") -> str:
     """Headerless CSV with an explicit timestamp pattern (both timestamp kinds)."""
@@ -73,11 +108,14 @@ def write_pair_lines(
     *,
     single_file: bool = False,
     value_format: str | None = None,
+    keep_former: bool = False,
 ) -> str:
     """Write ``(key,value)`` lines as text, overwriting ``path`` (stale part files
-    are removed, unlike a plain directory reuse)."""
+    are removed, unlike a plain directory reuse). ``keep_former``: a write that fails
+    leaves the former result (:func:`replace_result`)."""
     lines = pair_lines(df, key, value, value_format=value_format)
-    return write_result(lines, path, "text", single_file=single_file)
+    write = replace_result if keep_former else write_result
+    return write(lines, path, "text", single_file=single_file)
 
 
 def csv_to_parquet(

@@ -4,6 +4,8 @@ from tripspark.sources.csv import REFERENCE_TIMESTAMP_FORMAT, read_csv_table, re
 from tripspark.sources.fixtures import trips, vendors
 from tripspark.sources.parquet import read_parquet_table, read_table
 from tripspark.sources.text import (
+    SplitRecords,
+    classified_lines,
     extract_start_hour,
     extract_trip_id,
     extract_vendor_id,
@@ -11,10 +13,13 @@ from tripspark.sources.text import (
     parse_trip_lines,
     parse_vendor_lines,
     read_text_lines,
+    split_records,
 )
 
 __all__ = [
     "REFERENCE_TIMESTAMP_FORMAT",
+    "SplitRecords",
+    "classified_lines",
     "extract_start_hour",
     "extract_trip_id",
     "extract_vendor_id",
@@ -27,6 +32,7 @@ __all__ = [
     "read_text_lines",
     "read_trips_csv",
     "read_vendors_csv",
+    "split_records",
     "trips",
     "vendors",
 ]

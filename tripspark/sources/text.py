@@ -7,8 +7,9 @@ never a per-row Python function.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +53,62 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *, sep: str = ",", stric
     return lines.select(*cols)
 
 
+#: Kinds of faults of a line, in order of precedence; ``bad_field`` names no column, :func:`classified_lines` does.
+FAULTS = ("blank_line", "missing_fields", "extra_fields", "bad_field")
+
+
+def classified_lines(lines: DataFrame, schema: T.StructType, *, sep: str = ",", nullable: bool = False) -> DataFrame:
+    """``value`` lines → ``record`` (struct of typed columns, NULL for a bad line), ``fault`` (one of :data:`FAULTS`
+    or NULL), ``bad_column`` (the first that doesn't parse) and ``line``. Each field is cast once; a field of
+    no characters is NULL if ``nullable``, else bad."""
+    names = [f.name for f in schema.fields]
+    # One struct, bound once: later uses don't repeat the casts.
+    split = lines.select(F.col("value").alias("line"), split_fields(F.col("value"), sep).alias("fields"))
+    tokens = [F.get("fields", i) for i in range(len(names))]
+    if nullable:
+        tokens = [F.nullif(t, F.lit("")) for t in tokens]
+
+    def judged(pair: Column) -> Column:
+        typed = pair["typed"]
+        bad = [F.when(pair["tokens"][i].isNotNull() & typed[n].isNull(), F.lit(n)) for i, n in enumerate(names)]
+        bad_column = F.coalesce(*bad)
+        fault = (F.when(F.trim("line") == "", F.lit("blank_line"))
+                 .when(F.size("fields") < len(names), F.lit("missing_fields"))
+                 .when(F.size("fields") > len(names), F.lit("extra_fields"))
+                 .when(bad_column.isNotNull(), F.lit("bad_field")))
+        return F.struct(F.when(fault.isNull(), typed).alias("record"), fault.alias("fault"),
+                        F.when(fault == "bad_field", bad_column).alias("bad_column"))
+
+    typed = F.struct(*[t.try_cast(f.dataType).alias(f.name) for t, f in zip(tokens, schema.fields)])
+    pair = F.struct(typed.alias("typed"), F.array(*tokens).alias("tokens"))
+    return split.select(F.element_at(F.transform(F.array(pair), judged), 1).alias("j"), "line").select("j.*", "line")
+
+
+@dataclass(frozen=True)
+class SplitRecords:
+    """Both channels of :func:`split_records`, and how many lines each kind of fault took (``good``: none)."""
+
+    good: DataFrame
+    bad: DataFrame
+    counts: dict[str, int]
+
+
+def split_records(lines: DataFrame, schema: T.StructType, path: str, *, sep: str = ",", nullable: bool = False) -> SplitRecords:
+    """Read ``lines`` once and write both channels below ``path``: typed rows of the good lines, and the
+    bad lines as they were with ``fault`` and ``bad_column``. The counts are observed on the way."""
+    marked = classified_lines(lines, schema, sep=sep, nullable=nullable)
+    seen = Observation("split-records")
+    counts = [F.count_if(F.col("fault") == k).alias(k) for k in FAULTS]
+    marked = marked.observe(seen, F.count_if(F.col("fault").isNull()).alias("good"), *counts)
+    kept = marked.withColumns({"line": F.when(F.col("fault").isNotNull(), F.col("line")),
+                               "channel": F.when(F.col("fault").isNull(), F.lit("good")).otherwise(F.lit("bad"))})
+    kept.write.mode("overwrite").partitionBy("channel").parquet(path)
+    both = lines.sparkSession.read.schema(kept.schema).parquet(path)
+    good = both.where("channel = 'good'").select("record.*")
+    bad = both.where("channel = 'bad'").select("line", "fault", "bad_column")
+    return SplitRecords(good, bad, dict(seen.get))
+
+
 def _fail(what: str, token: Column) -> Column:
     """A boolean expression that fails the task, whatever the session's ANSI setting."""
     return F.raise_error(F.concat(F.lit(what), F.coalesce(token, F.lit("")), F.lit("'"))).cast("boolean")
