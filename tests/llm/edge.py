@@ -13,7 +13,10 @@ DOCS = [
 ]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names operators use themselves.
-CLASHING = ("score", "fp", "size", "target", "words", "shard", "row", "hash", "length", "id", "host", "page", "vector", "_id", "_text", "label")
+CLASHING = ("score", "fp", "size", "target", "words", "shard", "row", "hash", "length", "id", "host", "page", "vector", "_id", "_text", "label",
+            "_fp", "_kept_id", "_kept_fp", "_rows", "_bad_id", "_bad_hash", "_row", "row", "key", "key_id", "key_hash", "key_length",
+            "root", "component_id", "_text_key", "_found", "copies", "cut", "m", "used", "tied", "part", "s", "t", "i", "q", "named",
+            "found", "text_key", "identified", "h", "n")
 
 
 def docs(spark, rows=None):

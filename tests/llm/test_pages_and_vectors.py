@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import collections
+import math
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +42,70 @@ def test_named_wrappers_keep_the_article(wrapper):
     assert site_style_tree.main_text(f"<article><{wrapper}><p>The text of it</p>{side}{end}</article>") == "The text of it"
 
 
+LONG_TEXT = "A long text that goes on for a while and says what the page is about in many words"
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<main><h1>Title</h1><p>{LONG_TEXT}</p><div class=grid><article>Card one</article><article>Card two</article></div></main>",
+     f"Title {LONG_TEXT}"),
+    (f"<p>{LONG_TEXT}</p><article>Card</article>", LONG_TEXT),
+    (f"<ul><li class=entry>e1</li></ul><p>{LONG_TEXT}</p>", f"e1 {LONG_TEXT}"),
+    (f"<p>lead</p><article>{LONG_TEXT}</article><article>Card</article>", LONG_TEXT),
+    ("<main><h1>All</h1><article>First post here</article><article>Second post here</article></main>", "First post here Second post here"),
+])
+def test_a_mark_counts_only_where_most_of_the_text_is(html, text):
+    assert site_style_tree.main_text(html) == text
+
+
+@pytest.mark.parametrize("html, blocks", [
+    ("<div>x" * 100_000, 100_000), ("<form>x" * 30_000, 30_000), ("<a>x" * 50_000 + "</q>" * 50_000, 1),
+    ("<article>x" * 30_000, 30_000), ("<b>" * 50_000 + "<div>y</div>" * 2_000, 2_000)])
+def test_unclosed_elements_take_linear_time_and_memory(html, blocks):
+    began = time.perf_counter()
+    page = site_style_tree.parse(html)
+    text = site_style_tree.main_text(html)
+    assert len(page.blocks) == blocks and len(page.parents) <= blocks + 1
+    assert text in ("", " ".join(b.words for b in page.blocks))
+    assert max(len(page.chain(b.path)) for b in page.blocks[-50:]) <= site_style_tree.DEEPEST + 1
+    assert time.perf_counter() - began < 60
+
+
+def test_importances_equal_plain_entropies(spark):
+    """Style and content entropies over the pages of a host, computed from the definition."""
+    rows = [("h", f"<div class=alpha><p>Own {i}</p><p>Own {i * i % 7}</p></div><div class=beta>"
+             + ("<p>Same line</p>" if i % 3 else "<p>Same line</p><ul><li><a href=x>Link</a> text</ul>") + "</div>") for i in range(12)]
+    rows += [("g", "<div class=beta><p>Same line</p></div>")]
+    trees = [(h, site_style_tree.parse(x)) for h, x in rows]
+    own, chains = {}, {}
+    for host in ("h", "g"):
+        pages = [t for h, t in trees if h == host]
+        for path in {b.path for t in pages for b in t.blocks}:
+            having = [t for t in pages if any(b.path == path for b in t.blocks)]
+            chains[host, path] = having[0].chain(path)
+            n = len(having)
+            varies = 1.0
+            if n > 1:
+                entropy = lambda counts: -sum(c / sum(counts) * math.log(c / sum(counts)) for c in counts) / math.log(n)
+                per_text = collections.defaultdict(list)
+                for t in having:
+                    for words, c in collections.Counter(b.words for b in t.blocks if b.path == path).items():
+                        per_text[words].append(c)
+                styles = collections.Counter(tuple(t.styles[path]) for t in having)
+                varies = max(1 - np.mean([entropy(c) for c in per_text.values()]), 0.5 * entropy(list(styles.values())))
+            blocks = [b for t in having for b in t.blocks if b.path == path]
+            links = sum(b.link_chars for b in blocks) / sum(len(b.words) for b in blocks)
+            own[host, path] = (varies * (1 - links), varies)
+    want = {}
+    for key, chain in chains.items():
+        for above in chain:
+            old = want.get((key[0], above), (0, 0))
+            want[key[0], above] = tuple(map(max, old, own[key]))
+    table = spark.createDataFrame([(h, i, x) for i, (h, x) in enumerate(rows)], "host string, page bigint, html string")
+    got = {(r["host"], r["path"]): (r["importance"], r["variety"]) for r in site_style_tree.branch_importance(table.repartition(4)).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
 def test_a_lifted_part_that_a_host_repeats_goes(spark):
     line = "A long line that stands below every page of this site and says nothing about it"
     rows = [(i, "http://a.b/", f"<p>Own {i * i}</p><div class=legal><p>{line}</p></div>") for i in range(20)]

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import time
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -81,6 +84,48 @@ def test_quality_edge_rows(spark):
     assert nothing.weights == {} and quality_rules.score(docs(spark), nothing).first()["score"] == pytest.approx(0.5)
 
 
+@pytest.mark.parametrize("text", ["-" * 1_000_000 + "a", "-" * 1_000_000, "a" * 1_000_000, "a- " * 300_000, "é" * 500_000 + "-" * 500_000,
+                                  "\n" * 1_000_000, "x " * 400_000])
+def test_statistics_of_long_runs_take_seconds(spark, text):
+    table = docs(spark, [(1, text, "en", "a", 1)])
+    began = time.perf_counter()
+    s = table.select(quality_rules.statistics("text").alias("s")).first()["s"]
+    assert time.perf_counter() - began < 60
+    words = text.split()
+    marked = sum(1 for w in words if len(w) > 1 and not w[-1].isalnum() and not w[-2].isalnum())
+    assert s["marked_word_share"] == pytest.approx(marked / len(words) if words else 0)
+
+
+def test_statistics_equal_a_plain_version(spark):
+    texts = [PROSE, None, "", "BUY!! now -- ok. ok ok", "a\n\nb\na\n", "x1 22 3.5 …… «»", "Über straße ÇA!!", "w " * 250, "(--) --x x-- --", "\t a  b "]
+    table = docs(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["s"].asDict() for r in table.select("doc_id", quality_rules.statistics("text").alias("s")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(_plain_statistics(t or "")), t
+
+
+def _plain_statistics(t):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
+    lines = [x for x in t.split("\n") if x]
+    kind = unicodedata.category
+    letters = sum(kind(c)[0] == "L" for c in t)
+    plain = [c for c in t if kind(c)[0] not in "LN" and c not in " \t\n\v\f\r"]
+    share = lambda a, b: a / b if b else 0.0
+    distinct = sum(len(set(words[k:k + 100])) for k in range(0, len(words), 100))
+    own = re.split(r"[ \t\n\x0b\f\r]+", t.strip(" \t\n\v\f\r")) if t.strip(" \t\n\v\f\r") else []
+    is_mark = lambda c: kind(c)[0] not in "LN"
+    return {
+        "log_words": math.log1p(len(words)), "letter_share": share(letters, len(t)),
+        "upper_share": share(sum(kind(c) == "Lu" for c in t), letters), "digit_share": share(sum(kind(c)[0] == "N" for c in t), len(t)),
+        "mark_share": share(len(plain), len(t)), "symbol_share": share(sum(c not in ".,;:!?'\"()-" for c in plain), len(t)),
+        "distinct_word_share": share(distinct, len(words)),
+        "repeat_share": share(sum(a == b for a, b in zip(own, own[1:])), len(words)),
+        "marked_word_share": share(sum(len(w) > 1 and is_mark(w[-1]) and is_mark(w[-2]) for w in own), len(words)),
+        "mean_word_length": share(sum(c not in " \t\n\v\f\r" for c in t), len(words)),
+        "longest_word": max(map(len, words), default=0), "words_per_sentence": len(words) / (1 + len(re.findall(r"[.!?]+", t))),
+        "line_repeat_share": share(len(lines) - len(set(lines)), len(lines)), "words_per_line": len(words) / (1 + len(lines))}
+
+
 def test_rule_paths():
     text = "m\n  Tree 0 (weight 1.0):\n    If (feature 1 <= 0.5)\n     If (feature 1 <= 0.25)\n      Predict: 1.0\n     Else (feature 1 > 0.25)\n      Predict: 0.0\n    Else (feature 1 > 0.5)\n     Predict: 0.0\n"
     inf = float("inf")
@@ -105,6 +150,27 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     assert sum(targets.values()) == pytest.approx(total)
 
 
+def test_ties_share_the_budget_to_the_word(spark):
+    rows = [(None, "a", "en", "x", 1)] * 100 + [(None, "a", "en", None, 1)] * 5 + [(7, "b c d", "en", "y", 1)] * 40 + [
+        (i, "w " * (1 + i % 5), "en", "z", 1) for i in range(60)]
+    got = source_mixing.mix(docs(spark, rows))
+    sums = {}
+    source = {(None, 100): "x", (None, 5): None}
+    for r in got.collect():
+        key = source.get((r["doc_id"], r["source_size"]), "y" if r["size"] == 3 and r["source_size"] == 120 else "z")
+        sums.setdefault(key, [0, r["target"]])[0] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert got.count() == len(rows) and len(sums) == 4
+    assert all(abs(taken - target) <= 1 for taken, target in sums.values()), sums
+    table = with_clashes(docs(spark, rows))
+    mixed = source_mixing.mixed_documents(table)
+    assert mixed.columns == table.columns
+    words = Counter()
+    for r in mixed.collect():
+        words[r["source"]] += len(r["text"].split())
+    assert all(abs(words[k] - sums[k][1]) <= 5 for k in sums), (words, sums)
+
+
 def test_water_filling_stops_at_three_times(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 500), (None, 90)], "_source string, source_size bigint")
     got = {r["_source"]: r["target"] for r in source_mixing.source_targets(sizes).collect()}
@@ -435,3 +501,42 @@ def test_decontamination_of_empty_tables(spark):
     assert decontaminate.drop_contaminated(docs(spark), none).count() == len(DOCS)
     assert rows_of(decontaminate.contaminated_pairs(docs(spark), items).select("doc_id")) == [(1,), (2,)]
     assert len(LONG) > 200_000
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + "://", "://" + "a" * 1_000_000, "eyJ" * 330_000 + ".eyJ" + "a" * 1000, "token" * 200_000,
+                                  "token" + " " * 1_000_000, "-----BEGIN " + "A" * 1_000_000, "http://" + "b" * 1_000_000 + ":x@", "a://" * 250_000])
+def test_secrets_of_long_runs_take_seconds(spark, text):
+    began = time.perf_counter()
+    assert secret_scan.scan(docs(spark, [(1, text, "en", "a", 1)])).count() == 1
+    rows = secret_scan.scan(docs(spark, [(1, text, "en", "a", 1)])).collect()
+    assert time.perf_counter() - began < 90 and len(rows) == 1
+
+
+def test_pipeline_stages_bear_any_column_names(spark):
+    table = with_clashes(docs(spark))
+    kept = simhash_dedup.keep_one_per_group(table)
+    assert kept.columns == table.columns
+    # one row of each group: both copies of id 2 and the NULL ids go, what is left has its component's id
+    ids = [r["doc_id"] for r in kept.collect()]
+    want = {r["component_id"] for r in simhash_dedup.near_duplicates(table).collect()}
+    assert sorted(ids, key=repr) == sorted(want, key=repr)
+    bench = spark.createDataFrame([(1, PROSE)], "item_id bigint, text string")
+    clean = decontaminate.drop_contaminated(table, bench)
+    assert clean.columns == table.columns and PROSE not in [r["text"] for r in clean.collect()]
+
+
+def test_the_row_that_stays_is_given_once(spark):
+    rows = [(4, PROSE, "en", "a", 1)] * 3 + [(5, PROSE, "en", "a", 1)] * 2 + [(None, LONG, "en", "a", 1)] * 2 + [(9, "else", "en", "a", 1)]
+    kept = simhash_dedup.keep_one_per_group(docs(spark, rows))
+    assert sorted([r["doc_id"] for r in kept.collect()], key=repr) == [4, 9, None]
+
+
+def test_components_agree_in_one_task_and_in_rounds(spark):
+    import random
+
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)]
+    table = spark.createDataFrame(edges, "a bigint, b bigint")
+    assert rows_of(connected_components(table)) == rows_of(connected_components(table, one_task_links=0))
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert connected_components(none).count() == connected_components(none, one_task_links=-1).count() == 0

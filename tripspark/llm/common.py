@@ -36,6 +36,45 @@ def crc32_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
+def signed(x: int) -> int:
+    """An unsigned 64-bit number as the long with the same bits."""
+    return x - (1 << 64) if x >> 63 else x
+
+
+def within_flips(key: Column, bits: list[int], radius: int) -> Column:
+    """Array of all values within ``radius`` flips of ``bits``: one flip, or none, at a time, so that the
+    plan holds one short array however many values there are."""
+    flips = F.array(*[F.lit(x).cast("long") for x in (0, *[signed(1 << b) for b in bits])])
+    near = F.array(key)
+    for _ in range(radius):
+        near = F.array_distinct(F.flatten(F.transform(near, lambda k: F.transform(flips, lambda m: k.bitwiseXOR(m)))))
+    return near
+
+
+def nested(df: DataFrame, name: str = "row") -> Column:
+    """All columns of ``df`` as one struct, so that their names can't clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
+#: Keys of rows (id, hash and length of the text: about 32 bytes) are broadcast up to so many, counted first.
+BROADCAST_KEYS = 1_000_000
+
+
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """``key_id, key_hash, key_length``: what tells a document's row from others (rows of one id and text are equal)."""
+    text = text_or_empty(text_col)
+    return [F.col(id_col).alias("key_id"), F.xxhash64(text).alias("key_hash"), F.length(text).alias("key_length")]
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, *, id_col: str, text_col: str, keep: bool = False) -> DataFrame:
+    """``docs`` without (or with only, if ``keep``) the rows of the keys ``gone`` (:func:`row_key`, each once; small
+    or a stored table). The texts are shuffled only if the keys are too many to broadcast."""
+    keyed = docs.select(nested(docs), *row_key(id_col, text_col)).alias("d")
+    gone = (F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone).alias("g")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in ("key_id", "key_hash", "key_length")]
+    return keyed.join(gone, same, "left_semi" if keep else "left_anti").select("d.row.*")
+
+
 #: Up to so many links (16 bytes each) components are found by one task's union-find; counted first.
 ONE_TASK_LINKS = 2_000_000
 

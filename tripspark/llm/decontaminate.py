@@ -24,8 +24,8 @@ default radius of 20 leaves more than three standard deviations.
 Defined cases: NULL and empty texts match nothing; items and documents of
 fewer than five words have no shingle and match nothing; a document shorter
 than the item is one window; repeated items and rows match each by itself, items
-without id under a NULL ``item_id``; empty
-tables give empty results; extra columns pass through ``drop_contaminated``.
+without id under a NULL ``item_id``; texts are whole, whatever their length; empty
+tables give empty results; extra columns pass through ``drop_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import stored, text_or_empty
+from tripspark.llm.common import BROADCAST_KEYS, nested, stored, text_or_empty
 
 SHINGLE = 5
 #: Bits of the Hamming blocks (64 together).
@@ -204,7 +204,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> Data
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item, columns as given."""
-    found = stored(contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-                   .select(F.col("_id").alias("_bad_id"), F.col("_text_hash").alias("_bad_hash")).distinct())
-    hit = F.col(id_col).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_col) == F.col("_bad_hash"))
-    return docs.join(found, hit, "left_anti")
+    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    bad = stored(found.select("_id", "_text_hash").distinct()).alias("b")
+    keyed = docs.select(nested(docs), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")).alias("d")
+    hit = F.col("d.id").eqNullSafe(F.col("b._id")) & (F.col("d.hash") == F.col("b._text_hash"))
+    return keyed.join(F.broadcast(bad) if bad.count() <= BROADCAST_KEYS else bad, hit, "left_anti").select("d.row.*")

@@ -13,7 +13,9 @@
 Defined cases: NULL counts as the empty text; every ratio is 0 where its
 denominator is; ids with contradicting labels, NULL ids and NULL labels teach
 nothing; without both classes among the labels the score is the labelled
-share of class 1 (0.5 without labels). Scores never see id, language, source
+share of class 1 (0.5 without labels); rows that repeat an id teach once (the least
+statistics of the id) and are scored each; texts are whole, whatever their length (every pattern
+takes time in proportion to the text). Scores never see id, language, source
 or label. Extra columns pass through ``keep_good`` and are ignored by ``score``.
 """
 
@@ -70,7 +72,7 @@ def _parts(text: Column) -> Column:
         "solid": _kept_chars(text, r"\s+"),
         "ends": F.regexp_count(text, F.lit(r"[.!?]+")),
         "repeats": F.regexp_count(text, F.lit(r"(?<!\S)(\S+)(?=\s+\1(?!\S))")),
-        "marked": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]{2,}(?!\S)")),
+        "marked": F.regexp_count(text, F.lit(r"(?<![^\p{L}\p{N}\s])[^\p{L}\p{N}\s]{2,}+(?!\S)")),
     }.items()])
 
 

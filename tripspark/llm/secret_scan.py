@@ -14,8 +14,8 @@
 Positions are code points, end exclusive. Keys are hash and length of the text;
 should two texts share one, each is verified for both, which changes nothing.
 
-Defined cases: NULL is the empty text; equal rows are scanned each; NULL ids
-are kept; an empty table gives an empty result; extra columns are ignored.
+Defined cases: NULL is the empty text; texts are whole, whatever their length; equal rows are
+scanned each; NULL ids are kept; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,15 +48,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
-#: Well-known key formats on top.
+#: Well-known key formats on top. What may begin anywhere in a run is bounded, so that the time
+#: to search a text grows in proportion to its length.
 MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("repo_token", r"gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("payment_key", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@"),
+    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,1000}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,30}://[^\s/:@]{1,255}:[^\s/@]{1,255}@"),
 )
 RULES = (*BASE, *MORE)
 

@@ -24,15 +24,16 @@
    ``doc_id`` of its documents.
 
 Defined cases: NULL and word-less texts have fingerprint zero and link like any
-other; a text of fewer words than a shingle is one shingle; NULL ids are never
+other; a text of fewer words than a shingle is one shingle; texts are whole, whatever
+their length (shingles are hashed in blocks); NULL ids are never
 a component id unless the component has no other; components that share an id
-or have none stay apart, and one row of each is kept; an empty table gives an
-empty result; extra columns are ignored.
+or have none stay apart, and one row of each is kept; rows that repeat an id and a text
+are listed each by ``near_duplicates``, and one of them is kept by ``keep_one_per_group``; an empty
+table gives an empty result; extra columns are ignored or pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import connected_components, stored
+from tripspark.llm.common import connected_components, nested, row_key, stored, within_flips, without_rows
 
 BITS = 64
 #: Lower-cases A-Z only, byte by byte.
@@ -143,12 +144,6 @@ def plan_partitions(sample: np.ndarray, n: int, max_distance: int) -> list[tuple
     return best[1]
 
 
-def _flips(bits: list[int], radius: int) -> Column:
-    """Array of the masks that flip up to ``radius`` of ``bits``."""
-    masks = [mask_of(list(c)) for r in range(radius + 1) for c in combinations(bits, r)]
-    return F.array(*[F.lit(x).cast("long") for x in masks])
-
-
 # --- links and components -----------------------------------------------------------
 
 def fingerprint_links(classes: DataFrame, max_distance: int = 4, bucket_cap: int = 1024,
@@ -164,9 +159,8 @@ def fingerprint_links(classes: DataFrame, max_distance: int = 4, bucket_cap: int
     for i, (bits, t) in enumerate(plan):
         mask = F.lit(mask_of(bits)).cast("long")
         own = classes.select(F.lit(i).alias("part"), F.col("fp").bitwiseAND(mask).alias("key"), F.col("fp").alias("b"))
-        variants = classes.select(F.lit(i).alias("part"), F.col("fp").alias("a"),
-                                  F.explode(_flips(bits, t)).alias("flip")).select(
-            "part", F.col("a").bitwiseAND(mask).bitwiseXOR(F.col("flip")).alias("key"), "a")
+        variants = classes.select(F.lit(i).alias("part"), F.explode(
+            within_flips(F.col("fp").bitwiseAND(mask), bits, t)).alias("key"), F.col("fp").alias("a"))
         index = own if index is None else index.unionByName(own)
         probes = variants if probes is None else probes.unionByName(variants)
 
@@ -199,9 +193,7 @@ def midpoint_links(fps: DataFrame, max_distance: int) -> DataFrame:
     all on its wide list are linked to the smallest on its narrow list; both ends of
     every such link are within ``max_distance`` bits."""
     def listed(radius: int) -> DataFrame:
-        flips = _flips(list(range(BITS)), radius)
-        return fps.select("fp", F.explode(flips).alias("flip")).select(
-            "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
+        return fps.select("fp", F.explode(within_flips(F.col("fp"), list(range(BITS)), radius)).alias("mid"))
 
     low = listed(max_distance // 2).groupBy("mid").agg(F.min("fp").alias("low"))
     return listed((max_distance + 1) // 2).join(low, "mid").where("low <> fp").select(
@@ -231,22 +223,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: one whose id is the
-    component id (of rows that share that id or have none, one). Columns as given."""
-    columns = docs.columns
-    marked = docs.select(*columns, simhash_column(F.col(text_col), shingle).alias("_fp"))
-    fps = stored(marked.select(F.col(id_col).alias("doc_id"), F.col("_fp").alias("fp")))
-    comps = fingerprint_components(fps, max_distance, bucket_cap)
-    # One fingerprint per component stands for it: that of the kept id (the smallest, if several rows have that id).
+    component id (of rows that share that id or have none, one). Columns as given.
+
+    Fingerprints are computed once and stored with the rows' keys; the documents are
+    then read again and lose the rows whose keys go."""
+    key = F.struct("key_hash", "key_length")
+    fps = stored(docs.select(*row_key(id_col, text_col), simhash_column(F.col(text_col), shingle).alias("fp")))
+    comps = fingerprint_components(fps.select(F.col("key_id").alias("doc_id"), "fp"), max_distance, bucket_cap)
     # Components are told apart by root: those of NULL ids, or of an id repeated with other texts, share a component id.
-    kept = (
-        fps.join(comps, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root", "component_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("rows"))
-        .select(F.col("component_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"), F.col("rows").alias("_rows"))
-    )
-    kept = stored(kept)
-    hits = marked.join(kept, (F.col("_fp") == F.col("_kept_fp")) & F.col(id_col).eqNullSafe(F.col("_kept_id")))
-    # Only ids that several rows of a component share can still hold more than one row of it.
-    repeated = kept.where("_rows > 1")
-    if repeated.isEmpty():
-        return hits.select(*columns)
-    return hits.dropDuplicates(["_kept_fp"]).select(*columns)
+    rows = fps.join(comps, "fp").select("key_id", key.alias("key"), "root", F.col("key_id").eqNullSafe(F.col("component_id")).alias("named"))
+    groups = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("named"), F.col("key"))).alias("stays")).where("n > 1")
+    judged = rows.join(groups, "root").withColumn("stay", F.col("named") & (F.col("key") == F.col("stays")))
+    counted = stored(judged.groupBy("key_id", "key").agg(F.max("stay").alias("stay"), F.count(F.lit(1)).alias("rows")).select(
+        "key_id", "key.*", "stay", "rows"))
+    keys = ["key_id", "key_hash", "key_length"]
+    again = counted.where("stay and rows > 1").select(*keys)  # the row that stays, given several times
+    if again.isEmpty():
+        return without_rows(docs, counted.where("not stay").select(*keys), id_col=id_col, text_col=text_col)
+    rest = without_rows(docs, counted.where("not stay or rows > 1").select(*keys), id_col=id_col, text_col=text_col)
+    repeated = without_rows(docs, again, id_col=id_col, text_col=text_col, keep=True)
+    once = repeated.select(nested(repeated), *row_key(id_col, text_col)).dropDuplicates(keys)
+    return rest.unionByName(once.select("row.*"))

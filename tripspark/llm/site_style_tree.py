@@ -12,19 +12,22 @@
    like, by tag, role, class or id) have importance 0. A class, an id or a form
    doesn't do so alone: see :meth:`Page.kept` for containers that hold the article
    or most of the text. Their blocks are in the tree, which decides then.
-4. Branches below the threshold are removed from each page. If a page marks its
-   article, only blocks within count, else those within its main part, else all.
-   Such a mark is a prior: links don't lower the importance of what it holds, and
-   if more than half of its text would go, it stays whole.
-
-Counts per host and node come from partial aggregates, so a host with a third
-of the pages is no group in one task; pages are never shuffled while the table
+4. Branches below the threshold are removed from each page. What a page marks as
+   its article counts first, then its main part, then all (:func:`main_blocks`); a marked part
+   that holds less text than what surrounds it is none. Such a mark is a prior: links
+   don't lower the importance of what it holds, and if more than half of its text
+   would go, it stays whole.
+
+Counts per host and node come from partial aggregates, and entropies are sums of
+counts times their logarithms, so a host with a third of the pages is no group in
+one task and nothing is joined before it is summed; pages are never shuffled while the table
 of unimportant nodes stays within a checked bound (beyond it, pages are joined by
-key). Each page is parsed twice, which is cheaper than storing it parsed.
+key). Each page is parsed twice, which is cheaper than storing it parsed. Elements more than
+512 deep continue at that depth, as in browsers, so a page takes memory in proportion to its length.
 
 Defined cases: NULL or empty html gives the empty text; a NULL or malformed url
 belongs to the host without a name; equal rows are extracted each, but copies of a
-page on a host count as one page in the tree; broken markup
+page on a host count as one page in the tree; texts are whole, whatever their length; broken markup
 never fails (unclosed elements end with their parent, stray ends are ignored);
 an empty table gives an empty result; extra columns are ignored.
 """
@@ -78,43 +81,115 @@ _PLAIN, _MAIN, _ARTICLE = 0, 1, 2
 _CLEAN, _NAMED, _SIDE, _NOISE = 0, 1, 2, 3  # no noise; by a name or a form, which may hold the page; by a side name; certain
 
 
+#: Depth at which elements are nested no further.
+DEEPEST = 512
+
+
+@dataclass(frozen=True)
+class Block:
+    """A text block: the path of its element, its words, how many characters are link text, its zone, the
+    container that gives it the zone (a number, 0 for none), and the innermost element around it that a
+    name calls noise (a number, -1 for none)."""
+
+    path: int
+    words: str
+    link_chars: int
+    zone: int
+    container: int
+    named: int
+
+
+@dataclass(frozen=True)
+class _Named:
+    """An element that a name calls noise: the one around it (-1: none), the zone around it, and is it a side part?"""
+
+    around: int
+    zone: int
+    side: bool
+
+
 @dataclass
 class Page:
-    """A parsed page: text blocks ``(chain of paths, text, link characters, zone)``, each path's styles, for
-    each block the elements around it that a name calls noise, and for each such element the zone around it
-    and whether it is a side part."""
+    """A parsed page: its text blocks, the styles and the parent of each path, its containers of marked text (the
+    one around each) and the elements that a name calls noise."""
 
-    blocks: list[tuple[tuple[int, ...], str, int, int]] = field(default_factory=list)
+    blocks: list[Block] = field(default_factory=list)
     styles: dict[int, list[str]] = field(default_factory=lambda: defaultdict(list))
-    within: list[tuple[int, ...]] = field(default_factory=list)
-    named: list[tuple[int, bool]] = field(default_factory=list)
-
-    def kept(self) -> list[tuple[tuple[int, ...], str, int, int]]:
+    parents: dict[int, int] = field(default_factory=dict)
+    containers: list[tuple[int, int]] = field(default_factory=lambda: [(0, _PLAIN)])  # the one around, zone
+    named: list[_Named] = field(default_factory=list)
+
+    def chain(self, path: int) -> list[int]:
+        """A path and its ancestors."""
+        out = [path]
+        while path in self.parents:
+            path = self.parents[path]
+            out.append(path)
+        return out
+
+    def kept(self) -> list[Block]:
         """The blocks that are no noise. A name doesn't make an element noise that holds an article or main
         part, or more than half of the text of a page on which no mark tells the main text. A side part must
         hold more than half in any case, and a better mark than all that is left, or leave nothing."""
         if not self.named:
             return self.blocks
-        chars, marks = Counter(), Counter()
-        for (_, words, _, zone), within in zip(self.blocks, self.within):
-            for e in within:
-                chars[e] += len(words)
-                marks[e] = max(marks[e], zone if zone > self.named[e][0] else _PLAIN)
-        half = sum(len(words) for _, words, *_ in self.blocks) / 2
-        lifted = {e for e, (_, side) in enumerate(self.named) if marks[e] and not side}
-
-        def left() -> tuple[list[tuple[tuple[int, ...], str, int, int]], int]:
-            blocks = [b for b, within in zip(self.blocks, self.within) if lifted.issuperset(within)]
-            return blocks, max((z for *_, z in blocks), default=_PLAIN)
+        chars, marks = [0] * len(self.named), [_PLAIN] * len(self.named)
+        best_zone = [_PLAIN] * len(self.named)
+        for b in self.blocks:
+            if b.named >= 0:
+                chars[b.named] += len(b.words)
+                best_zone[b.named] = max(best_zone[b.named], b.zone)
+        for e in reversed(range(len(self.named))):  # inner elements come after those around them
+            own = self.named[e]
+            marks[e] = best_zone[e] if best_zone[e] > own.zone else _PLAIN
+            if own.around >= 0:
+                chars[own.around] += chars[e]
+                best_zone[own.around] = max(best_zone[own.around], best_zone[e])
+        half = sum(len(b.words) for b in self.blocks) / 2
+        lifted = {e for e, x in enumerate(self.named) if marks[e] and not x.side}
+
+        def left() -> tuple[list[Block], int]:
+            clear: list[bool] = []  # is the element lifted, and all around it?
+            for e, x in enumerate(self.named):
+                clear.append(e in lifted and (x.around < 0 or clear[x.around]))
+            blocks = [b for b in self.blocks if b.named < 0 or clear[b.named]]
+            return blocks, max((b.zone for b in blocks), default=_PLAIN)
 
         _, best = left()
-        lifted |= {e for e, (around, side) in enumerate(self.named)
-                   if chars[e] > half and not side and (around > best or best == _PLAIN)}
+        lifted |= {e for e, x in enumerate(self.named) if chars[e] > half and not x.side and (x.zone > best or best == _PLAIN)}
         blocks, best = left()
-        lifted |= {e for e, (_, side) in enumerate(self.named) if chars[e] > half and side and (marks[e] > best or not blocks)}
+        lifted |= {e for e, x in enumerate(self.named) if chars[e] > half and x.side and (marks[e] > best or not blocks)}
         return left()[0]
 
 
+def main_blocks(page: Page) -> tuple[list[Block], int]:
+    """The blocks of the page's main text, and the zone that decided.
+
+    Text is counted per container: an article (the outermost one) or a main part. Articles that each hold more text
+    than the level around them (the main part, or the page outside of any) are the main text. If there
+    is none, articles are cards beside it and go; then the main part is the main text if it holds
+    half or more of what is left, else all that is left."""
+    blocks = page.kept()
+    chars, outside = Counter(), Counter()  # per container: its text; the text of its level outside of articles
+    for b in blocks:
+        chars[b.container] += len(b.words)
+        if b.zone < _ARTICLE:
+            outside[b.zone] += len(b.words)
+
+    def surrounding(container: int) -> int:
+        around = page.containers[container][0]
+        return outside[page.containers[around][1]]
+
+    articles = {c for c, (_, zone) in enumerate(page.containers) if zone == _ARTICLE and chars[c]}
+    held = {c for c in articles if chars[c] > surrounding(c)}
+    if held:
+        return [b for b in blocks if b.container in held], _ARTICLE
+    rest = [b for b in blocks if b.zone < _ARTICLE]
+    if outside[_MAIN] and outside[_MAIN] >= outside[_PLAIN]:
+        return [b for b in rest if b.zone == _MAIN], _MAIN
+    return rest, _PLAIN
+
+
 @dataclass
 class _Open:
     tag: str
@@ -122,7 +197,9 @@ class _Open:
     noise: bool
     zone: int
     inline: bool
-    named: tuple[int, ...] = ()
+    named: int = -1
+    container: int = 0
+    depth: int = 0
 
 
 def _label(tag: str, attributes: str, inside: int) -> tuple[str, int, int]:
@@ -160,15 +237,15 @@ def parse(html: str | None) -> Page:
     """Blocks and styles of a page. Text within certain noise is left out; :meth:`Page.kept` judges the rest."""
     page, html = Page(), html or ""
     stack = [_Open("", 0, False, _PLAIN, False)]
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
     link = [0]
 
     def flush() -> None:
         words = " ".join("".join(text).split())
         if words:
-            chain = tuple(dict.fromkeys(x.path for x in stack if not x.inline))
-            page.blocks.append((chain, words, min(link[0], len(words)), stack[-1].zone))
-            page.within.append(stack[-1].named)
+            top = stack[-1]
+            page.blocks.append(Block(top.path, words, min(link[0], len(words)), top.zone, top.container, top.named))
         text.clear()
         link[0] = 0
 
@@ -176,12 +253,13 @@ def parse(html: str | None) -> Page:
         if raw and not stack[-1].noise:
             plain = unescape(raw) if "&" in raw else raw
             text.append(plain)
-            if any(x.tag == "a" for x in stack):
+            if open_tags["a"]:
                 link[0] += len(plain.strip())
 
     def close(upto: int) -> None:
         if any(not x.inline for x in stack[upto:]):
             flush()
+        open_tags.subtract(x.tag for x in stack[upto:])
         del stack[upto:]
 
     at = 0
@@ -193,9 +271,8 @@ def parse(html: str | None) -> Page:
             continue
         tag = tag.lower()
         if slash:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if depth:
-                close(depth)
+            if open_tags[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             elif tag == "p" or tag == "br":
                 flush()
             continue
@@ -205,20 +282,24 @@ def parse(html: str | None) -> Page:
             continue
         inline = tag in INLINE
         if not inline:
-            _close_implied(stack, tag, close)
+            _close_implied(stack, tag, close, open_tags)
             flush()
         top = stack[-1]
         name, noise, zone = _label(tag, attributes, top.zone)
+        depth = top.depth
         if inline:
             path = top.path
         else:
-            path = xxhash.xxh64_intdigest(f"{top.path}/{name}") >> 1
-            children = page.styles[top.path]
+            above = top.path if depth < DEEPEST else page.parents[top.path]
+            depth = min(depth + 1, DEEPEST)
+            path = xxhash.xxh64_intdigest(f"{above}/{name}") >> 1
+            page.parents[path] = above
+            children = page.styles[above]
             if not children or children[-1] != name:
                 children.append(name)
             page.styles[path]  # noqa: B018  an element without children has the empty style
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+            end = _RAW_ENDS[tag].search(html, at)
             at = end.end() if end else len(html)
             continue
         if noise and not top.noise and not inline:
@@ -227,23 +308,29 @@ def parse(html: str | None) -> Page:
             noise = _NOISE
         named = top.named
         if noise in (_NAMED, _SIDE) and not top.noise:
-            named = (*named, len(page.named))
-            page.named.append((top.zone, noise == _SIDE))
-        stack.append(_Open(tag, path, noise == _NOISE or top.noise, max(zone, top.zone), inline, named))
+            page.named.append(_Named(named, top.zone, noise == _SIDE))
+            named = len(page.named) - 1
+        container = top.container
+        if zone > top.zone:
+            page.containers.append((container, zone))
+            container = len(page.containers) - 1
+        open_tags[tag] += 1
+        stack.append(_Open(tag, path, noise == _NOISE or top.noise, max(zone, top.zone), inline, named, container, depth))
     add(html[at:])
     flush()
     return page
 
 
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 _CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                       "header hr main menu nav ol p pre section table ul".split())
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
 
 
-def _close_implied(stack: list[_Open], tag: str, close) -> None:
+def _close_implied(stack: list[_Open], tag: str, close, open_tags: Counter[str]) -> None:
     """A paragraph ends where a block begins, a list item at the next one, and so on."""
-    if tag in _CLOSES_P:
+    if tag in _CLOSES_P and open_tags["p"]:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == "p":
                 close(k)
@@ -257,16 +344,14 @@ def _close_implied(stack: list[_Open], tag: str, close) -> None:
 def main_text(html: str | None, unimportant: frozenset[int] | set[int] = frozenset(),
               repeated: frozenset[int] | set[int] = frozenset()) -> str:
     """The page's main text: blocks joined by one space. Of the part that the page marks, ``repeated``
-    branches go, unless they are more than half of it; of a page without marks, ``unimportant`` ones."""
-    page = parse(html)
-    blocks = page.kept()
-    zone = max((z for _, _, _, z in blocks), default=_PLAIN)
-    own = [(t, chain) for chain, t, _, z in blocks if z == zone]
+    branches go, unless they are more than half of it; of a page without marks, ``unimportant`` ones.
+    (A branch is at least as important as any within it, so a block goes if and only if its own element's branch does.)"""
+    own, zone = main_blocks(parse(html))
     if zone == _PLAIN:
-        return " ".join(t for t, chain in own if not unimportant.intersection(chain))
-    left = [t for t, chain in own if not repeated.intersection(chain)]
-    if 2 * sum(map(len, left)) < sum(len(t) for t, _ in own):
-        left = [t for t, _ in own]
+        return " ".join(b.words for b in own if b.path not in unimportant)
+    left = [b.words for b in own if b.path not in repeated]
+    if 2 * sum(map(len, left)) < sum(len(b.words) for b in own):
+        left = [b.words for b in own]
     return " ".join(left)
 
 
@@ -281,15 +366,14 @@ def _tree_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for host, page, html in zip(batch["host"], batch["page"], batch["html"]):
             tree = parse(html)
-            chains = {c[-1]: c for c, *_ in tree.blocks}
             chars, links, features = Counter(), Counter(), Counter()
-            for chain, words, link_chars, _ in tree.blocks:
-                chars[chain[-1]] += len(words)
-                links[chain[-1]] += link_chars
-                features[chain[-1], xxhash.xxh64_intdigest(words) >> 1] += 1
-            for path, chain in chains.items():
+            for b in tree.blocks:
+                chars[b.path] += len(b.words)
+                links[b.path] += b.link_chars
+                features[b.path, xxhash.xxh64_intdigest(b.words) >> 1] += 1
+            for path in chars:
                 style = xxhash.xxh64_intdigest(" ".join(tree.styles.get(path, ()))) >> 1
-                out.append((host, page, path, list(chain), style, None, 1, chars[path], links[path]))
+                out.append((host, page, path, tree.chain(path), style, None, 1, chars[path], links[path]))
             out += [(host, page, path, None, None, f, n, 0, 0) for (path, f), n in features.items()]
         frame = pd.DataFrame(out, columns=["host", "page", "path", "parents", "style", "feature", "n", "chars", "link_chars"])
         yield frame.astype({"style": "Int64", "feature": "Int64"})
@@ -312,20 +396,20 @@ def branch_importance(pages: DataFrame) -> DataFrame:
         F.sum("n").alias("pages"), F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"),
         F.min("parents").alias("parents"))
 
-    def entropy(n: str, spread: str) -> Column:
-        """Entropy to the base of the number of pages, from the sum of counts and of count * log(count)."""
-        return (F.log(n) - F.col(spread) / F.col(n)) / F.log("pages")
-
+    # The entropy of counts n with the sum c is log(c) - sum(n * log(n)) / c; to the base of the number of
+    # pages it is divided by log(pages), at the end, as that is one number per node.
     log_n = F.col("n") * F.log("n")
     styles = nodes.groupBy("host", "path", "style").agg(F.sum("n").alias("n")).groupBy("host", "path").agg(
         F.sum("n").alias("shown"), F.sum(log_n).alias("style_spread"))
-    features = rows.where("feature IS NOT NULL").groupBy("host", "path", "feature").agg(
-        F.sum("n").alias("c"), F.sum(log_n).alias("c_spread"))
-    content = features.join(sizes.select("host", "path", "pages"), ["host", "path"]).groupBy("host", "path").agg(
-        F.avg(F.when(F.col("pages") > 1, F.lit(1.0) - F.least(F.lit(1.0), entropy("c", "c_spread"))).otherwise(F.lit(1.0))).alias("content"))
-    presentation = F.when(F.col("pages") > 1, entropy("shown", "style_spread")).otherwise(F.lit(1.0))
+    content = rows.where("feature IS NOT NULL").groupBy("host", "path", "feature").agg(
+        F.sum("n").alias("c"), F.sum(log_n).alias("c_spread")).groupBy("host", "path").agg(
+        F.avg(F.log("c") - F.col("c_spread") / F.col("c")).alias("mean_entropy"))
+    base = F.log("pages")
+    presentation = F.when(F.col("pages") > 1, (F.log("shown") - F.col("style_spread") / F.col("shown")) / base).otherwise(F.lit(1.0))
+    varied = F.when(F.col("mean_entropy").isNull(), F.lit(0.0)).when(
+        F.col("pages") > 1, F.lit(1.0) - F.least(F.lit(1.0), F.col("mean_entropy") / base)).otherwise(F.lit(1.0))
     own = sizes.join(styles, ["host", "path"]).join(content, ["host", "path"], "left").withColumn(
-        "varies", F.greatest(F.coalesce("content", F.lit(0.0)), F.lit(0.5) * presentation)).withColumn(
+        "varies", F.greatest(varied, F.lit(0.5) * presentation)).withColumn(
         "own", F.col("varies") * (F.lit(1.0) - F.col("link_chars") / F.greatest("chars", F.lit(1))))
     return own.select("host", F.explode("parents").alias("path"), "own", "varies").groupBy("host", "path").agg(
         F.max("own").alias("importance"), F.max("varies").alias("variety"))

@@ -19,10 +19,11 @@ budget ends is found from those sums, and only its rows are sorted. What comes
 out is one cut-off per source, against which every row is judged in place.
 
 Defined cases: a NULL text has size 0; a NULL or not positive weight counts as
-``1e-6``; rows that repeat an id and size are one tie and share what is left of
-the budget evenly (rounded down); a NULL source is a source of its own, NULL
-ids tie; an empty table gives an empty result; extra columns pass through
-``mixed_documents`` and are ignored by ``mix``.
+``1e-6``; rows that repeat a source, key, id and size are one tie and share what is left of
+the budget evenly, the remainder one word each (``mixed_documents``: as many whole
+rows as come nearest to it); a NULL source is a source of its own, NULL ids tie; texts are
+whole, whatever their length; an empty table gives an empty result; extra columns pass
+through ``mixed_documents``, whatever their names, and are ignored by ``mix``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import stored, text_or_empty, word_count
+from tripspark.llm.common import nested, stored, text_or_empty, word_count
 
 #: Fixed rotation of source weights.
 WEIGHTS = (5, 2, 1)
@@ -86,7 +87,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
 def cut_offs(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3) -> DataFrame:
     """One row per source: its target, and the position in key order where the rest of its
-    budget ends (``cut``: key, id, size) with the words that each row at that position gives (``part``)."""
+    budget ends (``cut``: key, id, size), with the number of rows there (``m``) and the words they give together (``used``)."""
     bucketed = rows.select("_source", "_id", "_size", "_key",
                            F.floor(F.log2("_key") * F.lit(_PER_OCTAVE)).alias("bucket")).where("_size > 0")
     sums = stored(bucketed.groupBy("_source", "bucket").agg(F.sum("_size").alias("s")))
@@ -110,18 +111,35 @@ def cut_offs(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     spent = ties.withColumn("upto", F.sum(own).over(order)).where(
         (F.col("upto") - own <= F.col("left")) & (F.col("left") < F.col("upto")))
     cuts = spent.select("end_source", F.struct("_key", "_id", "_size").alias("cut"),
-                        F.floor((F.col("left") - F.col("upto") + own) / F.col("m")).cast("long").alias("part"))
+                        "m", (F.col("left") - F.col("upto") + own).alias("used"))
     return stored(targets.join(cuts, F.col("_source").eqNullSafe(F.col("end_source")), "left").select(
-        F.col("_source").alias("cut_source"), "source_size", "target", "epochs", "cut", "part"))
+        F.col("_source").alias("cut_source"), "source_size", "target", "epochs", "cut", "m", "used"))
 
 
 def _judged(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``rows`` with their source's cut-off and ``part`` (words of the fractional pass)."""
+    """``rows`` with their source's cut-off, ``tied`` (at the cut with others) and ``part`` (words of the fractional
+    pass; of a tied row: NULL)."""
     own = F.struct("_key", "_id", "_size")
-    part = F.when(F.col("cut").isNull(), F.lit(0)).when(own < F.col("cut"), F.col("_size")).when(
-        own == F.col("cut"), F.col("part")).otherwise(F.lit(0))
-    return rows.join(cuts, F.col("_source").eqNullSafe(F.col("cut_source"))).withColumn(
-        "part", F.when(F.col("_size") > 0, part).otherwise(F.lit(0)).cast("long"))
+    at = (F.col("_size") > 0) & F.coalesce(own == F.col("cut"), F.lit(False))
+    part = F.when(at & (F.col("m") > 1), None).when(at, F.col("used")).when(
+        (F.col("_size") > 0) & F.coalesce(own < F.col("cut"), F.lit(False)), F.col("_size")).otherwise(F.lit(0))
+    return rows.join(cuts, F.col("_source").eqNullSafe(F.col("cut_source"))).withColumns({
+        "tied": at & (F.col("m") > 1), "part": part.cast("long")})
+
+
+#: Rows of a tie that one task lists.
+_LISTED = 1 << 16
+
+
+def _tied_rows(cuts: DataFrame) -> DataFrame:
+    """The rows of each tie at a cut, equal but for ``part``: counted before, listed here in stretches."""
+    ties = cuts.where("m > 1").select("source_size", "target", "epochs", "cut.*", "m", "used", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / F.lit(_LISTED)))).alias("stretch"))
+    first = F.col("stretch") * F.lit(_LISTED)
+    listed = ties.repartition("_key", "stretch").withColumn(
+        "rank", F.explode(F.sequence(first, F.least(first + F.lit(_LISTED), F.col("m")) - 1)))
+    share = F.floor(F.col("used") / F.col("m"))
+    return listed.withColumn("part", (share + (F.col("rank") < F.col("used") - share * F.col("m")).cast("long")).cast("long"))
 
 
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 7,
@@ -132,7 +150,9 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
     quality = text_quality(text_col) if quality is None else quality
     rows = stored(with_keys(docs, id_col=id_col, source_col=source_col, text_col=text_col, quality=quality,
                             seed=seed).select("_id", "_source", "_size", "_key"))
-    judged = _judged(rows, cut_offs(rows, weights, max_epochs))
+    cuts = cut_offs(rows, weights, max_epochs)
+    names = ["_id", "_size", "source_size", "target", "epochs", "part"]
+    judged = _judged(rows, cuts).where(~F.col("tied")).select(*names).unionByName(_tied_rows(cuts).select(*names))
     return judged.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", "epochs",
                          (F.col("epochs") * F.col("_size") + F.col("part")).alias("taken"))
 
@@ -141,16 +161,29 @@ def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_
                     id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                     quality: Column | None = None) -> DataFrame:
     """The mix itself, columns as given: every document once per complete epoch and once more if
-    the fractional pass takes it. Documents stay whole: the one at the cut is taken if at least half of it fits."""
+    the fractional pass takes it. Documents stay whole: the one at the cut is taken if at least half of it fits;
+    of a tie there, as many rows as come nearest to what is left."""
     quality = text_quality(text_col) if quality is None else quality
-    columns = docs.columns
-    own = docs.select(F.struct(*columns).alias("_row"), F.col(id_col).alias("i"), F.col(source_col).alias("s"),
+    own = docs.select(nested(docs, "_row"), F.col(id_col).alias("i"), F.col(source_col).alias("s"),
                       F.col(text_col).alias("t"), quality.alias("q"))
-    keyed = with_keys(own, id_col="i", source_col="s", text_col="t", quality=F.col("q"), seed=seed)
-    cuts = cut_offs(stored(keyed.select("_id", "_source", "_size", "_key")), weights, max_epochs)
+    keyed = with_keys(own, id_col="i", source_col="s", text_col="t", quality=F.col("q"), seed=seed).select(
+        "_row", "_id", "_source", "_size", "_key")
+    cuts = cut_offs(stored(keyed.drop("_row")), weights, max_epochs)
+    judged = _judged(keyed, cuts)
+    # Half or more of the row at the cut counts as one copy; every other part is all or nothing.
     copies = F.col("epochs") + ((F.col("part") > 0) & (2 * F.col("part") >= F.col("_size"))).cast("long")
-    judged = _judged(keyed.select("_row", "_id", "_source", "_size", "_key"), cuts).where(copies > 0)
-    return judged.select("_row", F.explode(F.sequence(F.lit(1), copies.cast("int")))).select("_row.*")
+    single = judged.where(~F.col("tied")).select("_row", copies.alias("copies"))
+    mixed = single
+    if not cuts.where("m > 1").isEmpty():
+        # Equal rows of a tie are counted and the wanted number of copies is handed out along them.
+        equal = judged.where("tied").groupBy("_row", "_source").agg(
+            F.count(F.lit(1)).alias("c"), F.min("epochs").alias("epochs"),
+            F.min(F.floor(F.col("used") / F.col("_size") + F.lit(0.5))).alias("wanted"))
+        along = Window.partitionBy("_source").orderBy(F.xxhash64("_row"), "_row").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("c").over(along), F.lit(0))
+        handed = F.greatest(F.lit(0), F.least(F.col("c"), F.col("wanted") - before))
+        mixed = single.unionByName(equal.select("_row", (F.col("epochs") * F.col("c") + handed).cast("long").alias("copies")))
+    return mixed.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")
 
 
 ORACLE = r"""
@@ -175,9 +208,10 @@ t AS (SELECT source, source_size, CASE WHEN is_full THEN (3 * source_size)::DOUB
 e AS (SELECT *, CASE WHEN source_size > 0 THEN (floor(target + 0.5)::BIGINT // source_size) ELSE 0 END AS epochs FROM t),
 o AS (SELECT k.*, source_size, target, epochs, floor(target + 0.5)::BIGINT - epochs * source_size AS rest,
     sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, size) AS upto,
-    count(*) OVER (PARTITION BY k.source, key, doc_id, size) AS m
+    count(*) OVER (PARTITION BY k.source, key, doc_id, size) AS m,
+    row_number() OVER (PARTITION BY k.source, key, doc_id, size) AS i
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target, epochs::BIGINT AS epochs,
-  (epochs * size + least(size, greatest(0, rest - (upto - m * size)) // m))::BIGINT AS taken
-FROM o
+  (epochs * size + least(size, u // m + CASE WHEN i <= u % m THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM (SELECT *, greatest(0, rest - (upto - m * size)) AS u FROM o)
 """
