@@ -6,15 +6,18 @@
 2. Equal sets (size and 128-bit digest) collapse into one class, so a group of copies,
    however large, is one row in all that follows.
 3. Classes that share a band key are candidates. No bucket is paired out: each class
-   meets the bucket's pivot, another one in every bucket. A pair goes on if the
+   meets its buckets' pivots, the most central classes (those that share most
+   buckets with others, as an original does with its variants). A pair goes on if the
    similarity that its signatures estimate, from the count of equal slots less the
    chance collisions ``2 ** -b``, is not below the threshold by over six standard
    deviations. What goes on is confirmed on the full sets: first each class's
-   best pivot, then those that would still join two components.
-4. Buckets that then hold several components are contested. Only there, members
-   outside the bucket's largest component meet all members, slice by slice, so that
-   a large bucket spreads over many tasks; again signatures decide what leaves
-   the slice, and sets confirm it.
+   best pair, then those that would still join two components.
+4. Buckets that then hold several components are contested. The classes in them meet once
+   more, now by their rarest shingles: of two similar sets the rarest fifths must
+   overlap, and the shingles rarer than the first common one bound what can be in
+   common. (In a family of variants the rare ones are the variants' own, so hardly a
+   pair below the threshold gets through.) Common shingles are cut into slices over many
+   tasks. Signatures and sets judge the rest. So no pair is left out.
 5. Connected components; the component id is the smallest ``doc_id``.
 
 A pair at the threshold of 0.8 shares no band with probability (1 - 0.8 ** 5) ** 32 =
@@ -35,10 +38,10 @@ from math import floor, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import connected_components, stored, text_or_empty
+from tripspark.llm.common import BROADCAST_KEYS, connected_components, stored, text_or_empty
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -134,7 +137,8 @@ def _sets(shingle: int):
             out.append({"d1": d1, "d2": d2, "shingles": s.view(np.int64)})
         return pa.array(out, pa.struct([("d1", pa.int64()), ("d2", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
 
-    return sets
+    # Not pushed below the join that picks the texts, as the optimiser would a filter on its result.
+    return sets.asNondeterministic()
 
 
 def equal_slots(a: Column, b: Column) -> Column:
@@ -173,56 +177,100 @@ def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
 class _Linker:
     """Candidates and confirmed links among classes (``class, n, d1, d2, sig, keys, hash, length``)."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, text: Column, shingle: int, percent: int, slice_rows: int) -> None:
-        self.docs, self.classes, self.text = docs, classes, text
+    def __init__(self, docs: DataFrame, classes: DataFrame, *, text_col: str, shingle: int, percent: int,
+                 slice_rows: int) -> None:
+        self.docs, self.classes, self.text_col = docs, classes, text_col
         self.shingle, self.percent, self.slice_rows = shingle, percent, slice_rows
-        self.buckets = classes.select("class", F.explode("keys").alias("key"))
+        rows = classes.select("class", F.explode("keys").alias("key"))
+        shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        rows = rows.join(shared, "key")
+        # Central classes meet many others: an original more than its variants.
+        central = rows.groupBy("class").agg(F.sum("m").alias("score"))
+        self.buckets = stored(rows.select("key", "class").join(central, "class").select("key", "class", "score"))
         self.marks = classes.select("class", "n", "sig")
+        self.sets: DataFrame | None = None
 
-    def pivots(self) -> DataFrame:
-        """``(class, pivot, slots)`` of the candidates whose signatures allow a link."""
-        rank = F.xxhash64("key", "class")
-        shared = self.buckets.groupBy("key").agg(F.min_by("class", rank).alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        pairs = self.buckets.join(shared.select("key", "pivot"), "key").where("class <> pivot").select(
+    def _allowed(self) -> Column:
+        slots = equal_slots(F.col("sig"), F.col("sig2"))
+        return _sizes_allow(F.col("n"), F.col("m"), self.percent) & (slots >= least_slots(self.percent / 100))
+
+    def judged(self, pairs: DataFrame) -> DataFrame:
+        """``(class, pivot, slots)`` of the distinct pairs whose signatures allow a link; ``class < pivot``."""
+        pairs = pairs.where("class <> pivot").select(
             F.least("class", "pivot").alias("class"), F.greatest("class", "pivot").alias("pivot")).distinct()
         other = self.marks.select(F.col("class").alias("pivot"), F.col("n").alias("m"), F.col("sig").alias("sig2"))
-        slots = equal_slots(F.col("sig"), F.col("sig2"))
-        return stored(pairs.join(self.marks, "class").join(other, "pivot")
-                      .where(_sizes_allow(F.col("n"), F.col("m"), self.percent) & (slots >= least_slots(self.percent / 100)))
-                      .select("class", "pivot", slots.alias("slots")))
-
-    def contested(self, roots: DataFrame) -> DataFrame:
-        """``(class, pivot, slots)`` of pairs from different components that share a bucket and whose signatures
-        allow a link; all such pairs are judged, in slices."""
-        rows = self.buckets.join(roots, "class")
+        return stored(pairs.join(self.marks, "class").join(other, "pivot").where(self._allowed()).select(
+            "class", "pivot", equal_slots(F.col("sig"), F.col("sig2")).alias("slots")))
+
+    def pivots(self) -> DataFrame:
+        """Every class with the most central one of each of its buckets."""
+        pivot = F.max_by("class", F.struct("score", "class")).alias("pivot")
+        return self.judged(self.buckets.join(self.buckets.groupBy("key").agg(pivot), "key").select("class", "pivot"))
+
+    def contested(self, rows: DataFrame, roots: DataFrame) -> DataFrame:
+        """``rows`` (``key, class`` and more) of the keys whose classes lie in several components, with ``root, main`` (in the
+        key's largest component?), ``others`` (rows outside it) and ``members``."""
+        rows = rows.join(roots, "class")
         parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("c", "root")).alias("main"),
-                                         F.sum("c").alias("members")).where("parts > 1")
-        inside = stored(rows.join(mixed, "key").join(self.marks, "class").select(
-            "key", "class", "root", "n", "sig", (F.col("root") == F.col("main")).alias("main"),
-            F.ceil(F.col("members") / F.lit(self.slice_rows)).alias("slices")))
-        slice_ = F.pmod(F.xxhash64("class"), F.col("slices"))
-        every = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
-        left = inside.where("not main").select("key", "class", "root", "n", "sig", slice_.alias("i"), F.explode(every).alias("j"))
+        mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("c", "root")).alias("top"),
+                                         F.sum("c").alias("members"), F.max("c").alias("most")).where("parts > 1")
+        return rows.join(mixed, "key").withColumns({"main": F.col("root") == F.col("top"), "others": F.col("members") - F.col("most")}).drop(
+            "parts", "top", "most")
+
+    def rare_shingles(self, classes: DataFrame) -> DataFrame:
+        """``(key, class, n, left)``: each class's rarest shingles among ``classes``, as many as it can't have
+        without sharing one of them with a similar one; ``left`` counts the shingles from this one on."""
+        self.prepare(classes)
+        known = stored(classes.join(self.sets, "class").select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("key")))
+        common = known.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        rank = F.row_number().over(Window.partitionBy("class").orderBy("c", "key"))  # one row per shingle of a class
+        ranked = known.join(common, "key").withColumn("left", F.col("n") - rank + 1)
+        return ranked.where((100 * F.col("left") >= F.lit(self.percent) * F.col("n")) & (F.col("c") > 1)).select("key", "class", "n", "left")
+
+    def exhausted(self, roots: DataFrame) -> DataFrame:
+        """``(class, pivot, slots)`` of all pairs of contested classes from different components that may be similar enough.
+
+        In one order of all shingles, rarest first, similar sets share one of their first; from the first one that they
+        share they can have no more in common than what either has left. One class of such a pair lies
+        outside the shingle's largest component: those meet all that have the shingle, in slices."""
+        asked = stored(self.contested(self.buckets, roots).select("class").distinct())
+        inside = stored(self.contested(self.rare_shingles(asked), roots))
+        own, all_ = (F.ceil(F.col(c) / F.lit(self.slice_rows)) for c in ("others", "members"))
+
+        def each(n: Column) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+        left = inside.where("not main").select("key", "class", "root", "n", "left", F.pmod(F.xxhash64("class"), own).alias("i"),
+                                               each(all_).alias("j"))
         right = inside.select("key", F.col("class").alias("pivot"), F.col("root").alias("root2"), F.col("n").alias("m"),
-                              F.col("sig").alias("sig2"), slice_.alias("j"), F.explode(every).alias("i"))
-        slots = equal_slots(F.col("sig"), F.col("sig2"))
-        met = left.join(right, ["key", "i", "j"]).where((F.col("root") != F.col("root2")) & _sizes_allow(
-            F.col("n"), F.col("m"), self.percent) & (slots >= least_slots(self.percent / 100)))
-        return stored(met.select(F.least("class", "pivot").alias("class"), F.greatest("class", "pivot").alias("pivot"),
-                                 slots.alias("slots")).distinct())
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """``(a, b)``: the ``pairs`` whose full sets are similar enough."""
-        asked = pairs.select("class").unionByName(pairs.select(F.col("pivot").alias("class"))).distinct()
+                              F.col("left").alias("left2"), F.pmod(F.xxhash64("class"), all_).alias("j"), each(own).alias("i"))
+        common = F.least("left", "left2")
+        close = 100 * common >= F.lit(self.percent) * (F.col("n") + F.col("m") - common)
+        met = left.join(right, ["key", "i", "j"]).where((F.col("root") != F.col("root2")) & close)
+        return self.judged(met.select("class", "pivot"))
+
+    def prepare(self, asked: DataFrame) -> None:
+        """Make the full sets of the classes ``asked`` for that aren't known yet."""
+        if self.sets is not None:
+            asked = asked.join(self.sets.select("class"), "class", "left_anti")
         asked = stored(self.classes.join(asked, "class").select("class", "d1", "d2", "hash", "length"))
-        keyed = self.docs.select(self.text.alias("text")).withColumns({"hash": F.xxhash64("text"), "length": F.length("text")})
+        n = asked.count()
+        if self.sets is not None and not n:
+            return
+        keys = asked.select("hash", "length").distinct()
+        keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+        keyed = self.docs.select(text_or_empty(self.text_col).alias("text")).withColumns(
+            {"hash": F.xxhash64("text"), "length": F.length("text")})
         # The texts of these classes, once each; should two texts share a key, the set's digest tells.
-        texts = keyed.join(asked.select("hash", "length").distinct(), ["hash", "length"], "left_semi").select("text").distinct()
+        texts = keyed.join(keys, ["hash", "length"], "left_semi").select("text").distinct()
         made = texts.select(_sets(self.shingle)("text").alias("s")).select("s.*")
-        sets = stored(made.join(asked, ["d1", "d2"]).groupBy("class").agg(F.first("shingles").alias("shingles")))
-        both = pairs.join(sets, "class").join(
-            sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("others")), "pivot")
+        found = stored(made.join(asked, ["d1", "d2"]).groupBy("class").agg(F.first("shingles").alias("shingles")))
+        self.sets = found if self.sets is None else self.sets.unionByName(found)
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """``(a, b)``: the ``pairs`` whose full sets are similar enough."""
+        others = self.sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("others"))
+        both = pairs.join(self.sets, "class").join(others, "pivot")
         common = F.size(F.array_intersect("shingles", "others"))
         union = F.size("shingles") + F.size("others") - common
         return both.where(F.lit(100) * common >= F.lit(self.percent) * union).select(F.col("class").alias("a"), F.col("pivot").alias("b"))
@@ -235,28 +283,32 @@ class _Linker:
     def roots(self, links: DataFrame) -> DataFrame:
         """``(class, root)`` of every class."""
         found = connected_components(links)
-        return self.classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
-            "class", F.coalesce("root", "class").alias("root"))
-
-
-def class_roots(docs: DataFrame, classes: DataFrame, text: Column, *, shingle: int = 2, percent: int = 80,
-                slice_rows: int = 512) -> DataFrame:
+        return stored(self.classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
+            "class", F.coalesce("root", "class").alias("root")))
+
+    def joined(self, links: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """``links`` and the confirmed of ``pairs``: first each class's best pair, then those still between components."""
+        self.prepare(pairs.select("class").unionByName(pairs.select(F.col("pivot").alias("class"))).distinct())
+        rank = F.max_by(F.struct("class", "pivot", "slots"), F.struct("slots", "class", "pivot")).alias("p")
+        best = pairs.groupBy("class").agg(rank).select("p.*").unionByName(pairs.groupBy("pivot").agg(rank).select("p.*")).distinct()
+        first = self.confirmed(best)
+        links = stored(first if links is None else links.unionByName(first))
+        rest = stored(self.apart(pairs, self.roots(links)).join(best.select("class", "pivot"), ["class", "pivot"], "left_anti"))
+        return links if rest.isEmpty() else stored(links.unionByName(self.confirmed(rest)))
+
+
+def class_roots(docs: DataFrame, classes: DataFrame, *, text_col: str, shingle: int = 2, percent: int = 80,
+                slice_rows: int = 4096) -> DataFrame:
     """``(class, root)``: components of the classes' links."""
-    link = _Linker(docs, classes, text, shingle, percent, slice_rows)
-    pairs = link.pivots()
-    best = pairs.groupBy("class").agg(F.max_by("pivot", F.struct("slots", "pivot")).alias("pivot"), F.max("slots").alias("slots"))
-    links = stored(link.confirmed(best))
-    open_pairs = stored(link.apart(pairs, link.roots(links)).join(best.select("class", "pivot"), ["class", "pivot"], "left_anti"))
-    links = stored(links.unionByName(link.confirmed(open_pairs)))
-    tried = best.select("class", "pivot").unionByName(open_pairs.select("class", "pivot"))
-    more = stored(link.contested(stored(link.roots(links))).join(tried, ["class", "pivot"], "left_anti"))
-    if more.isEmpty():
-        return link.roots(links)
-    return link.roots(stored(links.unionByName(link.confirmed(more))))
+    link = _Linker(docs, classes, text_col=text_col, shingle=shingle, percent=percent, slice_rows=slice_rows)
+    links = link.joined(None, link.pivots())
+    roots = link.roots(links)
+    more = link.exhausted(roots)
+    return roots if more.isEmpty() else link.roots(link.joined(links, more))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, percent: int = 80,
-                    slice_rows: int = 512) -> DataFrame:
+                    slice_rows: int = 4096) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``; documents link whose sets of
     distinct shingles have a Jaccard similarity of ``percent`` % or more."""
     text = text_or_empty(text_col)
@@ -267,7 +319,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.min(F.struct("hash", "length")).alias("key"), F.min("doc_id").alias("first_id"), F.first("s.sig").alias("sig"),
         F.first("s.keys").alias("keys")).select(F.monotonically_increasing_id().alias("class"), "n", "d1", "d2", "key.*",
                                                 "first_id", "sig", "keys"))
-    roots = class_roots(docs, classes, text, shingle=shingle, percent=percent, slice_rows=slice_rows)
+    roots = class_roots(docs, classes, text_col=text_col, shingle=shingle, percent=percent, slice_rows=slice_rows)
     named = stored(classes.select("class", "n", "d1", "d2", "first_id").join(roots, "class"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labelled = named.join(ids, "root").select("n", "d1", "d2", "component_id", F.lit(True).alias("known"))
