@@ -16,7 +16,7 @@
    row is indexed and searched whatever the sample.
 5. Buckets meet their probes in groups of bounded size: a bucket with many
    vectors or many probes is split on both sides, and each part of one meets
-   each part of the other. A group returns each query's nearest only; these are
+   each part of the other. A vector goes to a group once. A group returns each query's nearest only; these are
    merged over groups and tables and ranked by their exact distance.
 
 Defined cases: NULL, empty or zero vectors and vectors with NULL or non-finite
@@ -147,10 +147,6 @@ def neighbour_distances(base: DataFrame, asked: list[np.ndarray], k: int) -> lis
     return [r["d"] for r in reached.collect()]  # at most one row for each of asked
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.frombuffer(v, "<f8") for v in column])
-
-
 def classes_of(vectors: DataFrame, k: int, *, id_col: str, vector_col: str) -> DataFrame:
     """``rep, ids, vector``: each distinct usable vector with its ``k + 1`` smallest ids and the smallest."""
     v = F.col(vector_col).cast("array<double>")
@@ -169,21 +165,20 @@ def classes_of(vectors: DataFrame, k: int, *, id_col: str, vector_col: str) -> D
         F.element_at("ids", 1).alias("rep"), "ids", "vector")
 
 
-_PROBED = "table int, dim int, bucket bigint, rep bigint, vector binary"
+_PLACED = "table int, dim int, bucket bigint, rep bigint"
 
 
 def _indexed(hashing: Hashing | None, probing: bool):
-    """Rows per table (and probe) of each class; without hashing, one bucket holds all."""
+    """The buckets of each class, per table (and probe); without hashing, one bucket holds all. Without the vectors."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby(batch["vector"].map(len)):
                 for at in range(0, len(part), 500):
                     own = part.iloc[at:at + 500]
-                    m = np.stack([np.asarray(x, float) for x in own["vector"]])
                     if hashing is None:
-                        bucket = np.zeros((len(m), 1, 1), np.int64)
+                        bucket = np.zeros((len(own), 1, 1), np.int64)
                     else:
-                        cells = hashing.cells(m)
+                        cells = hashing.cells(np.stack([np.asarray(x, float) for x in own["vector"]]))
                         if probing:
                             moves = hashing.moves()
                             order = np.argsort(hashing.penalties(cells), axis=-1, kind="stable")[..., :hashing.probes]
@@ -192,67 +187,82 @@ def _indexed(hashing: Hashing | None, probing: bool):
                             cells = cells[:, :, None, :]
                         bucket = codes(cells)
                     n, tables, probes = bucket.shape
-                    blobs = [x.astype("<f8").tobytes() for x in m]
                     for t in range(tables):
-                        yield pd.DataFrame({
-                            "table": np.int32(t), "dim": np.int32(dim), "bucket": bucket[:, t].reshape(-1),
-                            "rep": np.repeat(own["rep"].to_numpy(), probes),
-                            "vector": np.repeat(np.array(blobs, object), probes)})
+                        yield pd.DataFrame({"table": np.int32(t), "dim": np.int32(dim), "bucket": bucket[:, t].reshape(-1),
+                                            "rep": np.repeat(own["rep"].to_numpy(), probes)})
     return rows
 
 
+def _by_cell(rows: pd.DataFrame) -> tuple[np.ndarray, dict[tuple, np.ndarray]]:
+    """The vectors of a group's rows, one a row, and the rows listed in each cell."""
+    cells = defaultdict(list)
+    for row, listed in enumerate(rows["cells"]):
+        for c in listed:
+            cells[c["table"], c["dim"], c["bucket"], c["v"], c["q"]].append(row)
+    return rows["vector"].to_numpy(), {c: np.array(r) for c, r in cells.items()}
+
+
 def _met(k: int):
     """Each query's nearest classes among the buckets that a group holds."""
     def nearest(_key, index: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
-        best: dict[int, list[tuple[float, int]]] = {}
-        cell = ["table", "dim", "bucket", "v", "q"]
-        held = {key: part for key, part in index.groupby(cell, sort=False)}
-        for key, asked in probes.groupby(cell, sort=False):
-            own = held.get(key)
+        best: dict[int, dict[int, float]] = defaultdict(dict)
+        vectors, held = _by_cell(index)
+        queries, asked = _by_cell(probes)
+        ids, reps = index["rep"].to_numpy(), probes["rep"].to_numpy()
+        for cell, some in asked.items():
+            own = held.get(cell)
             if own is None:
                 continue
-            x, ids = _matrix(own["vector"]), own["rep"].to_numpy()
+            x = np.stack([np.asarray(v, float) for v in vectors[own]])
             squares = (x ** 2).sum(axis=1)
             step = max(1, (1 << 21) // len(x))
-            for at in range(0, len(asked), step):
-                some = asked.iloc[at:at + step]
-                q = _matrix(some["vector"])
-                # Ranked roughly by squares, then exactly; a margin covers rounding.
+            for at in range(0, len(some), step):
+                rows = some[at:at + step]
+                q = np.stack([np.asarray(v, float) for v in queries[rows]])
+                # Ranked roughly by squares, then exactly: all whose rough value lies within the bound on its
+                # rounding of the k + 1-th are looked at, ties too.
                 rough = squares[None] - 2 * q @ x.T
-                top = min(len(x), k + 9)
-                near = np.argpartition(rough, top - 1, axis=1)[:, :top]
-                exact = np.sqrt(((x[near] - q[:, None, :]) ** 2).sum(axis=2))
-                for row, rep in enumerate(some["rep"].tolist()):
-                    best.setdefault(rep, []).extend(zip(exact[row].tolist(), ids[near[row]].tolist()))
-        out = [(q, x, d) for q, found in best.items() for d, x in sorted(set(found))[:k + 1]]
+                top = min(len(x), k + 1)
+                limit = np.partition(rough, top - 1, axis=1)[:, top - 1]
+                limit = limit + 1e-12 * x.shape[1] * (squares.max() + (q ** 2).sum(axis=1))
+                for i, row in enumerate(rows):
+                    near = np.flatnonzero(rough[i] <= limit[i])
+                    exact = np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1))
+                    if len(near) > top:  # the nearest, ties to smaller ids
+                        first = np.lexsort((ids[own[near]], exact))[:top]
+                        near, exact = near[first], exact[first]
+                    best[reps[row]].update(zip(ids[own[near]].tolist(), exact.tolist()))
+        out = [(q, x, d) for q, found in best.items() for d, x in sorted((d, x) for x, d in found.items())[:k + 1]]
         return pd.DataFrame(out, columns=["query", "rep", "score"])
     return nearest
 
 
 def _search(base: DataFrame, asked: DataFrame, n: int, k: int, hashing: Hashing | None) -> DataFrame:
     """``query, found``: up to ``k + 1`` nearest ids (structs of ``score, vec_id``, ascending) among
-    the classes that share a bucket with one of the query's probes, or without hashing among all."""
-    index = base.select("rep", "vector").mapInPandas(_indexed(hashing, False), _PROBED)
-    probes = asked.mapInPandas(_indexed(hashing, True), _PROBED)
+    the classes that share a bucket with one of the query's probes, or without hashing among all.
+
+    Only buckets and ids are dealt out; a class or query goes with its vector to a group once,
+    however many tables and probes meet there."""
+    index = base.select("rep", "vector").mapInPandas(_indexed(hashing, False), _PLACED)
+    probes = asked.mapInPandas(_indexed(hashing, True), _PLACED)
     cell = ["table", "dim", "bucket"]
-    # Buckets that need splitting: at most one for every _GROUP rows.
-    crowded = stored(
-        index.groupBy(*cell).count().select(*cell, F.lit(0).alias("side"), "count")
-        .unionByName(probes.groupBy(*cell).count().select(*cell, F.lit(1).alias("side"), "count"))
-        .where(F.col("count") > _GROUP).groupBy(*cell).agg(
-            F.max(F.when(F.col("side") == 0, F.ceil(F.col("count") / _GROUP))).alias("vs"),
-            F.max(F.when(F.col("side") == 1, F.ceil(F.col("count") / _GROUP))).alias("qs")))
-    parts = max(1, -(-n * (hashing.tables if hashing else 1) // _GROUP))
-
-    def placed(rows: DataFrame, own: str, other: str) -> DataFrame:
-        """Rows with their part of a split bucket (``own``) and a copy for each part of the other side."""
-        split = rows.join(crowded, cell, "left").withColumns({"vs": F.coalesce("vs", F.lit(1)), "qs": F.coalesce("qs", F.lit(1))})
-        split = split.withColumn(own, F.pmod(F.xxhash64("rep"), F.col(f"{own}s")).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s").cast("int") - 1)))
-        return split.select(*cell, "v", "q", "rep", "vector", F.pmod(
-            F.xxhash64(*cell, "v", "q"), F.lit(parts)).cast("int").alias("part"))
-
-    met = placed(index, "v", "q").groupBy("part").cogroup(placed(probes, "q", "v").groupBy("part")).applyInPandas(
+    # Only buckets that both sides have. Buckets that need splitting: at most one for every _GROUP rows.
+    sizes = index.groupBy(*cell).agg(F.count(F.lit(1)).alias("nv")).join(
+        probes.groupBy(*cell).agg(F.count(F.lit(1)).alias("nq")), cell)
+    sizes = stored(sizes.select(*cell, *[F.ceil(F.col(f"n{x}") / _GROUP).cast("int").alias(f"{x}s") for x in "vq"], "nv", "nq"))
+    rows = sizes.agg(F.sum(F.greatest(F.col("nv") * F.col("qs"), F.col("nq") * F.col("vs")))).first()[0] or 0
+    parts = max(1, -(-rows // _GROUP))
+
+    def placed(side: DataFrame, vectors: DataFrame, own: str, other: str) -> DataFrame:
+        """Each class once a part, with its vector and its cells there: its part of a split bucket (``own``) for each
+        part of the other side."""
+        split = side.join(sizes, cell).withColumn(own, F.pmod(F.xxhash64("rep"), F.col(f"{own}s")).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
+        dealt = split.select("rep", F.pmod(F.xxhash64(*cell, "v", "q"), F.lit(parts)).cast("int").alias("part"),
+                             F.struct(*cell, "v", "q").alias("cell"))
+        return dealt.groupBy("rep", "part").agg(F.collect_list("cell").alias("cells")).join(vectors.select("rep", "vector"), "rep")
+
+    met = placed(index, base, "v", "q").groupBy("part").cogroup(placed(probes, asked, "q", "v").groupBy("part")).applyInPandas(
         _met(k), "query bigint, rep bigint, score double")
     merged = met.groupBy("query", "rep").agg(F.min("score").alias("score"))
     by_class = Window.partitionBy("query").orderBy("score", "rep")
