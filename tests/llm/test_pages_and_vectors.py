@@ -218,6 +218,14 @@ def test_copies_ties_and_unusable_vectors(spark, monkeypatch):
     assert got == want
 
 
+def test_more_ties_than_answers_go_to_the_smallest_ids(spark):
+    """Sixty distinct vectors at one distance from the query, dealt out of order."""
+    rows = [(900, [1.0] + [0.0] * 60)] + [(59 - i, [0.0] * (1 + i) + [1.0] + [0.0] * (59 - i)) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    got = _answers(multiprobe_lsh.neighbours(table.where("vec_id = 900"), table, 10))
+    assert [v for _, v in got[900]] == list(range(10))
+
+
 def test_empty_vectors(spark):
     none = spark.createDataFrame([], VECTORS)
     one = spark.createDataFrame([(7, [1.0])], VECTORS)

@@ -314,6 +314,77 @@ def test_sequences_match_a_plain_loop():
     assert grams.tolist() == [[0 if 0 in g[k:3] and g[k] == 0 else g[k] for k in range(4)] for w in want for g in w]
 
 
+def _plain_kneser_ney(texts):
+    """``p(gram)`` of a gram of four characters (0 before a text begins), from the definition."""
+    counts = Counter()
+    for t in texts:
+        line = re.sub(r"[^\W\d_]+|.", lambda m: m[0] if m[0].isalpha() else " ", t.lower(), flags=re.S)
+        line = re.sub(" +", " ", line).lstrip(" ")
+        padded = "\0\0\0" + line
+        counts.update(padded[i:i + 4] for i in range(len(line)))
+    tables = [counts]
+    for _ in range(3):
+        tables.insert(0, Counter(g[1:] for g in tables[0]))
+    parts = []
+    for table in tables:
+        n1, n2 = (sum(c == x for c in table.values()) for x in (1, 2))
+        d = max(0.05, n1 / (n1 + 2 * n2) * 0.999) if n1 else 0.5
+        totals, followers = Counter(), Counter()
+        for g, c in table.items():
+            totals[g[:-1]] += c
+            followers[g[:-1]] += 1
+        parts.append((table, d, totals, followers))
+
+    def p(gram):
+        out = language_id._FLOOR
+        for k, (table, d, totals, followers) in enumerate(parts, 1):
+            own = gram[4 - k:]
+            if totals[own[:-1]]:
+                total = totals[own[:-1]]
+                out = max(table[own] - d, 0) / total + d * followers[own[:-1]] / total * out if table[own] else (
+                    d * followers[own[:-1]] / total * out)
+        return out
+
+    return p, counts
+
+
+def test_probabilities_equal_plain_kneser_ney(spark):
+    table = _language_docs(spark)
+    model = language_id.fit(table)
+    by_lang = defaultdict(list)
+    for r in table.collect():
+        if r["lang"] is not None and r["text"] is not None:
+            by_lang[r["lang"]].append(r["text"])
+    plain = {x: _plain_kneser_ney(by_lang[x]) for x in model.languages}
+    seen = [g for x in model.languages for g in list(plain[x][1])[:150]]
+    grams = seen + [g[:3] + "q" for g in seen[::5]] + ["zzzz", "\0\0\0x", "abc ", "ψυχή"]
+    got = model.log_probabilities(np.array([[ord(c) for c in g] for g in grams], np.int64))
+    for j, x in enumerate(model.languages):
+        assert np.exp(got[:, j]) == pytest.approx([plain[x][0](g) for g in grams], rel=1e-4)
+
+
+def test_pieces_of_a_long_text_change_nothing(spark, monkeypatch):
+    model = language_id.fit(_language_docs(spark))
+    texts = ["  The  hat -- is 12 on the\tmat, ja? ", "a", "x" * 50, " " * 40, "ab  cd " * 9, "", "Σίσυφος ΟΔΟΣ ΟΔΟΣ"]
+    whole = [np.array(x) for x in language_id.sequences(texts)]
+    scores = language_id.judge(model, texts)
+    for size in (4, 5, 7, 11):
+        monkeypatch.setattr(language_id, "_CHUNK", size)
+        assert max(len(language_id.pieces_of(t)) for t in texts) > 1
+        chunks = [language_id.sequences_of(c)[0] for c in language_id._chunks(texts)]
+        assert (np.concatenate(chunks) == whole[0]).all()
+        again = language_id.judge(model, texts)
+        assert list(again["nearest"]) == list(scores["nearest"])
+        assert again["cross_entropy"].to_numpy() == pytest.approx(scores["cross_entropy"].to_numpy(), nan_ok=True)
+
+
+def test_identify_bears_any_column_names(spark):
+    table = with_clashes(docs(spark)).drop("identified")
+    for cells in (8_000_000, 0):
+        got = language_id.identify(table, language_id.fit(_language_docs(spark), array_cells=cells))
+        assert got.columns == [*table.columns, "identified"] and got.count() == len(DOCS)
+
+
 def test_language_edge_rows(spark):
     model = language_id.fit(_language_docs(spark))
     table = docs(spark).withColumn("extra", F.lit(1))

@@ -19,7 +19,8 @@
 
 Defined cases: NULL, empty and letterless texts are ``und`` with score 0, as are
 all texts if nothing was learned; NULL languages teach nothing; ties go to the
-language first by code point; equal rows count each; extra columns are ignored.
+language first by code point; equal rows count each; texts are whole, whatever their length (a long
+one is taken in pieces that keep their context); extra columns pass through ``identify``, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import stored
+from tripspark.llm.common import nested, stored
 
 ORDER = 4
 UNKNOWN = "und"
@@ -66,6 +67,34 @@ def sequences(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     return grams[codes != 0], sizes
 
 
+def pieces_of(text: str) -> list[tuple[str, int]]:
+    """A text in pieces of about ``_CHUNK`` characters, each with how many of its first characters belong to the piece
+    before: they are the context of what follows, so that a cut changes nothing."""
+    if len(text) <= _CHUNK:
+        return [(text, 0)]
+    # As sequences() makes them: letters in lower case, runs of all else as one space.
+    codes = np.frombuffer(text.replace("\0", " ").lower().encode("utf-32-le"), "<u4")
+    codes = np.where(_letters()[codes], codes, 32).astype("<u4")
+    codes = codes[(codes != 32) | np.concatenate([[False], codes[:-1] != 32])]
+    out = []
+    for at in range(0, max(len(codes), 1), _CHUNK):
+        back = min(at, ORDER - 1)
+        if back and codes[at - back] == 32:
+            back = min(at, ORDER)  # a piece doesn't begin with a space
+        out.append((codes[at - back:at + _CHUNK].tobytes().decode("utf-32-le"), back))
+    return out
+
+
+def sequences_of(pieces: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`sequences` of pieces, without those that end in the piece before."""
+    grams, sizes = sequences([t for t, _ in pieces])
+    skips = np.minimum([k for _, k in pieces], sizes)
+    if skips.any():
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        grams = grams[np.arange(len(grams)) - first >= np.repeat(skips, sizes)]
+    return grams, sizes - skips
+
+
 def hashes(grams: np.ndarray) -> np.ndarray:
     """Hash of each row of code points, 64 bits."""
     h = np.zeros(len(grams), np.uint64)
@@ -77,13 +106,13 @@ def hashes(grams: np.ndarray) -> np.ndarray:
 
 # --- counts ----------------------------------------------------------------------------------
 
-def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
-    """The texts in groups of about ``_CHUNK`` characters; a longer text comes in pieces."""
+def _chunks(texts: Iterable[str]) -> Iterator[list[tuple[str, int]]]:
+    """The pieces of the texts in groups of about ``_CHUNK`` characters."""
     held, n = [], 0
     for t in texts:
-        for at in range(0, max(len(t), 1), _CHUNK):
-            held.append(t[at:at + _CHUNK])
-            n += len(held[-1])
+        for piece in pieces_of(t):
+            held.append(piece)
+            n += len(piece[0])
             if n >= _CHUNK:
                 yield held
                 held, n = [], 0
@@ -109,7 +138,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for lang, texts in batch.groupby("lang")["text"]:
             for chunk in _chunks(texts):
-                grams, _ = sequences(chunk)
+                grams, _ = sequences_of(chunk)
                 if not len(grams):
                     continue
                 new = _merged((grams.astype(np.uint64) * lift).sum(axis=1, dtype=np.uint64), grams, np.ones(len(grams)))
@@ -198,14 +227,14 @@ class LanguageModels:
         total = np.zeros((len(texts), len(self.languages)))
         size = np.zeros(len(texts), np.int64)
         step = max(1, (1 << 22) // max(len(self.languages), 8))
-        pieces = [(k, t[at:at + _CHUNK]) for k, t in enumerate(texts) for at in range(0, max(len(t), 1), _CHUNK)]
+        pieces = [(k, piece) for k, t in enumerate(texts) for piece in pieces_of(t)]
         first = 0
         while first < len(pieces):
             last, n = first, 0
-            while last < len(pieces) and (last == first or n + len(pieces[last][1]) <= step):
-                n += len(pieces[last][1])
+            while last < len(pieces) and (last == first or n + len(pieces[last][1][0]) <= step):
+                n += len(pieces[last][1][0])
                 last += 1
-            grams, sizes = sequences([t for _, t in pieces[first:last]])
+            grams, sizes = sequences_of([x for _, x in pieces[first:last]])
             owner = np.repeat(np.array([k for k, _ in pieces[first:last]]), sizes)
             for at in range(0, len(grams), step):
                 logs = self.log_probabilities(grams[at:at + step])
@@ -280,7 +309,7 @@ def _text_sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not any(c.isalpha() for c in text):
                 continue
             for chunk in _chunks([text]):
-                found, n = np.unique(sequences(chunk)[0], axis=0, return_counts=True)
+                found, n = np.unique(sequences_of(chunk)[0], axis=0, return_counts=True)
                 yield pd.DataFrame({"key": key, **{g: found[:, k].astype(np.int32) for k, g in enumerate(_GRAM)}, "n": n})
 
 
@@ -314,11 +343,11 @@ def _identified_by_tables(docs: DataFrame, model: LanguageModels, z: float, text
         n = size.to_numpy(np.int64)
         return _decided(languages, mean, deviation, np.array(total.tolist(), float).reshape(len(n), -1) / n[:, None], n, z)
 
-    found = per_text.select(F.col("key").alias("_text_key"), decided(ordered, "n").alias("_found"))
+    found = per_text.select("key", decided(ordered, "n").alias("found")).alias("f")
     none = F.struct(F.lit(UNKNOWN).alias("nearest"), F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"),
                     F.lit(None).cast("double").alias("cross_entropy"))
-    joined = docs.join(found, key == F.col("_text_key"), "left")
-    return joined.select(*[docs[c] for c in docs.columns], F.coalesce("_found", none).alias("identified"))
+    joined = docs.select(nested(docs), key.alias("key")).alias("d").join(found, F.col("d.key") == F.col("f.key"), "left")
+    return joined.select("d.row.*", F.coalesce("f.found", none).alias("identified"))
 
 
 def judge(model: LanguageModels, texts: list[str], z: float = 4.0) -> pd.DataFrame:
