@@ -1,6 +1,9 @@
 """Driver contract and DuckDB differential checks for every registered query."""
 
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -11,6 +14,7 @@ from tripspark.plans.catalog import QUERIES
 from tripspark.plans.explain import explain_text
 from tripspark.plans.oracle import SQL
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -73,3 +77,20 @@ def test_derived_trip_scan_is_pruned_and_pushed(spark):
     assert "PushedFilters: [IsNotNull(startLon)" in plan
     q2 = explain_text(E.queries()["max_cost_by_vendor"](spark, SF_SMALL))
     assert "ReadSchema: struct<id:bigint,cost:double>" in q2
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "xxhash"])
+def test_other_queries_work_without_a_package_of_the_operators(missing):
+    code = f"""
+import sys, warnings
+sys.path.insert(0, {ROOT!r})
+sys.modules[{missing!r}] = None
+warnings.simplefilter("always")
+import __spark_entry__ as E
+from tripspark.plans.catalog import QUERIES
+assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql())
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    if os.path.isdir(os.path.join(ROOT, "tripspark", "llm")):
+        assert f"need {missing}" in done.stderr
