@@ -14,7 +14,8 @@ are five consecutive words, weighted by how often they occur in the window.
    the two 32-bit halves of 32 longs, in an aggregate).
 3. Items are listed under the variants of each of five blocks of bits; the
    per-block radii add up so that every fingerprint within ``radius`` bits
-   meets its item in at least one block. Candidates within ``radius`` remain.
+   meets its item in at least one block. A window is looked up in the lists of those
+   items whose seeds it covers. Candidates within ``radius`` remain.
 4. For these, the exact weighted Jaccard similarity of the two shingle bags
    (sum of smaller counts over sum of larger counts) decides, 0.8 or more.
 
@@ -148,28 +149,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
     texts = texts.withColumn("words", words_of("_text")).drop("_text").withColumn("_n", F.size("words"))
     texts = stored(texts.withColumn("hashes", shingle_hashes(F.col("words"))))
 
-    # Windows of one size over one text: each start once, however many positions it covers.
-    per_size = shared.groupBy(*_KEY, "s").agg(F.array_distinct(F.flatten(F.collect_list("positions"))).alias("positions"))
-    sized = _same_rows(texts.select(*_KEY, "hashes", "_n"), per_size).withColumn(
-        "count", F.least("s", F.col("_n") - (SHINGLE - 1)))
+    # The windows that an item asks for: those of its size over a position in common.
+    count = F.least("s", F.col("_n") - (SHINGLE - 1))
     last = F.col("_n") - (SHINGLE - 1) - F.col("count")
     starts = F.array_distinct(F.flatten(F.transform("positions", lambda p: F.sequence(
         F.greatest(F.lit(0), p - F.col("count") + 1), F.least(p, last)))))
-    windows = sized.select(*_KEY, "hashes", "s", "count", F.explode(starts).alias("start"))
-    windows = windows.select(*_KEY, "s", "count", "start", F.slice("hashes", F.col("start") + 1, F.col("count")).alias("own"))
-    prints = simhash_of(windows, [*_KEY, "s", "count", "start"], "own")
-    item_prints = simhash_of(items.select(F.xxhash64("item_words").alias("item"), "s",
-                                          shingle_hashes(F.col("item_words")).alias("own")), ["item", "s"], "own")
-
+    asked = stored(_same_rows(shared, texts.select(*_KEY, "_n")).withColumn("count", count).select(
+        *_KEY, "item", "count", starts.alias("starts")))
+    # Windows of one size over one text: each start once, however many positions and items it covers.
+    per_size = asked.groupBy(*_KEY, "count").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    windows = _same_rows(texts.select(*_KEY, "hashes"), per_size).select(*_KEY, "hashes", "count", F.explode("starts").alias("start"))
+    windows = windows.select(*_KEY, "count", "start", F.slice("hashes", F.col("start") + 1, F.col("count")).alias("own"))
+    prints = simhash_of(windows, [*_KEY, "count", "start"], "own")
+    item_prints = simhash_of(items.select(F.xxhash64("item_words").alias("item"),
+                                          shingle_hashes(F.col("item_words")).alias("own")), ["item"], "own")
+
+    # A window is looked up in the lists of the items that asked for it, so that what is met grows with
+    # the items that a document shares, not with the benchmark.
     plan = block_plan(radius)
-    probed = prints.select(*_KEY, "s", "count", "start", "fp", F.posexplode(
+    wanted = asked.select(*_KEY, "item", "count", F.explode("starts").alias("start"))
+    probed = _same_rows(prints, wanted, ["count", "start"]).select(*_KEY, "item", "count", "start", "fp", F.posexplode(
         F.array(*[_block(F.col("fp"), bits) for bits, _ in plan])).alias("block", "key"))
-    listed = item_prints.select("s", "item", F.col("fp").alias("item_fp"), F.posexplode(
+    listed = item_prints.select("item", F.col("fp").alias("item_fp"), F.posexplode(
         F.array(*[_within(_block(F.col("fp"), bits), bits, r) for bits, r in plan])).alias("block", "keys")).select(
-        "s", "item", "item_fp", "block", F.explode("keys").alias("key"))
+        "item", "item_fp", "block", F.explode("keys").alias("key"))
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     # The list grows with the benchmark and has no bound: both sides are shuffled.
-    candidates = probed.join(listed.hint("merge"), ["s", "block", "key"]).where(apart <= radius).select(
+    candidates = probed.join(listed.hint("merge"), ["item", "block", "key"]).where(apart <= radius).select(
         *_KEY, "count", "start", "item").distinct()
 
     spans = candidates.groupBy(*_KEY, "item", "count").agg(F.collect_set("start").alias("starts"))
@@ -187,11 +193,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
         *_KEY, "item_id", "b.similarity", (-F.col("b.before")).alias("start_word"))
 
 
-def _same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join on the row key, NULL ids equal."""
-    named = right.withColumnsRenamed({k: f"_r{k}" for k in _KEY})
-    on = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in _KEY]
-    return left.join(named, on).drop(*[f"_r{k}" for k in _KEY])
+def _same_rows(left: DataFrame, right: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """Join on the row key, NULL ids equal (and on columns ``more``)."""
+    keys = [*_KEY, *(more or [])]
+    named = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r{k}")) if k in _KEY else F.col(k) == F.col(f"_r{k}") for k in keys]
+    return left.join(named, on).drop(*[f"_r{k}" for k in keys])
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
