@@ -191,6 +191,17 @@ def test_trails_compare_as_strings_even_with_equal_hashes():
             assert trails.less(a, b) == (nodes[a] < nodes[b])
 
 
+def test_undamaged_rows_of_text_ids(spark):
+    """The operator by itself: any id type, no damage."""
+    rows = [("a", 1, "user", "Why?"), ("a", 2, "assistant", "So."), ("b", 1, "assistant", "Hello."), ("b", 2, "user", "hm")]
+    table = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {r["conv_id"]: r for r in conversation_repair.audit(conversation_repair.as_rows(table)).collect()}
+    assert (got["a"]["audit"], got["a"]["cost"], got["a"]["illegal"]) == ("KK", 0, 0)
+    assert got["a"]["repaired_sha256"] == hashlib.sha256(b"user:Why?\nassistant:So.").hexdigest()
+    # keep the answer behind an inserted user (3) and delete the truncated question (4)
+    assert (got["b"]["audit"], got["b"]["cost"], got["b"]["truncated"]) == ("IKD", 7, 1)
+
+
 def test_repair_of_nothing(spark):
     assert conversation_repair.audit(conversation_repair.damage(_table(spark, []))).count() == 0
     empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"

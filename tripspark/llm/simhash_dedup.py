@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import connected_components, nested, row_key, stored, within_flips, without_rows
+from tripspark.llm.common import BROADCAST_KEYS, connected_components, nested, row_key, stored, within_flips, without_rows
 
 BITS = 64
 #: Lower-cases A-Z only, byte by byte.
@@ -200,23 +200,23 @@ def midpoint_links(fps: DataFrame, max_distance: int) -> DataFrame:
         F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
 
 
-def fingerprint_components(fps: DataFrame, max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
-    """``(fp, root, component_id)``: one row per distinct fingerprint of ``fps`` (``doc_id``, ``fp``).
-    ``root`` tells components apart; ``component_id`` doesn't if ids are NULL or repeated."""
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(fingerprint_links(classes.select("fp"), max_distance, bucket_cap))
-    labelled = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    ids = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return stored(labelled.join(ids, "root").select("fp", "root", "component_id"))
+def rooted(fps: DataFrame, max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
+    """``fps`` (a stored table with ``fp``) plus ``root``, the smallest fingerprint of the component. Only linked
+    fingerprints are joined; up to a counted number (16 bytes each) they are broadcast."""
+    classes = stored(fps.select("fp").distinct())
+    roots = connected_components(fingerprint_links(classes, max_distance, bucket_cap))
+    linked = roots.select(F.col("node").alias("fp"), "root")
+    linked = F.broadcast(linked) if linked.count() <= BROADCAST_KEYS else linked
+    return fps.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     max_distance: int = 4, bucket_cap: int = 1024) -> DataFrame:
     """``doc_id, fingerprint`` (16 lower-case hex digits), ``component_id``: one row per row of ``docs``."""
     fps = stored(docs.select(F.col(id_col).alias("doc_id"), simhash_column(F.col(text_col), shingle).alias("fp")))
-    comps = fingerprint_components(fps, max_distance, bucket_cap)
-    return fps.join(comps, "fp").select(
+    rows = rooted(fps, max_distance, bucket_cap)
+    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -227,16 +227,17 @@ def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Fingerprints are computed once and stored with the rows' keys; the documents are
     then read again and lose the rows whose keys go."""
-    key = F.struct("key_hash", "key_length")
+    keys = ["key_id", "key_hash", "key_length"]
     fps = stored(docs.select(*row_key(id_col, text_col), simhash_column(F.col(text_col), shingle).alias("fp")))
-    comps = fingerprint_components(fps.select(F.col("key_id").alias("doc_id"), "fp"), max_distance, bucket_cap)
     # Components are told apart by root: those of NULL ids, or of an id repeated with other texts, share a component id.
-    rows = fps.join(comps, "fp").select("key_id", key.alias("key"), "root", F.col("key_id").eqNullSafe(F.col("component_id")).alias("named"))
-    groups = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("named"), F.col("key"))).alias("stays")).where("n > 1")
-    judged = rows.join(groups, "root").withColumn("stay", F.col("named") & (F.col("key") == F.col("stays")))
-    counted = stored(judged.groupBy("key_id", "key").agg(F.max("stay").alias("stay"), F.count(F.lit(1)).alias("rows")).select(
-        "key_id", "key.*", "stay", "rows"))
-    keys = ["key_id", "key_hash", "key_length"]
+    rows = rooted(fps, max_distance, bucket_cap).select("root", *keys)
+    # The row that stays: of the smallest id (NULL last), and of several texts under it the one of the least key.
+    stays = F.min(F.struct(F.col("key_id").isNull().alias("none"), *keys)).alias("stays")
+    groups = stored(rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), stays).where("n > 1"))
+    small = groups.count() <= BROADCAST_KEYS
+    same = [F.col(k).eqNullSafe(F.col(f"stays.{k}")) for k in keys]
+    judged = rows.join(F.broadcast(groups) if small else groups, "root").withColumn("stay", same[0] & same[1] & same[2])
+    counted = stored(judged.groupBy(*keys).agg(F.max("stay").alias("stay"), F.count(F.lit(1)).alias("rows")))
     again = counted.where("stay and rows > 1").select(*keys)  # the row that stays, given several times
     if again.isEmpty():
         return without_rows(docs, counted.where("not stay").select(*keys), id_col=id_col, text_col=text_col)
