@@ -188,6 +188,7 @@ class _Linker:
         central = rows.groupBy("class").agg(F.sum("m").alias("score"))
         self.buckets = stored(rows.select("key", "class").join(central, "class").select("key", "class", "score"))
         self.marks = classes.select("class", "n", "sig")
+        self.few = classes.count() <= BROADCAST_KEYS
         self.sets: DataFrame | None = None
 
     def _allowed(self) -> Column:
@@ -221,11 +222,13 @@ class _Linker:
         """``(key, class, n, left)``: each class's rarest shingles among ``classes``, as many as it can't have
         without sharing one of them with a similar one; ``left`` counts the shingles from this one on."""
         self.prepare(classes)
-        known = stored(classes.join(self.sets, "class").select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("key")))
-        common = known.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        rank = F.row_number().over(Window.partitionBy("class").orderBy("c", "key"))  # one row per shingle of a class
-        ranked = known.join(common, "key").withColumn("left", F.col("n") - rank + 1)
-        return ranked.where((100 * F.col("left") >= F.lit(self.percent) * F.col("n")) & (F.col("c") > 1)).select("key", "class", "n", "left")
+        known = classes.join(self.sets, "class").select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+        # What one class alone has comes first in its order; only the others are listed, ranked from there on.
+        common = known.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        own = Window.partitionBy("class")  # one row per shingle of a class
+        rank = F.row_number().over(own.orderBy("c", "key"))
+        ranked = known.join(common, "key").withColumn("left", F.count(F.lit(1)).over(own) - rank + 1)
+        return ranked.where(100 * F.col("left") >= F.lit(self.percent) * F.col("n")).select("key", "class", "n", "left")
 
     def exhausted(self, roots: DataFrame) -> DataFrame:
         """``(class, pivot, slots)`` of all pairs of contested classes from different components that may be similar enough.
@@ -283,8 +286,10 @@ class _Linker:
     def roots(self, links: DataFrame) -> DataFrame:
         """``(class, root)`` of every class."""
         found = connected_components(links)
-        return stored(self.classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        rows = stored(self.classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
             "class", F.coalesce("root", "class").alias("root")))
+        # Broadcast up to a counted number (16 bytes each), else the joins on them are shuffled.
+        return F.broadcast(rows) if self.few else rows
 
     def joined(self, links: DataFrame | None, pairs: DataFrame) -> DataFrame:
         """``links`` and the confirmed of ``pairs``: first each class's best pair, then those still between components."""
