@@ -243,6 +243,27 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_crowded_fingerprints_read_each_side_once(spark):
+    rng = np.random.default_rng(5)
+    fps = {1 << int(a) | 1 << int(b) for a, b in rng.integers(0, 62, (60, 2))} | {int(x) for x in rng.integers(0, 1 << 62, 20)}
+    classes = spark.createDataFrame([(x,) for x in sorted(fps)], "fp long").checkpoint()
+    found = simhash_dedup.fingerprint_links(classes, 4, bucket_cap=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3  # the two sides and the distinct links, not each partition's
+    links = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4}
+    got = {(min(r), max(r)) for r in found.collect()}
+    assert got and got <= links
+
+    def roots(pairs):
+        up = {x: x for x in fps}
+        for _ in fps:
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+
+    assert roots(got) == roots(links)
+
+
 def test_simhash_edge_rows(spark):
     assert simhash_dedup.simhash(None) == simhash_dedup.simhash(" \t\n") == 0
     assert simhash_dedup.simhash("One  TWO") == simhash_dedup.simhash("one two") != 0

@@ -155,21 +155,24 @@ def fingerprint_links(classes: DataFrame, max_distance: int = 4, bucket_cap: int
     sample = np.array([r["fp"] for r in picked] or [0], np.int64).view(np.uint64)
     plan = plan_partitions(sample, n, max_distance)
 
-    index, probes = None, None
-    for i, (bits, t) in enumerate(plan):
-        mask = F.lit(mask_of(bits)).cast("long")
-        own = classes.select(F.lit(i).alias("part"), F.col("fp").bitwiseAND(mask).alias("key"), F.col("fp").alias("b"))
-        variants = classes.select(F.lit(i).alias("part"), F.explode(
-            within_flips(F.col("fp").bitwiseAND(mask), bits, t)).alias("key"), F.col("fp").alias("a"))
-        index = own if index is None else index.unionByName(own)
-        probes = variants if probes is None else probes.unionByName(variants)
+    # One pass over the classes per side, whatever the number of partitions.
+    def listed(name: str, keys: list[Column]) -> DataFrame:
+        parts = classes.select(F.col("fp").alias(name), F.posexplode(F.array(*keys)).alias("part", "keys"))
+        return parts.select("part", F.explode("keys").alias("key"), name)
+
+    values = [(F.col("fp").bitwiseAND(F.lit(mask_of(bits)).cast("long")), bits, t) for bits, t in plan]
+    index = listed("b", [F.array(own) for own, _, _ in values])
+    probes = listed("a", [within_flips(own, bits, t) for own, bits, t in values])
 
     crowded = stored(index.groupBy("part", "key").count().where(F.col("count") > bucket_cap).select("part", "key"))
+    n_crowded = crowded.count()
     through = None
-    if not crowded.isEmpty():
-        dense = probes.join(crowded, ["part", "key"], "left_semi").select(F.col("a").alias("fp")).distinct()
-        through = midpoint_links(dense, max_distance)
-        index = index.join(crowded, ["part", "key"], "left_anti")
+    if n_crowded:
+        # At most one per bucket_cap classes and partition; broadcast up to a counted number (12 bytes each).
+        few = F.broadcast(crowded) if n_crowded <= BROADCAST_KEYS else crowded
+        dense = stored(probes.join(few, ["part", "key"], "left_semi").select(F.col("a").alias("fp")).distinct())
+        through = stored(midpoint_links(dense, max_distance))
+        index = index.join(few, ["part", "key"], "left_anti")
 
     apart = F.col("a").bitwiseXOR(F.col("b"))
     first = F.lit(True)  # no earlier partition reports the pair
