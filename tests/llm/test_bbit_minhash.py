@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -53,6 +54,18 @@ def _random_docs(seed, n=400):
     return rows
 
 
+def test_a_worker_keeps_no_words_of_past_texts():
+    bbit_minhash.shingle_set("warm up")
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for k in range(40):
+            bbit_minhash.shingle_set(" ".join(f"w{k}x{i}" for i in range(1000)))
+        assert tracemalloc.get_traced_memory()[0] - before < 1_000_000
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("slice_rows", [3, 512])
 def test_components_equal_all_pairs(spark, slice_rows):
     rows = _random_docs(slice_rows)

@@ -53,7 +53,6 @@ _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXY
 _DRAWS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, (3, HASHES), np.uint64)
 _FACTORS, _SHIFTS, _BAND_FACTORS = _DRAWS[0] | np.uint64(1), _DRAWS[1], (_DRAWS[2] | np.uint64(1)).reshape(BANDS, ROWS)
 _AT_ONCE = 1024
-_WORDS: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,11 +67,8 @@ def shingle_set(text: str | None, shingle: int = 2) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER).split()  # bytes.split: ASCII white space
     if not words:
         return np.empty(0, np.uint64)
-    if len(_WORDS) > 1 << 20:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = xxhash.xxh64_intdigest(w, 7)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = {w: xxhash.xxh64_intdigest(w, 7) for w in set(words)}  # of this text only: a worker outlives its tasks
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(shingle, len(words))
     n = len(words) - size + 1
     out = np.full(n, size, np.uint64)
@@ -114,8 +110,8 @@ def _sketches(shingle: int):
     @F.arrow_udf("struct<n: bigint, d1: bigint, d2: bigint, sig: array<bigint>, keys: array<bigint>>")
     def sketches(texts: pa.Array) -> pa.Array:
         out = []
-        for text in texts.to_pylist():
-            s = shingle_set(text, shingle)
+        for text in texts:
+            s = shingle_set(text.as_py(), shingle)
             if not len(s):
                 out.append({"n": 0, "d1": 0, "d2": 0, "sig": [], "keys": []})
                 continue
@@ -131,8 +127,8 @@ def _sets(shingle: int):
     @F.arrow_udf("struct<d1: bigint, d2: bigint, shingles: array<bigint>>")
     def sets(texts: pa.Array) -> pa.Array:
         out = []
-        for text in texts.to_pylist():
-            s = shingle_set(text, shingle)
+        for text in texts:
+            s = shingle_set(text.as_py(), shingle)
             d1, d2 = _digest(s)
             out.append({"d1": d1, "d2": d2, "shingles": s.view(np.int64)})
         return pa.array(out, pa.struct([("d1", pa.int64()), ("d2", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
