@@ -243,7 +243,7 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
-def test_crowded_fingerprints_read_each_side_once(spark):
+def test_crowded_fingerprints_take_few_shuffles(spark):
     rng = np.random.default_rng(5)
     fps = {1 << int(a) | 1 << int(b) for a, b in rng.integers(0, 62, (60, 2))} | {int(x) for x in rng.integers(0, 1 << 62, 20)}
     classes = spark.createDataFrame([(x,) for x in sorted(fps)], "fp long").checkpoint()
