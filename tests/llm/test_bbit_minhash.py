@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import tracemalloc
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tripspark.llm import bbit_minhash
 
 from edge import DOCS, docs, rows_of, with_clashes
+from eventlog import ROOT, run_logged
 
 NAMES = ("class", "key", "n", "d1", "d2", "sig", "root", "first_id", "known", "shingles", "s", "hash", "component_id", "kept", "n_shingles")
 
@@ -83,6 +85,61 @@ def test_links_come_from_contested_buckets_too(spark):
     assert rows_of(bbit_minhash.near_duplicates(docs(spark, rows))) == _plain(rows)
 
 
+@pytest.mark.parametrize("broadcast_keys", [0, 1 << 20])
+def test_only_links_between_components_are_looked_at_again(spark, monkeypatch, broadcast_keys):
+    """Links that made the components aren't written and gone through once more in each later step."""
+    seen, found = [], bbit_minhash.connected_components
+
+    def components(edges):
+        out = found(edges)
+        seen.append((edges.collect(), dict(map(tuple, out.collect()))))
+        return out
+
+    monkeypatch.setattr(bbit_minhash, "connected_components", components)
+    monkeypatch.setattr(bbit_minhash, "BROADCAST_KEYS", broadcast_keys)
+    rows = _random_docs(7)
+    assert rows_of(bbit_minhash.near_duplicates(docs(spark, rows))) == _plain(rows)
+    assert len(seen) > 1 and seen[0][0] and seen[1][0]
+    for k, (edges, _) in enumerate(seen):
+        for _, roots in seen[:k]:
+            assert all(roots.get(x, x) == x for e in edges for x in e)
+
+
+def test_texts_that_share_a_key_get_their_own_sets(spark):
+    """A text with another class's hash and length: the digest tells them apart."""
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(["a b c d e", "a b c d e", "A b c d e", "f g h i j"])]
+    table = docs(spark, rows)
+    digests = [bbit_minhash._digest(bbit_minhash.shingle_set(r[1])) for r in rows]
+    key = spark.createDataFrame([(rows[0][1],)], "text string").select(F.xxhash64("text"), F.length("text")).first()
+    classes = spark.createDataFrame(  # both with the first text's key
+        [(c, 4, *digests[at], *key, [0] * 10, [c]) for c, at in ((1, 0), (2, 3))],
+        "class bigint, n bigint, d1 bigint, d2 bigint, hash bigint, length int, sig array<bigint>, keys array<bigint>")
+    link = bbit_minhash._Linker(table, classes, text_col="text", shingle=2, percent=80, slice_rows=8)
+    link.prepare(spark.createDataFrame([(1,), (2,)], "class bigint"))
+    got = link.sets.collect()
+    assert [(r["class"], r["shingles"]) for r in got] == [(1, bbit_minhash.shingle_set(rows[0][1]).view(np.int64).tolist())]
+
+
+_SHUFFLED = """
+sys.path[:0] = {paths!r}
+import test_bbit_minhash as t
+spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+spark.sparkContext.setCheckpointDir({shared!r})
+spark.sparkContext.setJobDescription("op11")
+rows = t._random_docs(3, 1200)
+assert t.bbit_minhash.near_duplicates(t.docs(spark, rows)).count() == len(rows)
+"""
+
+
+def test_bytes_shuffled_and_tasks(tmp_path, monkeypatch):
+    """Sets and signatures are shuffled once for both ends of pairs, sets not where they are made; no step
+    has more tasks for what earlier ones stored."""
+    monkeypatch.setenv("PYTHONPATH", ROOT)  # for the Python workers
+    paths = [os.path.join(ROOT, "tests", "llm"), os.path.join(ROOT, "tests")]
+    got = run_logged(_SHUFFLED.format(paths=paths, shared=f"file://{tmp_path}/shared"), str(tmp_path))["op11"]
+    assert got["shuffle_bytes"] < 5_300_000 and got["tasks"] < 1_200  # 6,900,882 and 1,486 when all that was done twice
+
+
 def test_edge_rows(spark):
     table = with_clashes(docs(spark)).withColumns({c: F.lit("x") for c in NAMES if c != "doc_id"})
     got = bbit_minhash.near_duplicates(table)

@@ -178,36 +178,48 @@ class _Linker:
         self.docs, self.classes, self.text_col = docs, classes, text_col
         self.shingle, self.percent, self.slice_rows = shingle, percent, slice_rows
         rows = classes.select("class", F.explode("keys").alias("key"))
-        shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        rows = rows.join(shared, "key")
+        shared = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+        # Whether some numbers for each class, or for each key of several, are broadcast: both are counted.
+        self.few, self.few_keys = classes.count() <= BROADCAST_KEYS, shared.count() <= BROADCAST_KEYS
+        rows = rows.join(self.of_keys(shared), "key")
         # Central classes meet many others: an original more than its variants.
         central = rows.groupBy("class").agg(F.sum("m").alias("score"))
-        self.buckets = stored(rows.select("key", "class").join(central, "class").select("key", "class", "score"))
-        self.marks = classes.select("class", "n", "sig")
-        self.few = classes.count() <= BROADCAST_KEYS
+        self.buckets = stored(rows.select("key", "class").join(self.of_classes(central), "class").select("key", "class", "score"))
         self.sets: DataFrame | None = None
 
-    def _allowed(self) -> Column:
-        slots = equal_slots(F.col("sig"), F.col("sig2"))
-        return _sizes_allow(F.col("n"), F.col("m"), self.percent) & (slots >= least_slots(self.percent / 100))
+    def of_classes(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (some numbers a class), broadcast up to a counted number of classes, else joins on them are shuffled."""
+        return F.broadcast(rows) if self.few else rows
+
+    def of_keys(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (a number or two a shared band key), broadcast up to a counted number of such keys."""
+        return F.broadcast(rows) if self.few_keys else rows
+
+    @staticmethod
+    def with_ends(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """``pairs`` with the ``rows`` of both ends, as ``<name>1`` and ``<name>2``: both sides are the same
+        projection up to names, so that the rows are shuffled once for the two joins."""
+        one, two = (rows.select(*[F.col(c).alias(f"{c}{i}") for c in rows.columns]) for i in (1, 2))
+        return pairs.join(one, F.col("class") == F.col("class1")).join(two, F.col("pivot") == F.col("class2"))
 
     def judged(self, pairs: DataFrame) -> DataFrame:
         """``(class, pivot, slots)`` of the distinct pairs whose signatures allow a link; ``class < pivot``."""
         pairs = pairs.where("class <> pivot").select(
             F.least("class", "pivot").alias("class"), F.greatest("class", "pivot").alias("pivot")).distinct()
-        other = self.marks.select(F.col("class").alias("pivot"), F.col("n").alias("m"), F.col("sig").alias("sig2"))
-        return stored(pairs.join(self.marks, "class").join(other, "pivot").where(self._allowed()).select(
-            "class", "pivot", equal_slots(F.col("sig"), F.col("sig2")).alias("slots")))
+        both = self.with_ends(pairs, self.classes.select("class", "n", "sig"))
+        slots = equal_slots(F.col("sig1"), F.col("sig2"))
+        allowed = _sizes_allow(F.col("n1"), F.col("n2"), self.percent) & (slots >= least_slots(self.percent / 100))
+        return stored(both.where(allowed).select("class", "pivot", slots.alias("slots")))
 
     def pivots(self) -> DataFrame:
         """Every class with the most central one of each of its buckets."""
         pivot = F.max_by("class", F.struct("score", "class")).alias("pivot")
-        return self.judged(self.buckets.join(self.buckets.groupBy("key").agg(pivot), "key").select("class", "pivot"))
+        return self.judged(self.buckets.join(self.of_keys(self.buckets.groupBy("key").agg(pivot)), "key").select("class", "pivot"))
 
     def contested(self, rows: DataFrame, roots: DataFrame) -> DataFrame:
         """``rows`` (``key, class`` and more) of the keys whose classes lie in several components, with ``root, main`` (in the
         key's largest component?), ``others`` (rows outside it) and ``members``."""
-        rows = rows.join(roots, "class")
+        rows = rows.join(self.of_classes(roots), "class")
         parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
         mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", F.struct("c", "root")).alias("top"),
                                          F.sum("c").alias("members"), F.max("c").alias("most")).where("parts > 1")
@@ -232,7 +244,9 @@ class _Linker:
         In one order of all shingles, rarest first, similar sets share one of their first; from the first one that they
         share they can have no more in common than what either has left. One class of such a pair lies
         outside the shingle's largest component: those meet all that have the shingle, in slices."""
-        asked = stored(self.contested(self.buckets, roots).select("class").distinct())
+        rows = self.buckets.join(self.of_classes(roots), "class")
+        mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        asked = stored(rows.join(self.of_keys(mixed), "key", "left_semi").select("class").distinct())
         inside = stored(self.contested(self.rare_shingles(asked), roots))
         own, all_ = (F.ceil(F.col(c) / F.lit(self.slice_rows)) for c in ("others", "members"))
 
@@ -249,63 +263,63 @@ class _Linker:
         return self.judged(met.select("class", "pivot"))
 
     def prepare(self, asked: DataFrame) -> None:
-        """Make the full sets of the classes ``asked`` for that aren't known yet."""
+        """Make the full sets of the classes ``asked`` for (each once) that aren't known yet."""
         if self.sets is not None:
-            asked = asked.join(self.sets.select("class"), "class", "left_anti")
-        asked = stored(self.classes.join(asked, "class").select("class", "d1", "d2", "hash", "length"))
+            asked = asked.join(self.of_classes(self.sets.select("class")), "class", "left_anti")
+        asked = stored(self.classes.select("class", "d1", "d2", "hash", "length").join(self.of_classes(asked), "class"))
         n = asked.count()
         if self.sets is not None and not n:
             return
-        keys = asked.select("hash", "length").distinct()
-        keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+        asked = F.broadcast(asked) if n <= BROADCAST_KEYS else asked
         keyed = self.docs.select(text_or_empty(self.text_col).alias("text")).withColumns(
             {"hash": F.xxhash64("text"), "length": F.length("text")})
-        # The texts of these classes, once each; should two texts share a key, the set's digest tells.
-        texts = keyed.join(keys, ["hash", "length"], "left_semi").select("text").distinct()
-        made = texts.select(_sets(self.shingle)("text").alias("s")).select("s.*")
-        found = stored(made.join(asked, ["d1", "d2"]).groupBy("class").agg(F.first("shingles").alias("shingles")))
+        # The texts of these classes, once each; should two texts share a key, the set's digest tells. What is
+        # dealt by class are these texts: their sets stay where they are made.
+        texts = keyed.join(asked, ["hash", "length"]).groupBy("class").agg(
+            F.first("d1").alias("d1"), F.first("d2").alias("d2"), F.collect_set("text").alias("texts"))
+        made = texts.select("class", "d1", "d2", F.explode("texts").alias("text")).select(
+            "class", "d1", "d2", _sets(self.shingle)("text").alias("s")).where("s.d1 = d1 AND s.d2 = d2")
+        found = stored(made.groupBy("class").agg(F.first("s.shingles").alias("shingles")))
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """``(a, b)``: the ``pairs`` whose full sets are similar enough."""
-        others = self.sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("others"))
-        both = pairs.join(self.sets, "class").join(others, "pivot")
-        common = F.size(F.array_intersect("shingles", "others"))
-        union = F.size("shingles") + F.size("others") - common
-        return both.where(F.lit(100) * common >= F.lit(self.percent) * union).select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-
-    def apart(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The ``pairs`` whose ends lie in different components."""
-        other = roots.select(F.col("class").alias("pivot"), F.col("root").alias("root2"))
-        return pairs.join(roots, "class").join(other, "pivot").where("root <> root2").select("class", "pivot", "slots")
-
-    def roots(self, links: DataFrame) -> DataFrame:
-        """``(class, root)`` of every class."""
-        found = connected_components(links)
-        rows = stored(self.classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
-            "class", F.coalesce("root", "class").alias("root")))
-        # Broadcast up to a counted number (16 bytes each), else the joins on them are shuffled.
-        return F.broadcast(rows) if self.few else rows
-
-    def joined(self, links: DataFrame | None, pairs: DataFrame) -> DataFrame:
-        """``links`` and the confirmed of ``pairs``: first each class's best pair, then those still between components."""
-        self.prepare(pairs.select("class").unionByName(pairs.select(F.col("pivot").alias("class"))).distinct())
-        rank = F.max_by(F.struct("class", "pivot", "slots"), F.struct("slots", "class", "pivot")).alias("p")
-        best = pairs.groupBy("class").agg(rank).select("p.*").unionByName(pairs.groupBy("pivot").agg(rank).select("p.*")).distinct()
-        first = self.confirmed(best)
-        links = stored(first if links is None else links.unionByName(first))
-        rest = stored(self.apart(pairs, self.roots(links)).join(best.select("class", "pivot"), ["class", "pivot"], "left_anti"))
-        return links if rest.isEmpty() else stored(links.unionByName(self.confirmed(rest)))
+        """The ``pairs`` whose full sets are similar enough."""
+        common = F.size(F.array_intersect("shingles1", "shingles2"))
+        union = F.size("shingles1") + F.size("shingles2") - common
+        return self.with_ends(pairs, self.sets).where(F.lit(100) * common >= F.lit(self.percent) * union).select(*pairs.columns)
+
+    def apart(self, pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """``(class, pivot, a, b)``: the ``pairs`` whose ends lie in different components, and these components' roots."""
+        if roots is None:  # each class is a component
+            return pairs.select("class", "pivot", F.col("class").alias("a"), F.col("pivot").alias("b"))
+        one, two = (self.of_classes(roots).select(F.col("class").alias(c), F.col("root").alias(r)) for c, r in (("class", "a"), ("pivot", "b")))
+        return pairs.select("class", "pivot").join(one, "class").join(two, "pivot").where("a <> b").select("class", "pivot", "a", "b")
+
+    def merged(self, links: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """``(class, root)`` of every class after ``links`` between the components ``(a, b)`` of ``roots``: only these
+        links are looked at, not those that made the components."""
+        found = connected_components(links.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        before = self.classes.select("class", F.col("class").alias("root")) if roots is None else roots
+        return stored(before.join(self.of_classes(found), "root", "left").select("class", F.coalesce("top", "root").alias("root")))
+
+    def joined(self, roots: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """``roots`` after the confirmed of ``pairs``: first each class's best pair, then those still between components."""
+        self.prepare(pairs.select(F.explode(F.array("class", "pivot")).alias("class")).distinct())
+        rank = F.max_by(F.struct("class", "pivot"), F.struct("slots", "class", "pivot")).alias("p")
+        ends = pairs.select("*", F.posexplode(F.array("class", "pivot")).alias("end", "node"))  # best by either end
+        best = stored(ends.groupBy("node", "end").agg(rank).select("p.*").distinct())
+        roots = self.merged(self.apart(self.confirmed(best), roots), roots)
+        rest = stored(self.apart(pairs, roots).join(best, ["class", "pivot"], "left_anti"))
+        return roots if rest.isEmpty() else self.merged(self.confirmed(rest), roots)
 
 
 def class_roots(docs: DataFrame, classes: DataFrame, *, text_col: str, shingle: int = 2, percent: int = 80,
                 slice_rows: int = 4096) -> DataFrame:
     """``(class, root)``: components of the classes' links."""
     link = _Linker(docs, classes, text_col=text_col, shingle=shingle, percent=percent, slice_rows=slice_rows)
-    links = link.joined(None, link.pivots())
-    roots = link.roots(links)
+    roots = link.joined(None, link.pivots())
     more = link.exhausted(roots)
-    return roots if more.isEmpty() else link.roots(link.joined(links, more))
+    return link.of_classes(roots if more.isEmpty() else link.joined(roots, more))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, percent: int = 80,
