@@ -576,6 +576,73 @@ def _best_window(text, item):
     return best
 
 
+def _long_texts():
+    """Items, and documents of many pieces: passages at the cuts, at both ends, repeated, changed, one word only."""
+    rng = np.random.default_rng(11)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n))) for i, n in enumerate((5, 12, 20, 33, 40))]
+    items += [(5, " ".join(["same"] * 20)), (6, " ".join([*["same"] * 12, "other", "words", "end", "it"]))]
+    texts = []
+    for i in range(40):
+        words = [f"p{k}" for k in rng.integers(0, 5000, int(rng.integers(1, 700)))]
+        for _ in range(int(rng.integers(1, 8))):
+            item = items[int(rng.integers(0, len(items)))][1].split()
+            for _ in range(int(rng.integers(0, 3))):
+                item[int(rng.integers(0, len(item)))] = "changed"
+            at = int(rng.choice([0, len(words), 36 * int(rng.integers(0, 20)), int(rng.integers(0, len(words) + 1))]))
+            words[at:at] = item
+        texts.append((i, " ".join(words), "en", "a", 1))
+    texts += [(100, " ".join(["same"] * 300), "en", "a", 1), (101, f"{items[4][1]} " * 9, "en", "a", 1), (101, f"{items[4][1]} " * 9, "en", "a", 1),
+              (None, f"{items[3][1]} and {items[2][1]}", "en", "a", 1), (102, items[0][1], "en", "a", 1), (103, "same " * 15, "en", "a", 1)]
+    return items, texts
+
+
+@pytest.mark.parametrize("stretch", [1, 50, 4096])
+def test_decontamination_is_the_same_in_pieces_of_any_length(spark, monkeypatch, stretch):
+    monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+    items, texts = _long_texts()
+    # At a radius of 40 bits the exact check decides alone.
+    found = decontaminate.contaminated_pairs(docs(spark, texts), _bench_items(spark, items), radius=40)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in found.collect()}
+    want = {}
+    for doc, text, *_ in texts:
+        for item, it in items:
+            if (best := _best_window(text, it)) and best[0] >= 0.8:
+                want[doc, item] = best
+    assert got == want and len(want) > 40
+
+
+def test_no_row_of_decontamination_grows_with_a_text(spark, monkeypatch):
+    frames, kept = [], decontaminate.stored
+
+    def noted(df):
+        frames.extend([df, kept(df)])
+        return frames[-1]
+
+    monkeypatch.setattr(decontaminate, "stored", noted)
+    items = [(1, " ".join(f"w{k}" for k in range(40))), (2, " ".join(["same"] * 30))]
+    texts = [(1, " ".join(f"a{k}" for k in range(60_000)) + " " + items[0][1], "en", "a", 1), (2, items[1][1] + " same" * 20_000, "en", "a", 1)]
+    found = decontaminate.contaminated_pairs(docs(spark, texts), _bench_items(spark, items))
+    assert rows_of(found) == [(1, 1, 1.0, 60_000), (2, 2, 1.0, 0)]
+    most = 2 * decontaminate.STRETCH
+    for df in frames[1::2]:
+        sizes = {c: F.max(F.size(c) if kind.startswith("array") else F.size(F.split(c, " "))) for c, kind in df.dtypes
+                 if kind.startswith("array") or kind == "string"}
+        for c, size in (df.agg(*[v.alias(k) for k, v in sizes.items()]).first().asDict() if sizes else {}).items():
+            assert (size or 0) <= most, c
+
+    def carried(plan):
+        """Array columns that an explode copies into each of its rows."""
+        seq = lambda x: [x.apply(i) for i in range(x.size())]
+        if plan.nodeName() == "Generate":
+            made = {a.exprId().id() for a in seq(plan.generatorOutput())}
+            yield from (a.name() for a in seq(plan.output()) if a.exprId().id() not in made and a.dataType().typeName() == "array")
+        for child in seq(plan.children()):
+            yield from carried(child)
+
+    for df in [*frames[::2], found]:
+        assert not [*carried(df._jdf.queryExecution().optimizedPlan())]
+
+
 def test_items_without_id_count(spark):
     item = " ".join(f"item{i}" for i in range(40))
     items = _bench_items(spark, [(None, item), (3, " ".join(f"other{i}" for i in range(40)))])

@@ -19,6 +19,10 @@ are five consecutive words, weighted by how often they occur in the window.
 4. For these, the exact weighted Jaccard similarity of the two shingle bags
    (sum of smaller counts over sum of larger counts) decides, 0.8 or more.
 
+Documents that hold seeds are stored as pieces with the words of at least 4,096 windows
+each, and only pieces that a window asks for; each window's words are cut out of its piece.
+So past the first cut into words no row grows with the length of a text.
+
 At a similarity of 0.8 the expected distance of two SimHashes is 10 bits; the
 default radius of 20 leaves more than three standard deviations.
 
@@ -33,7 +37,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import BROADCAST_KEYS, nested, stored, text_or_empty
@@ -45,6 +49,8 @@ _LANES = 32
 _LANE_ONES = 0x0000000100000001
 _HALF = 1 << 30
 _KEY = ["_id", "_text_hash"]
+#: So many start positions have their words in one row (more, if an item is longer): texts are cut into such pieces.
+STRETCH = 4096
 
 
 def words_of(text: str | Column) -> Column:
@@ -131,43 +137,63 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
         .groupBy("item_words").agg(F.min("item_id").alias("item_id"), F.collect_set(F.struct("item_id")).alias("item_ids"))  # structs: NULL ids too
         .withColumn("s", F.size("item_words") - (SHINGLE - 1))
     )
-    vocabulary = stored(items.select("item_words", "s", F.explode(F.array_distinct(shingle_hashes(F.col("item_words")))).alias("h"))
-                        .select("h", F.xxhash64("item_words").alias("item"), "s"))
-    n_vocabulary = vocabulary.count()
+    keyed = items.select(F.xxhash64("item_words").alias("item"), "s", "item_words", "item_ids")
+    vocabulary = stored(keyed.select("item", "s", F.explode(F.array_distinct(shingle_hashes(F.col("item_words")))).alias("h")))
+    n_vocabulary, longest = vocabulary.agg(F.count(F.lit(1)), F.max("s")).first()
     # Broadcast only up to a checked number of rows (20 bytes each); else the join is shuffled.
     known = F.broadcast(vocabulary) if n_vocabulary <= broadcast_rows else vocabulary
+    # A piece holds the words of all windows that start in its stretch; at least half of them are its own.
+    longest = longest or 0
+    stretch = max(STRETCH, longest)
 
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"), F.col(text_col).alias("_text"))
     worded = rows.select(*_KEY, words_of("_text").alias("words"))  # by itself: shingles use it many times
-    seeds = worded.select(*_KEY, F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(known, "h")
-    # Positions of one document and item: at most the document's length.
-    shared = stored(seeds.groupBy(*_KEY, "item", "s").agg(F.collect_set("pos").alias("positions")).where(
-        F.size("positions") >= F.ceil(F.lit(similarity) * F.col("s") - F.lit(1e-9))))
-    # The texts of the documents that are left. Their keys are broadcast up to a checked number (16 bytes each).
-    held = stored(shared.select(*_KEY).distinct())
-    texts = _same_rows(rows, F.broadcast(held) if held.count() <= broadcast_rows else held).dropDuplicates(_KEY)
-    texts = texts.withColumn("words", words_of("_text")).drop("_text").withColumn("_n", F.size("words"))
-    texts = stored(texts.withColumn("hashes", shingle_hashes(F.col("words"))))
-
-    # The windows that an item asks for: those of its size over a position in common.
+    worded = worded.select("*", F.size("words").alias("_n"))
+    seeds = worded.select(*_KEY, "_n", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(known, "h")
+    # Positions of one document and item, by stretch: a row's array stays short, however long the text.
+    met = seeds.groupBy(*_KEY, "_n", "item", "s", _part("pos", stretch)).agg(F.array_sort(F.collect_set("pos")).alias("positions"))
+    by_part = Window.partitionBy(*_KEY, "item", "s").orderBy("part")
+    all_parts = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shared = met.select("*", F.sum(F.size("positions")).over(all_parts).alias("_met"),
+                        F.lag(F.element_at("positions", -1)).over(by_part).alias("_before")).where(
+        F.col("_met") >= F.ceil(F.lit(similarity) * F.col("s") - F.lit(1e-9)))
+
+    # The windows that an item asks for: those of its size over a position in common. Each start comes once,
+    # with the first position that its window covers.
     count = F.least("s", F.col("_n") - (SHINGLE - 1))
     last = F.col("_n") - (SHINGLE - 1) - F.col("count")
-    starts = F.array_distinct(F.flatten(F.transform("positions", lambda p: F.sequence(
-        F.greatest(F.lit(0), p - F.col("count") + 1), F.least(p, last)))))
-    asked = stored(_same_rows(shared, texts.select(*_KEY, "_n")).withColumn("count", count).select(
-        *_KEY, "item", "count", starts.alias("starts")))
-    # Windows of one size over one text: each start once, however many positions and items it covers.
-    per_size = asked.groupBy(*_KEY, "count").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
-    windows = _same_rows(texts.select(*_KEY, "hashes"), per_size).select(*_KEY, "hashes", "count", F.explode("starts").alias("start"))
-    windows = windows.select(*_KEY, "count", "start", F.slice("hashes", F.col("start") + 1, F.col("count")).alias("own"))
+
+    def starts_over(p: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("positions", i - 1), F.col("_before"), F.lit(-1))
+        low, high = F.greatest(F.lit(0), p - F.col("count") + 1, before + 1), F.least(p, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    asked = stored(shared.withColumn("count", count).select(
+        *_KEY, "item", "count", F.flatten(F.transform("positions", starts_over)).alias("starts")))
+    wanted = asked.select(*_KEY, "item", "count", F.explode("starts").alias("start"))
+
+    # The pieces of the documents that are left, as text. Keys and numbers of pieces are broadcast up to a checked
+    # number of pieces (24 bytes each).
+    held = stored(wanted.select(*_KEY, _part("start", stretch)).distinct().groupBy(*_KEY).agg(F.collect_set("part").alias("parts")))
+    n_held = held.agg(F.sum(F.size("parts"))).first()[0] or 0
+    whole = _same_rows(rows, F.broadcast(held) if n_held <= broadcast_rows else held).select(*_KEY, "parts", words_of("_text").alias("words"))
+    cut = whole.select(*_KEY, F.explode(F.transform("parts", lambda k: F.struct(k.alias("part"), F.array_join(
+        F.slice("words", k * stretch + 1, stretch + longest + SHINGLE - 2), " ").alias("piece")))).alias("p"))
+    texts = stored(cut.select(*_KEY, "p.part", "p.piece").dropDuplicates([*_KEY, "part"]))
+    pieces = texts.select(*_KEY, "part", F.split("piece", " ").alias("words"))
+
+    # Windows of one size over one text: each start once, however many items it is for. Rows hold windows, never a
+    # text: an array next to an explode would be copied into every row that it gives.
+    sized = wanted.select(*_KEY, "count", "start").distinct().select("*", _part("start", stretch))
+    hashed = pieces.select(*_KEY, "part", shingle_hashes(F.col("words")).alias("hashes"))
+    at = F.col("start") - F.col("part") * stretch + 1
+    windows = _same_rows(sized, hashed, ["part"]).select(*_KEY, "count", "start", F.slice("hashes", at, F.col("count")).alias("own"))
     prints = simhash_of(windows, [*_KEY, "count", "start"], "own")
-    item_prints = simhash_of(items.select(F.xxhash64("item_words").alias("item"),
-                                          shingle_hashes(F.col("item_words")).alias("own")), ["item"], "own")
+    item_prints = simhash_of(keyed.select("item", shingle_hashes(F.col("item_words")).alias("own")), ["item"], "own")
 
     # A window is looked up in the lists of the items that asked for it, so that what is met grows with
     # the items that a document shares, not with the benchmark.
     plan = block_plan(radius)
-    wanted = asked.select(*_KEY, "item", "count", F.explode("starts").alias("start"))
     probed = _same_rows(prints, wanted, ["count", "start"]).select(*_KEY, "item", "count", "start", "fp", F.posexplode(
         F.array(*[_block(F.col("fp"), bits) for bits, _ in plan])).alias("block", "key"))
     listed = item_prints.select("item", F.col("fp").alias("item_fp"), F.posexplode(
@@ -178,21 +204,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, similarity: float =
     candidates = probed.join(listed.hint("merge"), ["item", "block", "key"]).where(apart <= radius).select(
         *_KEY, "count", "start", "item").distinct()
 
-    spans = candidates.groupBy(*_KEY, "item", "count").agg(F.collect_set("start").alias("starts"))
-    paired = _same_rows(texts.select(*_KEY, "words"), spans).join(
-        items.select(F.xxhash64("item_words").alias("item"), "item_words", "item_ids", "s"), "item")
-    judged = paired.withColumn("item_bag", bag(F.col("item_words"), F.lit(0), F.col("s"))).select(
-        *_KEY, "words", "count", "s", "item_bag", "item_ids", F.explode("starts").alias("start"))
-    both = F.size(F.array_intersect(bag(F.col("words"), F.col("start"), F.col("count")), "item_bag"))
+    own = _same_rows(candidates.select("*", _part("start", stretch)), pieces, ["part"]).select(
+        *_KEY, "item", "count", "start", F.slice("words", at, F.col("count") + (SHINGLE - 1)).alias("own"))
+    bags = keyed.select("item", "s", bag(F.col("item_words"), F.lit(0), F.col("s")).alias("item_bag"))
+    # Shingles as texts take some 100 bytes each.
+    judged = own.join(F.broadcast(bags) if n_vocabulary <= broadcast_rows // 10 else bags, "item")
+    both = F.size(F.array_intersect(bag(F.col("own"), F.lit(0), F.col("count")), "item_bag"))
     scored = judged.withColumn("both", both).withColumn(
         "similarity", F.col("both") / (F.col("count") + F.col("s") - F.col("both")))
-    best = scored.where(F.col("similarity") >= similarity).select(
-        *_KEY, F.explode("item_ids").alias("i"), "similarity", (-F.col("start")).alias("before")).select(
-        *_KEY, "i.item_id", "similarity", "before")
-    return best.groupBy(*_KEY, "item_id").agg(F.max(F.struct("similarity", "before")).alias("b")).select(
+    best = scored.where(F.col("similarity") >= similarity).groupBy(*_KEY, "item").agg(
+        F.max(F.struct("similarity", (-F.col("start")).alias("before"))).alias("b"))
+    ids = keyed.select("item", F.explode("item_ids").alias("i")).select("item", "i.item_id")
+    return best.join(ids, "item").groupBy(*_KEY, "item_id").agg(F.max("b").alias("b")).select(
         *_KEY, "item_id", "b.similarity", (-F.col("b.before")).alias("start_word"))
 
 
+def _part(at: str, stretch: int) -> Column:
+    """``part``: the number of the stretch that a position is in."""
+    return F.floor(F.col(at) / F.lit(stretch)).cast("int").alias("part")
+
+
 def _same_rows(left: DataFrame, right: DataFrame, more: list[str] | None = None) -> DataFrame:
     """Join on the row key, NULL ids equal (and on columns ``more``)."""
     keys = [*_KEY, *(more or [])]
